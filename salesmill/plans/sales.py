@@ -3,8 +3,9 @@
 The dimension side is prepared first: each dimension is reduced to the columns
 the view shows, already formatted, and dimensions that hang on other dimensions
 are joined to them before the fact table is touched. The fact table then needs
-one join per own key. Whether a dimension is broadcast or shuffled is left to
-the planner, which knows its size; hot keys in shuffled joins are split by AQE.
+one join per own key. The planner decides from file sizes whether a dimension is
+broadcast; the joined dealer side, whose size it cannot know, is measured. Hot
+keys in shuffled joins are split by AQE.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import upper_trim
 from ..operators.load import Table
 from ..operators.records import concat_key, latest_per_key
+from ..session import broadcast_if_small
 
 Tables = Mapping[str, DataFrame]
 
@@ -44,14 +45,25 @@ PRIMARY_COLUMNS = """
 """.split()
 
 
-def _upper(*columns: str, **renamed: str) -> list[Column]:
-    shown = {c: c for c in columns} | {out: c for out, c in renamed.items()}
-    return [F.upper(F.col(c).cast("string")).alias(out) for out, c in shown.items()]
+def _shown(form: str, columns: Sequence[str], renamed: Mapping[str, str]) -> list[str]:
+    pairs = [(c, c) for c in columns] + [(c, out) for out, c in renamed.items()]
+    return [f"{form.format(c)} AS {out}" for c, out in pairs]
 
 
-def _plain(*columns: str, **renamed: str) -> list[Column]:
-    shown = {c: c for c in columns} | {out: c for out, c in renamed.items()}
-    return [F.col(c).alias(out) for out, c in shown.items()]
+def _plain(*columns: str, **renamed: str) -> list[str]:
+    return _shown("{}", columns, renamed)
+
+
+def _text(**renamed: str) -> list[str]:
+    return _shown("CAST({} AS STRING)", (), renamed)
+
+
+def _upper(*columns: str, **renamed: str) -> list[str]:
+    return _shown("upper(CAST({} AS STRING))", columns, renamed)
+
+
+def _upper_trim(**renamed: str) -> list[str]:
+    return _shown("upper(trim({}))", (), renamed)
 
 
 def _is(df: DataFrame, column: str, value: str) -> Column:
@@ -65,11 +77,11 @@ def _attach(df: DataFrame, side: DataFrame, key: Column | str) -> DataFrame:
     return df.join(side, key == F.col("_key"), "left").drop("_key")
 
 
-def _sales_groups(t: Tables, *shown: Column) -> DataFrame:
-    return t["dim_sales_group"].select(F.col("sales_group").alias("_key"), *shown)
+def _sales_groups(t: Tables, *shown: str) -> DataFrame:
+    return t["dim_sales_group"].selectExpr(*_plain(_key="sales_group"), *shown)
 
 
-def _categories() -> list[Column]:
+def _categories() -> list[str]:
     return _upper(
         product_category="product_group_1_description",
         product_sub_category="product_group_2_description",
@@ -79,8 +91,8 @@ def _categories() -> list[Column]:
 
 def _classification(t: Tables) -> DataFrame:
     """Mapping rows keyed by material and sales group together."""
-    return t["dim_material_mapping"].select(
-        F.col("material_code_sg_key").alias("_key"), "final_classification", *_upper("vertical")
+    return t["dim_material_mapping"].selectExpr(
+        *_plain("final_classification", _key="material_code_sg_key"), *_upper("vertical")
     )
 
 
@@ -92,29 +104,29 @@ def latest_hierarchy(hierarchy: DataFrame) -> DataFrame:
 def _dealers(t: Tables) -> DataFrame:
     """Active dealers with their customer and the latest hierarchy record."""
     dealers = t["dim_dealer_master"]
-    dealers = dealers.filter(_is(dealers, "active_flag", "True")).select(
-        F.col("dealer_sg_key").cast("string").alias("_dealer"),
-        F.col("customer_code").cast("string").alias("_customer"),
+    dealers = dealers.filter(_is(dealers, "active_flag", "True")).selectExpr(
+        *_text(_dealer="dealer_sg_key", _customer="customer_code"),
         *_upper("dealer_city", "dealer_district", "dealer_route_name", "dealer_state"),
         *_upper("dealer_type_1", "dealer_type_4", "dealer_type_6", "dealer_type_7", "dealer_type_12"),
         *_plain("dealer_class", "dealer_code", "dealer_group_code", "dealer_name"),
         *_plain("dealer_type_2", "dealer_type_3", "dealer_type_5", dealer_tsi_type="tsi_type"),
         *_plain(tsi_code="tsi_territory_code", ssdm_tsr_code="tsi_code", ssdm_tsr_name="tsi_name"),
     )
-    customers = t["dim_customer_master"].select(
-        F.col("customer_code").cast("string").alias("_key"),
+    customers = t["dim_customer_master"].selectExpr(
+        *_text(_key="customer_code"),
         *_plain(wss_code="customer_code", wss_group_3="customer_group_3", sh_3_code="cluster_code"),
         *_plain("wss_territory_code", sh_4_code="branch_code", sh_4_name="branch"),
         *_plain(sh_5_code="cm_region_code", sh_6_code="zone_code"),
         *_upper("pop_strata", "wss_territory_name", wss_name="customer_name", wss_town="town"),
         *_upper(sh_3_name="cluster", sh_5_name="region", sh_6_name="zone"),
-        upper_trim("tsi_territory_name").alias("tsi_name"),
+        *_upper_trim(tsi_name="tsi_territory_name"),
     )
-    latest = latest_hierarchy(t["dim_hierarchy"]).select(
-        F.col("sh_2_code").alias("_key"), upper_trim("sh_2_name").alias("tsr_name")
+    latest = latest_hierarchy(t["dim_hierarchy"]).selectExpr(
+        *_plain(_key="sh_2_code"), *_upper_trim(tsr_name="sh_2_name")
     )
     known = _attach(_attach(dealers, customers, "_customer"), latest, "tsi_code")
-    return known.drop("_customer").withColumnRenamed("_dealer", "_key")
+    side = known.drop("_customer").withColumnRenamed("_dealer", "_key")
+    return broadcast_if_small(side, driving=dealers)
 
 
 def secondary_sales(
@@ -122,7 +134,7 @@ def secondary_sales(
 ) -> DataFrame:
     """Dealer sales with product, customer and hierarchy attributes; one row per match."""
     fact = t["fact_invoice_secondary"]
-    fact = fact.filter(_is(fact, "active_flag", "1") & (F.col("invoice_date") >= cutoff)).select(
+    fact = fact.filter(_is(fact, "active_flag", "1") & (F.col("invoice_date") >= cutoff)).selectExpr(
         *_plain("invoice_date", "invoice_no", "record_type", "sales_group_code", "dealer_sg_key"),
         *_plain(quantity="reporting_unit_in_each", sales="reporting_value", uvg="revised_net_value_mvg"),
         *_plain(volume="reporting_unit", _item="item_code"),
@@ -135,13 +147,12 @@ def secondary_sales(
     materials = t["dim_material"]
     materials = materials.filter(
         _is(materials, "active_flag", "True") & F.col("material_type").isin(*material_types)
-    ).select(
-        F.col("material_code").alias("_key"),
-        *_plain(product_description="material_description", product_division_code="sales_group_code"),
+    ).selectExpr(
+        *_plain(_key="material_code", product_description="material_description", product_division_code="sales_group_code"),
         *_categories(),
     )
-    mapping = t["dim_material_mapping"].select(
-        F.col("material_code").alias("_key"), *_upper("brand"), *_plain("parent_division_name")
+    mapping = t["dim_material_mapping"].selectExpr(
+        *_plain("parent_division_name", _key="material_code"), *_upper("brand")
     )
     out = _attach(fact, groups, "sales_group_code")
     out = _attach(out, materials, "_item")
@@ -154,15 +165,15 @@ def secondary_sales(
 def primary_sales(t: Tables) -> DataFrame:
     """Company sales to customers; credit notes count negative."""
     fact = t["fact_invoice_details"]
-    fact = fact.filter(_is(fact, "active_flag", "1") & F.col("mis_type").isin("CN", "INV")).select(
+    fact = fact.filter(_is(fact, "active_flag", "1") & F.col("mis_type").isin("CN", "INV")).selectExpr(
         *_plain("invoice_no", "invoice_type", "mis_type", "sales_group_code"),
         *_plain(wss_code="customer_code", division="division_code", invoice_date="posting_date"),
         *_plain(quantity="billing_quantity_in_stock_keeping_unit", product_division_code="material_division"),
         *_plain(volume="reporting_unit", _item="material_code"),
-        F.when(F.col("mis_type") == "CN", -F.col("net_value")).otherwise(F.col("net_value")).alias("sales"),
+        "CASE WHEN mis_type = 'CN' THEN -net_value ELSE net_value END AS sales",
     )
-    customers = t["dim_customer_master"].select(
-        F.col("customer_code").alias("_key"),
+    customers = t["dim_customer_master"].selectExpr(
+        *_plain(_key="customer_code"),
         *_upper(wss_group="customer_group", wss_group_1="customer_group_1", wss_group_3="customer_group_3"),
         *_upper(wss_group_3_status="customer_group_3_status", wss_name="customer_name"),
         *_upper(wss_block="customer_block", wss_district="district", wss_state="state", wss_town="town"),
@@ -174,13 +185,13 @@ def primary_sales(t: Tables) -> DataFrame:
         *_plain(sales_group="sale_group_name", sh_3_code="cluster_code", sh_4_code="branch_code"),
         *_plain(sh_4_name="branch", sh_5_code="region_code", sh_6_code="zone_code"),
         *_plain(tsi_code="tsi_territory_code"),
-        upper_trim("tsi_territory_name").alias("tsi_name"),
+        *_upper_trim(tsi_name="tsi_territory_name"),
     )
-    materials = t["dim_material"].select(F.col("material_code").alias("_key"), *_categories())
-    mapping = t["dim_material_mapping"].select(
-        F.col("material_code").alias("_key"),
+    materials = t["dim_material"].selectExpr(*_plain(_key="material_code"), *_categories())
+    mapping = t["dim_material_mapping"].selectExpr(
         *_upper("brand"),
-        *_plain("material_code", "parent_division_code", "parent_division_name", "material_code_sg_key"),
+        *_plain("material_code", _key="material_code"),
+        *_plain("parent_division_code", "parent_division_name", "material_code_sg_key"),
     )
     out = _attach(fact, customers, "wss_code")
     out = _attach(out, _sales_groups(t, *_upper(sales_group_name="vertical")), "sales_group_code")

@@ -1,7 +1,8 @@
 """Sales-shaped tables derived from the TPC-H-like test tables.
 
 Each table is one portable SELECT, so the same text serves Spark and the
-oracle engine. ``{name}`` stands for a source table.
+oracle engine. ``{name}`` stands for a source table. Both sides of the fact join
+grow with the data, so it is a sort-merge join at every size.
 """
 
 from __future__ import annotations
@@ -12,11 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .session import tune
 
-SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+# Declared, so that opening a table needs no look at its files.
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz""",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+SOURCES = tuple(SOURCE_SCHEMAS)
 
 SHAPES: dict[str, str] = {
     "fact_invoice_secondary": """
-        SELECT
+        SELECT /*+ MERGE(o) */
             CAST(CASE WHEN l_linenumber = 7 THEN 0 ELSE 1 END AS SMALLINT) AS active_flag,
             CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INT) AS invoice_date,
             CAST(o_custkey AS STRING) AS customer_code,
@@ -32,10 +48,10 @@ SHAPES: dict[str, str] = {
             l_tax AS rate,
             l_linenumber AS line_no,
             'SEC' AS record_type
-        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+        FROM {lineitem} JOIN {orders} AS o ON l_orderkey = o_orderkey
     """,
     "fact_invoice_details": """
-        SELECT
+        SELECT /*+ MERGE(o) */
             CASE WHEN l_linenumber = 7 THEN '0' ELSE '1' END AS active_flag,
             CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INT) AS posting_date,
             CAST(o_custkey AS STRING) AS customer_code,
@@ -62,7 +78,7 @@ SHAPES: dict[str, str] = {
             CAST(l_suppkey % 100 AS SMALLINT) AS business_area_code,
             CAST(CASE WHEN l_linenumber > 2 THEN l_partkey % 9 END AS SMALLINT) AS division_code,
             CAST(l_suppkey % 25 AS SMALLINT) AS sales_group_code
-        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+        FROM {lineitem} JOIN {orders} AS o ON l_orderkey = o_orderkey
     """,
     "dim_customer_master": """
         SELECT
@@ -194,7 +210,7 @@ SHAPES: dict[str, str] = {
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return tune(spark).read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest table sent whole to every executor; beyond it joins shuffle.
+# Largest derived table sent whole to every executor; beyond it joins shuffle.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,13 +64,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Compute a derived table once; mark it for broadcast only if it is small.
+def _bytes(df: DataFrame) -> Column:
+    """Size of a row: text by length, other columns as eight bytes."""
+    texts = [f"coalesce(octet_length(`{f.name}`), 0)" for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = 8 * (len(df.columns) - len(texts))
+    return F.expr(" + ".join([f"{fixed}L", *texts]))
 
-    The table is checkpointed, so its count is exact and cheap and lost
-    executors do not cause a recomputation. Above the limit it is returned
-    unmarked and the join shuffles.
+
+def broadcast_if_small(df: DataFrame, driving: DataFrame | None = None) -> DataFrame:
+    """Mark a derived table for broadcast if its measured size allows it.
+
+    The planner cannot size the result of a join or aggregation and would
+    shuffle the big side to be safe. ``driving`` is an input that bounds the
+    table from below: when that is too big already, nothing else is measured.
+    """
+    if driving is not None and driving.count() > BROADCAST_ROWS:
+        return df
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_bytes(df))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else df
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """Compute a derived table once, then mark it for broadcast if it is small.
+
+    For tables that are expensive to compute: the checkpoint makes measuring
+    and reuse cheap, and lost executors do not cause a recomputation.
     """
     shared_dir(df.sparkSession)
-    kept = df.checkpoint()
-    return F.broadcast(kept) if kept.count() <= limit else kept
+    return broadcast_if_small(df.checkpoint())

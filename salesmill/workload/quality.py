@@ -66,7 +66,7 @@ _BROKEN = {
         f"""SELECT count(*) AS row_count, '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count,
             {f"CAST(min({c}) AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"} AS min_value,
             {f"CAST(max({c}) AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"} AS max_value,
-            {"CAST(NULL AS INT)" if numeric else f"CAST(max(octet_length(encode({c}))) AS INT)"} AS max_bytes
+            {"CAST(NULL AS DOUBLE)" if numeric else f"CAST(max(octet_length(encode({c}))) AS DOUBLE)"} AS max_bytes
         FROM feed """
         for c, numeric in (
             ("row_id", True),
@@ -80,7 +80,8 @@ _BROKEN = {
     ),
 )
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return convert.profile(feed(spark, sf_dir))
+    profile = convert.profile(feed(spark, sf_dir))
+    return profile.withColumn("max_bytes", F.col("max_bytes").cast("double"))
 
 
 

@@ -159,15 +159,29 @@ def growth_decline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return growth.growth_decline(secondary_view(spark, sf_dir), QUARTERS)
 
 
-@WORK.add("secondary_sales", f"{SECONDARY_CTE} SELECT * FROM secondary_view")
+def as_double(df: DataFrame, *columns: str) -> DataFrame:
+    """Decimals and nullable integers as double, which every client shows alike."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
+def _doubles_sql(view: str, *columns: str) -> str:
+    shown = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({shown}) FROM {view}"
+
+
+@WORK.add(
+    "secondary_sales", f"{SECONDARY_CTE} {_doubles_sql('secondary_view', 'product_division_code', 'wss_group_3')}"
+)
 def secondary_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secondary_view(spark, sf_dir)
+    return as_double(secondary_view(spark, sf_dir), "product_division_code", "wss_group_3")
 
 
-@WORK.add("primary_sales", f"{shape_cte(*PRIMARY_STAR)} {PRIMARY_SQL}")
+@WORK.add(
+    "primary_sales",
+    f"{shape_cte(*PRIMARY_STAR)}, primary_view AS ({PRIMARY_SQL}) {_doubles_sql('primary_view', 'division')}",
+)
 def primary_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = primary_view(spark, sf_dir)
-    return view.withColumns({c: F.col(c).cast("double") for c in ("quantity", "sales", "volume")})
+    return as_double(primary_view(spark, sf_dir), "quantity", "sales", "volume", "division")
 
 
 @WORK.add(
@@ -219,7 +233,7 @@ _DD_MEASURES = (
 
 def _dd(spark: SparkSession, sf_dir: str, config: PipelineConfig) -> DataFrame:
     out = derived.dd_records(shape(spark, sf_dir, "fact_invoice_details"), config, RUN_DATE)
-    return out.withColumns({c: F.col(c).cast("double") for c in _DD_MEASURES})
+    return as_double(out, *_DD_MEASURES)
 
 
 @WORK.add(
@@ -242,8 +256,7 @@ def dd_records_other_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     details = shape(spark, sf_dir, "fact_invoice_details")
     config = dataclasses.replace(CONFIG, dd_differs=("customer_code", "_original"))
     details = details.withColumn("_original", F.col("customer_code_org").cast("string"))
-    out = derived.dd_records(details, config, RUN_DATE)
-    return out.withColumns({c: F.col(c).cast("double") for c in _DD_MEASURES})
+    return as_double(derived.dd_records(details, config, RUN_DATE), *_DD_MEASURES)
 
 
 def _constants_sql() -> str:

@@ -136,14 +136,17 @@ def text_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     "clean_numeric",
     f"""{_TEXT_CTE}
     SELECT o_orderkey,
-        TRY_CAST(nullif(regexp_replace(customer_text, '^\\s+|\\s+$', '', 'g'), '') AS BIGINT) AS customer_text,
-        TRY_CAST(nullif(regexp_replace(price_text, '^\\s+|\\s+$', '', 'g'), '') AS DOUBLE) AS price_text
+        CAST(TRY_CAST(nullif(regexp_replace(customer_text, '^\\s+|\\s+$', '', 'g'), '') AS BIGINT) AS DOUBLE) AS customer_no,
+        TRY_CAST(nullif(regexp_replace(price_text, '^\\s+|\\s+$', '', 'g'), '') AS DOUBLE) AS price
     FROM text_orders""",
 )
 def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text columns to numbers while at most a tenth of the values is unreadable."""
     raw = text_orders(spark, sf_dir).select("o_orderkey", "customer_text", "price_text")
-    return convert.convert(raw, {"customer_text": T.LongType(), "price_text": T.DoubleType()}).frame
+    done = convert.convert(raw, {"customer_text": T.LongType(), "price_text": T.DoubleType()}).frame
+    return done.select(
+        "o_orderkey", F.col("customer_text").cast("double").alias("customer_no"), F.col("price_text").alias("price")
+    )
 
 
 @WORK.add(
@@ -164,13 +167,13 @@ def keep_unconvertible(spark: SparkSession, sf_dir: str) -> DataFrame:
     "parse_dates",
     f"""{_TEXT_CTE},
     parsed AS (SELECT o_orderkey, try_strptime(day_text, '%d/%m/%Y') AS d FROM text_orders)
-    SELECT o_orderkey, CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INT) AS order_day FROM parsed""",
+    SELECT o_orderkey, strftime(d, '%Y-%m-%d') AS order_day FROM parsed""",
 )
 def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One layout for the whole column: the first that reads nine tenths of it."""
     raw = text_orders(spark, sf_dir).select("o_orderkey", "day_text")
     done = convert.convert(raw, {"day_text": T.DateType()}).frame
-    return done.select("o_orderkey", dates.int_date("day_text").alias("order_day"))
+    return done.select("o_orderkey", F.col("day_text").cast("string").alias("order_day"))
 
 
 @WORK.add(
