@@ -80,8 +80,13 @@ def reorder(df: DataFrame, order: Iterable[str]) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Align, then cast to the declared types; a value that does not fit is an error."""
-    return align(df, schema).frame.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Align, then cast to the declared types, keeping the declarations.
+
+    A value that does not fit its type is an error.
+    """
+    return align(df, schema).frame.select(
+        [F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata or {}) for f in schema.fields]
+    )
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

@@ -12,6 +12,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,9 @@ from .align import conform, union_all
 _LOG = "version bigint, kind string, path string, removed string, rows bigint, table_schema string, partitions array<string>"
 
 
+REJECTED = "_rejected"
+
+
 class LoadError(RuntimeError):
     """The written data is not what was to be written."""
 
@@ -67,6 +71,14 @@ def group_slice(codes: Sequence[str], keep_dd: bool = True) -> str:
     return f"{text} AND record_type <> 'DD'" if keep_dd else text
 
 
+def observed(observation: Observation) -> dict[str, int]:
+    """Metrics of a finished write; none when the planner saw that there was nothing to write."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 class Table:
     """A table folder with its commit log. One writer at a time."""
 
@@ -113,13 +125,18 @@ class Table:
             if c.removed is not None:
                 for _, gone in groups:
                     gone.append(c.removed)
+            if not c.rows:
+                continue
             if groups and not groups[-1][1]:
                 groups[-1][0].append(c.path)
             else:
                 groups.append(([c.path], []))
+        if not groups:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
         frames = []
         for paths, gone in groups:
-            part = self.spark.read.schema(schema).parquet(*paths)
+            part = reader.parquet(*paths).select(*[f"`{n}`" for n in schema.names])
             for condition in dict.fromkeys(gone):
                 part = part.filter(~F.coalesce(F.expr(condition), F.lit(False)))
             frames.append(part)
@@ -128,17 +145,24 @@ class Table:
     # -- writing --
 
     def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> tuple[str, int]:
-        """Write to a fresh path and check the row count against what was sent."""
-        path = f"{self.root}/data/{uuid.uuid4().hex}"
+        """Write to a fresh path and check the row count against what was sent.
+
+        Rows marked ``_rejected`` go to their own folder of the same write. The
+        path and the count returned are those of the other rows.
+        """
+        if REJECTED not in df.columns:
+            df = df.withColumn(REJECTED, F.lit(False))
+        load = f"{self.root}/data/load=v{uuid.uuid4().hex}"
         sent = Observation()
-        out = df.observe(sent, F.count(F.lit(1)).alias("rows"))
+        good = F.count_if(~F.col(REJECTED)).alias("good")
+        out = df.observe(sent, F.count(F.lit(1)).alias("rows"), good)
         if partition_by:
             # Even-sized files per partition value; oversized values are split.
             out = out.hint("rebalance", *partition_by)
-        out.write.partitionBy(*partition_by).parquet(path)
-        rows = sent.get.get("rows", 0)
-        self.check(path, df.schema, rows)
-        return path, rows
+        out.write.partitionBy(REJECTED, *partition_by).parquet(load)
+        counts = observed(sent)
+        self.check(load, df.schema, counts.get("rows", 0))
+        return f"{load}/{REJECTED}=false", counts.get("good", 0)
 
     def check(self, path: str, schema: T.StructType, rows: int) -> None:
         written = self.spark.read.schema(schema).parquet(path).count()

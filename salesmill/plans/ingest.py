@@ -15,7 +15,7 @@ from ..config import PipelineConfig, TableSpec, run_order
 from ..functions import ddl
 from ..functions.numbers import lenient_long
 from ..operators import access, align, computed, convert, filters, quality
-from ..operators.load import Table
+from ..operators.load import REJECTED, Table, observed
 from .derived import refresh_dd
 from .dimensions import transform_dimension
 from .facets import PRIMARY, SECONDARY, business_constants
@@ -133,36 +133,27 @@ def load_checked(
     written, with the names of the rules they broke.
     """
     started = time.monotonic()
-    spark = df.sparkSession
-    flagged = quality.flag(df, rules)
     seen = Observation()
-    marked = flagged.observe(seen, *quality.count_columns(rules)).withColumn("_rejected", quality.rejected(rules))
-    parts = ("_rejected", *partition_by)
-    path, rows = target.stage(marked, parts)
-    counts = seen.get
+    flagged = quality.flag(df, rules).observe(seen, *quality.count_columns(rules))
+    path, good = target.stage(flagged.withColumn(REJECTED, quality.rejected(rules)), partition_by)
+    counts = observed(seen)
     quality.gate(counts, rules, max_error_ratio)
     bad = counts.get("rejected", 0)
-    good = rows - bad
-    good_path = f"{path}/_rejected=false"
-    if good:
-        target.check(good_path, schema, good)
-    else:
-        good_path, _ = target.stage(spark.createDataFrame([], schema))
     if mode == "replace":
-        version = target.commit("replace", good_path, good, schema, partition_by)
+        version = target.commit("replace", path, good, schema, partition_by)
     elif mode == "slice":
-        version = target.commit("append", good_path, good, schema, partition_by, removed=condition)
+        version = target.commit("append", path, good, schema, partition_by, removed=condition)
     elif mode == "append":
-        version = target.commit("append", good_path, good, schema, partition_by)
+        version = target.commit("append", path, good, schema, partition_by)
     else:
         raise ValueError(f"unknown load mode {mode!r}")
     return LoadReport(
         table,
-        rows,
+        good + bad,
         good,
         bad,
         version,
-        f"{path}/_rejected=true" if bad else None,
+        path.replace(f"{REJECTED}=false", f"{REJECTED}=true") if bad else None,
         time.monotonic() - started,
         {k.removeprefix("rule:"): v for k, v in counts.items() if k.startswith("rule:")},
         list(widenings),

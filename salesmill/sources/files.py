@@ -58,24 +58,34 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partiti
     df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partition_by).parquet(path)
 
 
+_DELIMITED = {
+    "sep": SEPARATOR_OUT,
+    "header": "false",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_delimited(df: DataFrame, path: str) -> None:
-    """Headerless text export with a control-character separator and ``\\N`` for NULL."""
-    df.write.option("sep", SEPARATOR_OUT).option("header", False).option("nullValue", NULL_OUT).option(
-        "emptyValue", ""
-    ).option("quote", "").csv(path)
-
-
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Read back what ``write_delimited`` wrote."""
-    return (
-        spark.read.schema(schema)
-        .option("sep", SEPARATOR_OUT)
-        .option("nullValue", NULL_OUT)
-        .option("emptyValue", "")
-        .option("quote", "")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    """Headerless text export with a control-character separator and ``\\N`` for NULL.
+
+    Values holding a separator, quote or line break are quoted. Files are kept
+    to a size one task can read, since such files cannot be split.
+    """
+    out = df.write.options(**_DELIMITED).option("nullValue", NULL_OUT).option("emptyValue", "")
+    out.option("maxRecordsPerFile", ROWS_PER_FILE).csv(path)
+
+
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read back what ``write_delimited`` wrote; empty text and NULL stay apart."""
+    reader = spark.read.options(**_DELIMITED).option("multiLine", True).option("mode", "FAILFAST")
+    cells = reader.schema(text_schema(schema.names)).option("nullValue", NULL_IN).csv(path)
+    values = [
+        F.nullif(F.coalesce(F.col(f"`{f.name}`"), F.lit("")), F.lit(NULL_OUT)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    return cells.select(values)
 
 
 def csv_to_parquet(

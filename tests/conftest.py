@@ -19,6 +19,9 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            # Plans are compared as text.
+            "spark.sql.debug.maxToStringFields": "1000",
+            "spark.sql.maxMetadataStringLength": "5000",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(shared),
             "spark.sql.warehouse.dir": str(shared / "warehouse"),
