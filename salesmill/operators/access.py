@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import mail_key, mail_path_element
+from ..session import broadcast_if_small
 from .filters import members, not_blank
 from .records import unpivot
 
@@ -134,15 +135,20 @@ def secure(
     view: str, df: DataFrame, access: DataFrame, email: str, role: str, policy: Policy = DEFAULT_POLICY
 ) -> DataFrame:
     """Rows of a protected view that the user may see."""
-    column = policy.column_for(view, role)
-    return members(df, column, territories_of(access, email), "territory")
+    return secured_views({view: df}, access, email, role, policy)[view]
 
 
 def secured_views(
     views: Mapping[str, DataFrame], access: DataFrame, email: str, role: str, policy: Policy = DEFAULT_POLICY
 ) -> dict[str, DataFrame]:
-    """All given views, each limited to the user's rows."""
-    return {name: secure(name, df, access, email, role, policy) for name, df in views.items()}
+    """All given views, each limited to the user's rows.
+
+    The user's territories are measured first. As a rule they are few and go to
+    the view's rows; otherwise the view would be shuffled by territory.
+    """
+    columns = {name: policy.column_for(name, role) for name in views}
+    mine = broadcast_if_small(territories_of(access, email))
+    return {name: members(df, columns[name], mine, "territory") for name, df in views.items()}
 
 
 def query_as(

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numbers import lenient_double, lenient_long
-from ..functions.text import strip_all
+from ..functions.numbers import flag, lenient_double, lenient_long
+from ..functions.text import blank_to_null, strip_all
 
 # Accepted date layouts, tried in this order.
 DATE_LAYOUTS = ("yyyy-M-d", "d/M/yyyy", "M/d/yyyy", "yyyyMMdd", "yyyy-M-d H:m:s")
@@ -89,7 +89,9 @@ def readings(c: Column, target: T.DataType, layouts: Iterable[str] = DATE_LAYOUT
     if isinstance(target, (T.FloatType, T.DoubleType)):
         return {kind: lenient_double(c).cast(target)}
     if isinstance(target, T.DecimalType):
-        return {kind: lenient_double(c).try_cast(target)}
+        return {kind: blank_to_null(c).try_cast(target)}
+    if isinstance(target, T.BooleanType):
+        return {kind: flag(strip_all(c))}
     return {}
 
 

@@ -40,5 +40,5 @@ def any_of(types: Iterable[str], reason_types: Iterable[str], reasons: Iterable[
 
 def members(df: DataFrame, column: str, allowed: DataFrame, key: str) -> DataFrame:
     """Rows whose value occurs in a table of allowed values (no literal list)."""
-    side = allowed.select(F.col(key).alias("_allowed"))
+    side = allowed.withColumnRenamed(key, "_allowed")
     return df.join(side, df[column] == F.col("_allowed"), "left_semi")

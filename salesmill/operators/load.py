@@ -8,6 +8,7 @@ load leaves the table as it was. Nothing that is being read is overwritten.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import json
 import uuid
 from collections.abc import Sequence
@@ -23,6 +24,8 @@ _LOG = "version bigint, kind string, path string, removed string, rows bigint, t
 
 
 REJECTED = "_rejected"
+# An upsert touching more partitions than this rewrites the table instead.
+MAX_PARTITIONS = 1000
 
 
 class LoadError(RuntimeError):
@@ -216,10 +219,36 @@ class Table:
         return self._append(df, self.commits(), condition)
 
     def upsert(self, df: DataFrame, keys: Sequence[str]) -> int:
+        """Replace rows by key. In a partitioned table only the partitions involved are rewritten."""
         found = self.commits()
         if not found:
             return self._replace(df, found)
-        return self._replace(upserted(self._frame(found), conform(df, _schema(found)), keys), found)
+        updates, current = conform(df, _schema(found)), self._frame(found)
+        touched = self._touched(current, updates, keys, _partitions(found))
+        if touched is None:
+            return self._replace(upserted(current, updates, keys), found)
+        return self._append(upserted(current.filter(F.expr(touched)), updates, keys), found, touched)
+
+    @staticmethod
+    def _touched(current: DataFrame, updates: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> str | None:
+        """Condition for the partitions holding the keys, before or after the update.
+
+        None when the table has no partitions or too many of them are involved.
+        """
+        if not parts:
+            return None
+        held = current.join(updates.select(*keys).distinct(), list(keys), "left_semi").select(*parts)
+        values = held.union(updates.select(*parts)).distinct().limit(MAX_PARTITIONS + 1).collect()
+        if len(values) > MAX_PARTITIONS:
+            return None
+        alternatives = [" AND ".join(f"`{c}` <=> {_literal(v)}" for c, v in zip(parts, row)) for row in values]
+        return " OR ".join(f"({a})" for a in alternatives) or "false"
+
+    def delete(self, condition: str) -> int:
+        """Drop the rows meeting a condition; nothing is rewritten until the next compaction."""
+        found = self._known()
+        last = found[-1]
+        return self.commit("append", last.path, 0, _schema(found), _partitions(found), condition, found)
 
     def insert_missing(self, df: DataFrame, keys: Sequence[str]) -> int:
         found = self.commits()
@@ -238,6 +267,17 @@ class Table:
         return self._replace(conform(self._frame(found), schema), found)
 
 
+def _literal(value: object) -> str:
+    """A partition value as SQL."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, dt.date):
+        return f"DATE'{value:%Y-%m-%d}'"
+    return str(value)
+
+
 def _schema(found: list[Commit]) -> T.StructType:
     return T.StructType.fromJson(json.loads(found[-1].table_schema))
 
@@ -246,6 +286,11 @@ def _partitions(found: list[Commit]) -> tuple[str, ...]:
     return found[-1].partitions if found else ()
 
 
+def save_bucketed(df: DataFrame, name: str, columns: Sequence[str], buckets: int, mode: str = "overwrite") -> None:
+    """Catalog table hashed into buckets: joins on the columns then need no shuffle."""
+    df.write.mode(mode).bucketBy(buckets, *columns).sortBy(*columns).format("parquet").saveAsTable(name)
+
+
 def register(spark: SparkSession, tables: dict[str, DataFrame], views: dict[str, tuple[int, object]]) -> list[str]:
     """Temp views for tables, then for views in their declared order.
 

@@ -51,6 +51,11 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.filter(F.col("copies") > 1)
 
 
+def preview(df: DataFrame, rows: int = 10) -> DataFrame:
+    """The first rows, for looking at; partitions beyond those needed are not computed."""
+    return df.limit(rows)
+
+
 def distinct_union(frames: Iterable[DataFrame]) -> DataFrame:
     return union_all(frames).distinct()
 

@@ -177,6 +177,9 @@ def run_table(
         fitted, _ = transform_dimension(done.frame, spec)
     else:
         fitted = done.frame
+    unfit = ddl.type_mismatches(fitted.schema, spec.schema)
+    if unfit:
+        raise quality.QualityError(f"{spec.name}: types do not fit {unfit}")
     ready = align.conform(fitted, spec.schema)
     return load_checked(
         ready,

@@ -198,11 +198,15 @@ _STOPS = " OR ".join(f"coalesce({_BROKEN[r]}, false)" for r in ("invoice_date_mi
     FROM feed""",
 )
 def error_gate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted and rejected rows; the latter with every rule they break."""
-    good, bad = quality.split(feed(spark, sf_dir), feed_rules())
-    accepted = good.select("row_id", F.lit("accepted").alias("status"), F.lit("").alias("reasons"))
-    rejected = bad.select("row_id", F.lit("rejected").alias("status"), F.array_join("reasons", ",").alias("reasons"))
-    return accepted.unionByName(rejected)
+    """Accepted and rejected rows; the latter with every rule they break. One scan."""
+    rules = feed_rules()
+    flagged = quality.flag(feed(spark, sf_dir), rules)
+    stop = quality.rejected(rules)
+    return flagged.select(
+        "row_id",
+        F.when(stop, "rejected").otherwise("accepted").alias("status"),
+        F.when(stop, F.array_join(quality.VIOLATIONS, ",")).otherwise("").alias("reasons"),
+    )
 
 
 @WORK.add(

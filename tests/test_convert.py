@@ -75,6 +75,12 @@ def test_no_layout_fits(spark):
         convert.convert(one_column(spark, ["soon", "2024-01-05"]), {"v": T.DateType()})
 
 
+def test_decimals_keep_every_digit_and_flags_read_words(spark):
+    df = spark.createDataFrame([(" 12345678901234567.895 ", "Yes"), ("7", " false ")], "d string, b string")
+    out = convert.convert(df, {"d": T.DecimalType(20, 2), "b": T.BooleanType()}).frame.collect()
+    assert [str(r["d"]) for r in out] == ["12345678901234567.90", "7.00"] and [r["b"] for r in out] == [True, False]
+
+
 def test_mapped_conversion_keeps_columns_that_fail_once(spark):
     df = spark.createDataFrame([("1", "2", "2.5"), ("x", "3", "4")], "a string, b string, c string")
     done = convert.convert_mapped(df, struct_from_ddl("a SMALLINT, b INTEGER, c DOUBLE"))

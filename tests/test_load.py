@@ -120,3 +120,48 @@ def test_register_in_order(spark):
     }
     assert load.register(spark, {"base": spark.range(2)}, views) == ["base", "a_view", "b_view"]
     assert spark.sql("SELECT max(k) AS m FROM b_view").first()["m"] == 2
+
+
+def test_upsert_rewrites_only_the_partitions_involved(spark, table):
+    table.replace(frame(spark, [(1, "a", 1.0), (2, "b", 2.0), (3, "o'c", 3.0), (4, None, 4.0)]), partition_by=["kind"])
+    table.upsert(frame(spark, [(1, "b", 9.0), (4, None, 8.0), (5, "o'c", 5.0)]), ["k"])
+    rows = sorted((tuple(r) for r in table.read().collect()), key=str)
+    assert rows == [(1, "b", 9.0), (2, "b", 2.0), (3, "o'c", 3.0), (4, None, 8.0), (5, "o'c", 5.0)]
+    assert len(table.commits()) == 2
+    table.upsert(frame(spark, [(2, "b", 0.0)]), ["k"])
+    assert len(table.commits()) == 3 and table.commits()[-1].rows == 2
+    assert sorted(r["v"] for r in table.read().collect()) == [0.0, 3.0, 5.0, 8.0, 9.0]
+
+
+def test_upsert_over_many_partitions_rewrites_the_table(spark, table, monkeypatch):
+    monkeypatch.setattr(load, "MAX_PARTITIONS", 1)
+    table.replace(frame(spark, [(1, "a", 1.0), (2, "b", 2.0)]), partition_by=["kind"])
+    table.upsert(frame(spark, [(1, "a", 5.0), (2, "b", 6.0)]), ["k"])
+    assert content(table) == [(1, "a", 5.0), (2, "b", 6.0)] and len(table.commits()) == 1
+
+
+def test_delete_keeps_rows_with_an_unknown_condition(spark, table):
+    table.replace(frame(spark, [(1, "a", 1.0), (2, None, 2.0), (3, "b", 3.0)]))
+    table.delete("kind = 'a'")
+    assert sorted(r["k"] for r in table.read().collect()) == [2, 3]
+    table.append(frame(spark, [(4, "a", 4.0)]))
+    assert sorted(r["k"] for r in table.read().collect()) == [2, 3, 4]
+
+
+def test_buckets_save_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id AS k", "id * 2 AS v")
+    load.save_bucketed(df, "bucketed_a", ["k"], 4)
+    load.save_bucketed(df, "bucketed_b", ["k"], 4)
+    joined = spark.table("bucketed_a").hint("merge").join(spark.table("bucketed_b"), "k")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and joined.count() == 100
+
+
+def test_month_partitions(spark, table):
+    from salesmill.functions.dates import year_month
+
+    days = spark.createDataFrame([(20240105,), (20240210,), (20240211,)], "invoice_date int")
+    table.replace(days.withColumn("year_month", year_month("invoice_date")), partition_by=["year_month"])
+    february = table.read().filter("year_month = 202402")
+    assert february.count() == 2
+    assert "PartitionFilters: [isnotnull(year_month" in february._jdf.queryExecution().executedPlan().toString()

@@ -62,6 +62,17 @@ def test_mapping_helpers():
     assert names.target_header(["Town", "zzzz"], {"town": "VARCHAR(1)"}) == (["town"], ["zzzz"])
 
 
+def test_config_problems():
+    good = {"table_name": "t", "columns": {"a": {"db_column": "b", "data_type": "INT"}}}
+    assert names.config_problems(good) == []
+    assert names.config_problems({"columns": {}}) == ["table_name is missing"]
+    assert names.config_problems({"table_name": "t"}) == ["columns are missing"]
+    assert names.config_problems({"table_name": "t", "columns": {"a": {"db_column": "b"}, "c": 1}}) == [
+        "a: data_type is missing",
+        "c: not a mapping",
+    ]
+
+
 def test_name_violations():
     found = names.name_violations(["ok_name", "BadName", "a" * 65, "order"], "sales_table")
     assert ("BadName", "not snake_case") in found and ("a" * 65, "too long") in found
