@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank_to_null, col
+from .text import col, strip_all
 
 TRUE_TOKENS = ("Y", "Yes", "1", "True", "true")
 FALSE_TOKENS = ("N", "No", "0", "False", "false")
@@ -32,13 +32,12 @@ def percent_change(now: str | Column, before: str | Column) -> Column:
 
 def lenient_long(c: str | Column, to: str = "bigint") -> Column:
     """Text -> integer; anything else (blank, '12.0', words) becomes NULL."""
-    return blank_to_null(c).try_cast(to)
+    return strip_all(c).try_cast(to)
 
 
 def lenient_double(c: str | Column) -> Column:
     """Text -> double; Java's 'd' / 'f' suffixes are not numbers here."""
-    text = blank_to_null(c)
-    return F.when(~text.rlike(r"[0-9.][dDfF]$"), text.try_cast("double"))
+    return F.when(~col(c).rlike(r"[0-9.][dDfF]\s*$"), strip_all(c).try_cast("double"))
 
 
 def flag(c: str | Column) -> Column:

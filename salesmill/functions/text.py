@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# F.trim only removes the space character; feeds also carry tabs, line breaks
-# and Unicode spaces.
-_EDGE_SPACE = r"^[\s\x0B\x1C-\x1F\x{85}\p{Z}]+|[\s\x0B\x1C-\x1F\x{85}\p{Z}]+$"
+# Characters that count as whitespace. Plain trim only removes the
+# space character; feeds also carry tabs, line breaks and Unicode spaces.
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def col(c: str | Column) -> Column:
@@ -16,7 +19,7 @@ def col(c: str | Column) -> Column:
 
 def strip_all(c: str | Column) -> Column:
     """Remove every kind of leading and trailing whitespace."""
-    return F.regexp_replace(col(c), _EDGE_SPACE, "")
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def blank_to_null(c: str | Column) -> Column:

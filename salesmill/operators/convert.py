@@ -14,11 +14,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import flag, lenient_double, lenient_long
-from ..functions.text import blank_to_null, strip_all
+from ..functions.text import strip_all
 
 # Accepted date layouts, tried in this order.
 DATE_LAYOUTS = ("yyyy-M-d", "d/M/yyyy", "M/d/yyyy", "yyyyMMdd", "yyyy-M-d H:m:s")
 
+_MONTH, _DAY = "(0?[1-9]|1[0-2])", "(0?[1-9]|[12][0-9]|3[01])"
+# What text in a layout looks like. Parsing text of another layout raises and
+# catches an error per value, which costs far more than this look.
+_SHAPES = {
+    "yyyy-M-d": f"^[0-9]{{4}}-{_MONTH}-{_DAY}$",
+    "d/M/yyyy": f"^{_DAY}/{_MONTH}/[0-9]{{4}}$",
+    "M/d/yyyy": f"^{_MONTH}/{_DAY}/[0-9]{{4}}$",
+    "yyyyMMdd": "^[0-9]{4}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$",
+    "yyyy-M-d H:m:s": f"^[0-9]{{4}}-{_MONTH}-{_DAY} [0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}}$",
+}
+
 
 class ConversionError(ValueError):
     """A column has more unreadable values than the limit allows."""
@@ -76,7 +87,9 @@ def max_bytes(df: DataFrame, columns: Iterable[str]) -> dict[str, int | None]:
 
 
 def _date_readings(c: Column, target: T.DataType, layouts: Iterable[str]) -> dict[str, Column]:
-    return {p: F.try_to_timestamp(strip_all(c), F.lit(p)).cast(target) for p in layouts}
+    text = strip_all(c)
+    parsed = {p: F.try_to_timestamp(text, F.lit(p)).cast(target) for p in layouts}
+    return {p: F.when(text.rlike(_SHAPES[p]), v) if p in _SHAPES else v for p, v in parsed.items()}
 
 
 def readings(c: Column, target: T.DataType, layouts: Iterable[str] = DATE_LAYOUTS) -> dict[str, Column]:
@@ -89,7 +102,7 @@ def readings(c: Column, target: T.DataType, layouts: Iterable[str] = DATE_LAYOUT
     if isinstance(target, (T.FloatType, T.DoubleType)):
         return {kind: lenient_double(c).cast(target)}
     if isinstance(target, T.DecimalType):
-        return {kind: blank_to_null(c).try_cast(target)}
+        return {kind: strip_all(c).try_cast(target)}
     if isinstance(target, T.BooleanType):
         return {kind: flag(strip_all(c))}
     return {}
