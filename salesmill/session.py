@@ -15,19 +15,23 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Hot join keys: the oversized shuffle partitions are split at run time, also
-    # where that costs one more exchange further up the plan.
-    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Hot join keys: oversized shuffle partitions are split at run time, also where
+    # that costs one more exchange further up the plan.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+_TUNED = "salesmill.tuned"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Settings every job here relies on. Sizes and partition counts stay the cluster's."""
-    for key, value in _RUNTIME.items():
-        spark.conf.set(key, value)
+    """Settings every job here relies on, made once per session.
+
+    Adaptive execution is on by default; sizes and partition counts stay the
+    cluster's.
+    """
+    if spark.conf.get(_TUNED, None) is None:
+        for key, value in _RUNTIME.items():
+            spark.conf.set(key, value)
+        spark.conf.set(_TUNED, "true")
     return spark
 
 
