@@ -64,8 +64,8 @@ def unpivot(
     df: DataFrame, keep: Sequence[str], columns: Sequence[str], name: str = "name", value: str = "value"
 ) -> DataFrame:
     """One row per (row, column) with a value. One scan, whatever the number of columns."""
-    pairs = F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("string").alias(value)) for c in columns])
-    return df.select(*keep, F.inline(pairs)).filter(F.col(value).isNotNull())
+    text = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in columns])
+    return text.unpivot(list(keep), list(columns), name, value).filter(F.col(value).isNotNull())
 
 
 def concat_key(*parts: str) -> Column:

@@ -9,8 +9,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.align import union_all
 from ..operators.load import new_only
-from ..operators.records import distinct_union
+from ..operators.records import unpivot
 
 SECONDARY, PRIMARY = "secondary_sales_view", "primary_sales_view"
 
@@ -76,27 +77,27 @@ CONFLICT_KEY = ("group_name", "display_name", "value")
 
 
 def _facet_values(view: DataFrame, facets: Sequence[Facet], threshold: float) -> DataFrame:
-    """(facet, value, group, territory) of one view, all facets in one scan."""
+    """Distinct (facet, value, group, territory) of one view, all facets in one scan.
+
+    Facets are told apart only after the values are distinct: two that show the
+    same column cost no more than one.
+    """
     shown = [f for f in facets if f.column in view.columns]
-    values = F.array(
-        *[
-            F.struct(F.lit(f.priority).alias("priority"), F.col(f.column).cast("string").alias("value"))
-            for f in shown
-        ]
+    columns = list(dict.fromkeys(f.column for f in shown))
+    priorities = F.create_map(
+        *[x for c in columns for x in (F.lit(c), F.array(*[F.lit(f.priority) for f in shown if f.column == c]))]
     )
-    return (
-        view.filter(
-            (F.col("sales") > threshold)
-            & F.col("sales_group_name").isNotNull()
-            & F.col("sales_group_code").isNotNull()
-        )
-        .select(
-            F.inline(values),
-            F.col("sales_group_code").cast("string").alias("sales_group_code"),
-            "wss_territory_code",
-        )
-        .filter(F.col("value").isNotNull())
+    rows = view.filter(
+        (F.col("sales") > threshold)
+        & F.col("sales_group_name").isNotNull()
+        & F.col("sales_group_code").isNotNull()
+    ).select(
+        F.col("sales_group_code").cast("string").alias("_group"),
+        F.col("wss_territory_code").alias("_territory"),
+        *columns,
     )
+    values = unpivot(rows, ["_group", "_territory"], columns, "_column", "value").distinct()
+    return values.select(F.explode(priorities[F.col("_column")]).alias("priority"), "value", "_group", "_territory")
 
 
 def business_constants(
@@ -111,10 +112,9 @@ def business_constants(
     for name, view in views.items():
         mine = [f for f in facets if not f.views or name in f.views]
         parts.append(_facet_values(view, mine, threshold))
-    found = distinct_union(parts)
-    grouped = found.groupBy("priority", "value").agg(
-        F.array_sort(F.collect_set("sales_group_code")).alias("sales_group_codes"),
-        F.array_sort(F.collect_set("wss_territory_code")).alias("territory_codes"),
+    grouped = union_all(parts).groupBy("priority", "value").agg(
+        F.array_sort(F.collect_set("_group")).alias("sales_group_codes"),
+        F.array_sort(F.collect_set("_territory")).alias("territory_codes"),
     )
     labels = F.create_map(*[x for f in facets for x in (F.lit(f.priority), F.lit(f.display_name))])
     groups = F.create_map(*[x for f in facets for x in (F.lit(f.priority), F.lit(f.group_name))])
