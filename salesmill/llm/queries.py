@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pii, quality, sharding
+from . import chat, pieces, pii, quality, sharding
 
 QUERIES = {}
 SQL = {}
@@ -103,3 +104,16 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(joined.format("spans")).alias("spans"),
         F.expr("array_join(transform(spans, x -> cast(x.score as string)), ',')").alias("scores"),
     )
+
+
+@query()
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text read back from them, as digests."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    out = pieces.encoded(table(spark, sf_dir, "documents"), path)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
