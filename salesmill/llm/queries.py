@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pieces, pii, quality, sharding
+from . import chat, packing, pieces, pii, quality, sharding
 
 QUERIES = {}
 SQL = {}
@@ -65,6 +65,14 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.cut(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, size=2048)
+    return packing.packed(pieces, size=2048)
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
