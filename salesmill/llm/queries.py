@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, pieces, pii, quality, sharding
+from salesmill.session import scratch
+
+from . import chat, packing, pieces, pii, quality, sharding, warc
 
 QUERIES = {}
 SQL = {}
@@ -65,6 +67,37 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    with p as (
+        select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
+        from pages
+    ), m as (
+        select payload_digest, max(page_id) as main from p where payload_bytes >= 1000 group by payload_digest
+    )
+    select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+        case when main is null or main = page_id then 'response' else 'revisit' end as record_type,
+        case when main <> page_id then main end as refers_to
+    from p left join m using (payload_digest)
+    """
+)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as archive records, read back from the archives."""
+    path = scratch(spark, "warc")
+    warc.written(table(spark, sf_dir, "pages"), path)
+    number = lambda c: F.url_decode(F.regexp_extract(c, "^<urn:page:(.*)>$", 1)).try_cast("bigint")
+    whole = F.when(F.col("type") == "response", F.col("payload_bytes")).otherwise(F.col("http_bytes"))
+    digest = F.when(F.col("type") == "response", F.col("payload_digest")).otherwise(F.col("declared_digest"))
+    intact = (digest == F.col("declared_digest")) & (whole == F.col("http_bytes"))
+    return warc.records(spark, path).select(
+        number("record_id").alias("page_id"),
+        whole.alias("payload_bytes"),
+        F.when(intact, digest).otherwise(F.raise_error(F.concat(F.lit("a payload is damaged: "), F.col("record_id")))).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        number("refers_to").alias("refers_to"),
+    )
+
+
 @query()
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
