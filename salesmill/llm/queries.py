@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesmill.session import scratch
 
-from . import chat, packing, pieces, pii, quality, sharding, warc
+from . import chat, embeddings, packing, pieces, pii, quality, sharding, warc
 
 QUERIES = {}
 SQL = {}
@@ -106,6 +106,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(pieces, size=2048)
 
 
+@query()
+def op5_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors by cosine."""
+    out = embeddings.linked(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
