@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesmill.session import scratch
 
-from . import chat, embeddings, packing, pieces, pii, quality, sharding, warc
+from . import chat, embeddings, near, packing, pieces, pii, quality, sharding, warc
 
 QUERIES = {}
 SQL = {}
@@ -139,6 +139,12 @@ def op7_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of near-duplicates of every document."""
+    return near.classes(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
