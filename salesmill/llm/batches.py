@@ -1,15 +1,37 @@
-"""Arrow batches of bounded size for the operators that run Python in tasks."""
+"""What operators that run Python in tasks need: batches of bounded size, and the package itself."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: Rows handed to Python at once. Texts of a few megabytes each still fit a worker then.
 ROWS = 512
 
 
+_shipped: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application; they may not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
+
 def bounded(spark: SparkSession, rows: int = ROWS) -> None:
-    """Hand at most so many rows at once to Python workers of this session."""
+    """Hand at most so many rows at once to Python workers of this session, which know this package."""
+    shipped(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= rows:
         spark.conf.set(key, str(rows))

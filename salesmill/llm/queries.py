@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesmill.session import scratch
 
-from . import chat, embeddings, near, packing, pieces, pii, quality, sharding, warc
+from . import chat, embeddings, near, packing, pieces, pii, quality, repeats, sharding, warc
 
 QUERIES = {}
 SQL = {}
@@ -67,6 +67,13 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of earlier ones."""
+    out = repeats.cleaned(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(
     """
     with p as (

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from salesmill.session import shared_dir
 
+from .batches import shipped
+
 MARK = "WARC/1.1\r\n"
 BREAK = "\r\n\r\n"
 #: Bytes of an archive whose candidates one task chains.
@@ -177,6 +179,7 @@ def _walked(entries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
 
 def chained(candidates: DataFrame, *, bytes_in_range: int = RANGE) -> DataFrame:
     """The candidates (file, off, nxt) that the chain from byte 0 of their file reaches."""
+    shipped(candidates.sparkSession)
     candidates = candidates.select("file", "off", "nxt").where("nxt > off").checkpoint()
     span = F.expr(f"off div {bytes_in_range}L")
     exits = candidates.groupBy("file", span.alias("span")).applyInPandas(_exits, "file string, off long, exit long").checkpoint()
@@ -204,6 +207,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     together from their parts.
     """
     shared_dir(spark)
+    shipped(spark)
     pieces = _placed(_parsed(_marks(spark, path)).checkpoint()).checkpoint()
     candidates = pieces.where("off >= 0 and total is not null").withColumn("nxt", F.expr("off + total"))
     reached = chained(candidates).select(F.col("file").alias("_f"), F.col("off").alias("_o"))
