@@ -2,23 +2,42 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm import pii, quality
+from salesmill.llm import near, packing, pii, quality, repeats
 from salesmill.session import scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SEQUENCE = 2048
 
 
 def as_documents(docs: DataFrame) -> DataFrame:
+    """The columns of documents, with the number of characters the text has now."""
     return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Documents whose verdict is ``kept``, unchanged."""
+    ids = verdicts.where("kept").select(F.col("doc_id").alias("_kept"))
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, unchanged."""
-    kept = quality.judged(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
+    """Without the documents that the rules reject."""
+    return kept(docs, quality.judged(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    return kept(docs, near.classes(docs))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that stand in a document with a smaller id; characters stay whole."""
+    out = repeats.cleaned(docs, keep=("lang", "source"), whole_characters=True)
+    return as_documents(out.withColumn("text", F.col("kept").cast("string")))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,18 +45,29 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return as_documents(pii.redacted(docs))
 
 
-STAGES = [("quality rules", quality_rules), ("personal data", personal_data)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences of at most 2048 tokens."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.packed(packing.cut(docs, path, public_tokenizers.PATTERN, size=SEQUENCE), size=SEQUENCE)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("personal data", personal_data),
+    ("packing", packed),
+]
 
+#: SQL cannot express signatures, tokens and packing; the test compares with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage but the last is written to the shared folder."""
+    """All stages over ``documents``; every stage but the last is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            path = scratch(spark, f"stage{i}")
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = scratch(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
