@@ -8,8 +8,11 @@ filtered too. Unknown roles and unknown views are refused.
 from __future__ import annotations
 
 import dataclasses
+import re
+import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,15 +45,20 @@ class Policy:
         return self.columns[view]
 
 
-# Protected views, and roles (all of them are filtered).
-DEFAULT_POLICY = Policy(
-    columns={
-        "secondary_sales_view": "wss_territory_code",
-        "secondary_sales_mat_view": "wss_territory_code",
-        "rls_master_view": "wss_territory_code",
-    },
-    roles=frozenset({"datawiz_admin", "nsm_role", "other_role"}),
-)
+# Protected views with their territory column.
+PROTECTED = {
+    "secondary_sales_view": "wss_territory_code",
+    "secondary_sales_mat_view": "wss_territory_code",
+    "rls_master_view": "wss_territory_code",
+}
+
+
+def policy_of(settings: Mapping) -> Policy:
+    """Policy of a tenant: the roles of its settings, all of them filtered, over the protected views.
+
+    Without roles nobody may read anything.
+    """
+    return Policy({**PROTECTED, **settings.get("protected_views", {})}, frozenset(settings.get("roles", ())))
 
 
 def mail_territories(hierarchy: DataFrame, levels: tuple[str, ...] = MAIL_LEVELS) -> DataFrame:
@@ -76,16 +84,13 @@ def access_map(hierarchy: DataFrame) -> DataFrame:
 
 
 def dealer_map(hierarchy: DataFrame, dealers: DataFrame) -> DataFrame:
-    """Per e-mail the sorted codes of dealers in the user's territories."""
+    """Distinct (email, dealer_code) pairs: the dealers in a user's territories.
+
+    Rows, not arrays: the head of a company sees all its dealers.
+    """
     side = dealers.select(F.col("tsi_territory_code").alias("_territory"), "dealer_code").distinct()
     pairs = mail_territories(hierarchy)
-    return (
-        pairs.join(side, pairs["wss_territory_code"] == F.col("_territory"))
-        .select("email", "dealer_code")
-        .distinct()
-        .groupBy("email")
-        .agg(F.array_sort(F.collect_list("dealer_code")).alias("dealer_codes"))
-    )
+    return pairs.join(side, pairs["wss_territory_code"] == F.col("_territory")).select("email", "dealer_code").distinct()
 
 
 def hierarchy_paths(hierarchy: DataFrame) -> DataFrame:
@@ -132,14 +137,14 @@ def territories_of(access: DataFrame, email: str) -> DataFrame:
 
 
 def secure(
-    view: str, df: DataFrame, access: DataFrame, email: str, role: str, policy: Policy = DEFAULT_POLICY
+    view: str, df: DataFrame, access: DataFrame, email: str, role: str, policy: Policy
 ) -> DataFrame:
     """Rows of a protected view that the user may see."""
     return secured_views({view: df}, access, email, role, policy)[view]
 
 
 def secured_views(
-    views: Mapping[str, DataFrame], access: DataFrame, email: str, role: str, policy: Policy = DEFAULT_POLICY
+    views: Mapping[str, DataFrame], access: DataFrame, email: str, role: str, policy: Policy
 ) -> dict[str, DataFrame]:
     """All given views, each limited to the user's rows.
 
@@ -151,6 +156,71 @@ def secured_views(
     return {name: members(df, columns[name], mine, "territory") for name, df in views.items()}
 
 
+#: Parsed operators a query may consist of. Anything else (commands, table functions, scripts) is refused.
+_ALLOWED = frozenset(
+    """
+    Project Filter Aggregate Join Union Distinct Except Intersect Sort GlobalLimit LocalLimit Offset Sample
+    SubqueryAlias UnresolvedSubqueryColumnAliases UnresolvedWith UnresolvedRelation UnresolvedHaving
+    OneRowRelation UnresolvedInlineTable LocalRelation WithWindowDefinition Window Pivot Unpivot LateralJoin Generate
+    """.split()
+)
+#: Built-in functions that reach outside the query.
+_OUTSIDE = frozenset({"reflect", "java_method", "try_reflect"})
+
+
+class _Reader:
+    """Collects what a user's text reads, from Spark's own parse of it; refuses what may read anything else."""
+
+    def __init__(self, spark: SparkSession, text: str):
+        self.found: set[str] = set()
+        self.functions = {r[0].lower() for r in spark.sql("SHOW SYSTEM FUNCTIONS").collect()} - _OUTSIDE
+        java = spark._jvm.java.lang.Class
+        base = "org.apache.spark.sql.catalyst."
+        loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        self.subquery = java.forName(base + "expressions.PlanExpression", True, loader)
+        self.function = java.forName(base + "analysis.UnresolvedFunction", True, loader)
+        try:
+            parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+        except ParseException as err:
+            raise AccessDenied("the text cannot be read as a query") from err
+        self.plan(parsed, frozenset())
+
+    @staticmethod
+    def _items(seq) -> list:
+        return [seq.apply(i) for i in range(seq.size())]
+
+    def plan(self, node, defined: frozenset[str]) -> None:
+        """``defined``: names of the query's own CTEs in scope; they hide tables of the same name."""
+        kind = node.getClass().getSimpleName()
+        if kind not in _ALLOWED:
+            raise AccessDenied(f"{kind} is not allowed in a query")
+        if kind == "UnresolvedRelation":
+            parts = self._items(node.multipartIdentifier())
+            if len(parts) > 1 or parts[0].lower() not in defined:
+                self.found.add(".".join(parts))
+            return
+        if kind == "UnresolvedWith":
+            for pair in self._items(node.cteRelations()):
+                self.plan(pair._2(), defined)
+                defined |= {pair._1().lower()}
+            self.plan(node.child(), defined)
+            return
+        for expression in self._items(node.expressions()):
+            self.expression(expression, defined)
+        for child in self._items(node.children()):
+            self.plan(child, defined)
+
+    def expression(self, node, defined: frozenset[str]) -> None:
+        if self.subquery.isInstance(node):
+            self.plan(node.plan(), defined)
+        elif self.function.isInstance(node):
+            name = ".".join(self._items(node.nameParts()))
+            if name.lower() not in self.functions:
+                raise AccessDenied(f"function {name} is not allowed in a query")
+        for child in self._items(node.children()):
+            self.expression(child, defined)
+
+
 def query_as(
     spark: SparkSession,
     text: str,
@@ -158,7 +228,26 @@ def query_as(
     access: DataFrame,
     email: str,
     role: str,
-    policy: Policy = DEFAULT_POLICY,
+    policy: Policy,
 ) -> DataFrame:
-    """Run a user's SQL over secured views, named ``{view}`` in the text."""
-    return spark.sql(text, **secured_views(views, access, email, role, policy))
+    """Run a user's SQL over secured views, named ``{view}`` in the text.
+
+    The text must be one query that reads nothing but these placeholders and
+    the names it defines itself: commands, other tables and views, files, table
+    functions and functions that are not built in are refused before anything
+    is run. The secured views have random names while the text is analysed.
+    """
+    secured = secured_views(views, access, email, role, policy)
+    tag = uuid.uuid4().hex
+    names = {view: f"_secured_{i}_{tag}" for i, view in enumerate(secured)}
+    plain = re.sub(r"\{(\w+)\}", lambda m: names.get(m[1], m[0]), text)
+    strange = _Reader(spark, plain).found - set(names.values())
+    if strange:
+        raise AccessDenied(f"only the given views may be read, not {sorted(strange)}")
+    try:
+        for view, name in names.items():
+            secured[view].createOrReplaceTempView(name)
+        return spark.sql(plain)
+    finally:
+        for name in names.values():
+            spark.catalog.dropTempView(name)

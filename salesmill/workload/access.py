@@ -17,7 +17,8 @@ from .sales import QUARTERS, SECONDARY_CTE, growth_sql, secondary_view
 
 WORK = Workload()
 
-USER, ROLE = "ZSM-1@example.com", "nsm_role"
+USER, ROLE = "ZSM-1@example.com", "manager"
+POLICY = access.policy_of({"roles": [ROLE, "auditor"]})
 
 _LEVELS = [m.removesuffix("_email").removeprefix("sh_") for m in access.MAIL_LEVELS]
 
@@ -56,14 +57,11 @@ def access_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 @WORK.add(
     "dealer_access_map",
     f"""{shape_cte("dim_hierarchy", "dim_dealer_master")}, pairs AS ({PAIRS_SQL})
-    SELECT email, string_agg(dealer_code, ',' ORDER BY dealer_code) AS dealer_codes
-    FROM (SELECT DISTINCT p.email, d.dealer_code
-          FROM pairs p JOIN dim_dealer_master d ON d.tsi_territory_code = p.wss_territory_code) found
-    GROUP BY email""",
+    SELECT DISTINCT p.email, d.dealer_code
+    FROM pairs p JOIN dim_dealer_master d ON d.tsi_territory_code = p.wss_territory_code""",
 )
 def dealer_access_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = access.dealer_map(shape(spark, sf_dir, "dim_hierarchy"), shape(spark, sf_dir, "dim_dealer_master"))
-    return out.select("email", F.array_join("dealer_codes", ",").alias("dealer_codes"))
+    return access.dealer_map(shape(spark, sf_dir, "dim_hierarchy"), shape(spark, sf_dir, "dim_dealer_master"))
 
 
 @WORK.add(
@@ -123,7 +121,7 @@ def path_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rls_secondary_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = secondary_view(spark, sf_dir)
-    mine = access.secure("secondary_sales_view", view, _access(spark, sf_dir), USER, ROLE)
+    mine = access.secure("secondary_sales_view", view, _access(spark, sf_dir), USER, ROLE, POLICY)
     return mine.select("invoice_no", "invoice_date", "wss_territory_code", "wss_code", "product_name", "sales")
 
 
@@ -131,7 +129,7 @@ def rls_secondary_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rls_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The growth query of one user: territories are filtered before anything is summed."""
     view = secondary_view(spark, sf_dir)
-    mine = access.secure("secondary_sales_view", view, _access(spark, sf_dir), USER, ROLE)
+    mine = access.secure("secondary_sales_view", view, _access(spark, sf_dir), USER, ROLE, POLICY)
     return growth.growth_decline(mine, QUARTERS)
 
 
@@ -163,4 +161,4 @@ def rls_composed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     refresh_snapshot(secondary_view(spark, sf_dir), stored)
     text = _COMPOSED.replace("{secured}", "{secondary_sales_mat_view}")
     views = {"secondary_sales_mat_view": stored.read()}
-    return access.query_as(spark, text, views, _access(spark, sf_dir), USER, ROLE)
+    return access.query_as(spark, text, views, _access(spark, sf_dir), USER, ROLE, POLICY)

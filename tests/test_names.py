@@ -37,20 +37,24 @@ def test_equal_keys_are_settled_by_type():
     assert names.match_column("group-1", targets) == "group_1"
 
 
-def test_typed_match_prefers_text_for_text():
-    targets = {"customer_group": "SMALLINT", "cm_customer_group": "VARCHAR(20)", "town": "VARCHAR(9)"}
-    assert names.match_typed_column("customer group", T.StringType(), targets) == "cm_customer_group"
-    assert names.match_typed_column("customer group", T.LongType(), targets) == "customer_group"
-    assert names.match_typed_column("town", T.StringType(), targets) == "town"
-    assert names.match_typed_column("town", T.StringType(), targets, {"town": "city"}) == "city"
-    assert names.match_typed_column("nowhere", T.StringType(), targets) is None
-
-
-def test_similarity():
-    assert names.similarity("abc", "abc") == 1.0
-    assert names.similarity("abc", "abcd") == 0.75
-    assert names.similarity("abxd", "abcd") == 0.75
-    assert names.similarity("", "abcd") == 0.0
+def test_typed_match_takes_the_first_name_that_holds_the_type():
+    targets = {"customer_group": "SMALLINT", "cm_customer_group": "VARCHAR(20)", "town": "VARCHAR(9)", "town_name": "VARCHAR(9)"}
+    find = names.match_typed_column
+    assert find("customer group", T.StringType(), targets, prefixes=["cm"]) == "cm_customer_group"
+    assert find("customer group", T.LongType(), targets, prefixes=["cm"]) == "customer_group"
+    assert find("customer group", T.StringType(), targets) == "customer_group"
+    assert find("town", T.StringType(), targets) == "town"
+    assert find("Town", T.StringType(), targets, {"town": "city"}) == "city"
+    assert find("tow", T.StringType(), targets) == "town"
+    assert find("nowhere", T.StringType(), targets) is None
+
+
+def test_misspelled_names():
+    targets = {"customer_code": "VARCHAR(12)", "invoice_number": "VARCHAR(9)"}
+    assert names.match_column("custmer_code", targets) == "customer_code"
+    assert names.match_column("invoice_numbr", targets) == "invoice_number"
+    assert names.match_column("customer_name", targets) is None
+    assert names.match_column("customer_name", targets, cutoff=0.5) == "customer_code"
 
 
 def test_mapping_helpers():
