@@ -10,9 +10,12 @@ needs darts up to a height of about k (ln k + 2) / W only, so the cost is that
 of reading it, not its weight times the number of coordinates.
 
 Signatures are joined in bands. In each bucket all documents are compared with
-one of them; what is linked that way is a component, and only pairs of
-different components that still meet in a bucket are compared after that.
-Candidates are verified on the runs themselves.
+one of them, and what is linked that way is a component. Buckets that still
+hold several components are searched for candidates between them, signature by
+signature inside the tasks; candidates make clusters, and a task gets a cluster
+(or two blocks of a large one) with the runs of its documents, verifies the
+most similar first, and skips what is connected by then. Pairs of a group are
+never written out. What is verified is the runs themselves.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from salesmill.session import shared_dir
 
-from .batches import bounded
+from .batches import bounded, whole_groups
 from .graph import components
 from .hashing import U, mixed, shingles, slices
 
@@ -142,39 +145,175 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, *, key: str, t
     both = both.where(F.least("wa", "wb") >= similarity * F.greatest("wa", "wb")).select("a", "b", "sa", "sb")
     likely_pairs = both.mapInPandas(likely, f"a {kind}, b {kind}").checkpoint()
     needed = likely_pairs.select(F.explode(F.array("a", "b")).alias("_n")).distinct()
-
-    def taken(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = _bytes(batch["text"].tolist())
-            for a, b in slices(map(len, raw)):
-                runs, of = shingles(raw[a:b], WIDTH)
-                of, cell = cells(of, runs)
-                order = np.lexsort((cell, of))
-                ends = np.searchsorted(of, np.arange(b - a + 1))
-                cell = cell[order]
-                yield pd.DataFrame({"n": batch["n"].iloc[a:b], "cells": [cell[i:j].tobytes() for i, j in zip(ends, ends[1:])]})
-
-    texts = docs.select(F.col(f"`{key}`").alias("n"), F.col(f"`{text}`").alias("text")).join(needed, F.col("n") == F.col("_n"), "left_semi")
-    cell_sets = texts.mapInPandas(taken, f"n {kind}, cells binary")
+    sets = cell_sets(docs, needed, key=key, text=text)
 
     def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fine = []
             for x, y in zip(batch["ca"], batch["cb"]):
                 x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                fine.append(shared >= similarity * (len(x) + len(y) - shared))
+                both = shared_cells(x, y)
+                fine.append(both >= similarity * (len(x) + len(y) - both))
             yield batch.loc[np.array(fine, bool), ["a", "b"]]
 
     bounded(spark)
     joined = (
-        likely_pairs.join(cell_sets.select(F.col("n").alias("_a"), F.col("cells").alias("ca")), F.col("a") == F.col("_a"))
-        .join(cell_sets.select(F.col("n").alias("_b"), F.col("cells").alias("cb")), F.col("b") == F.col("_b"))
+        likely_pairs.join(sets.select(F.col("n").alias("_a"), F.col("cells").alias("ca")), F.col("a") == F.col("_a"))
+        .join(sets.select(F.col("n").alias("_b"), F.col("cells").alias("cb")), F.col("b") == F.col("_b"))
         .select("a", "b", "ca", "cb")
     )
     return joined.mapInPandas(alike, f"a {kind}, b {kind}").checkpoint()
 
 
+def blocked(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """Rows with lo, hi and side, such that every two rows of a group stand together in one (group, lo, hi).
+
+    Groups beyond ``block`` rows are cut into blocks, and their rows repeated for each pair of blocks.
+    """
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_size")).select(F.col(group).alias("_g"), "_size")
+    return (
+        rows.join(sizes, F.col(group) == F.col("_g"))
+        .withColumn("_blocks", F.expr(f"(_size + {block - 1}) div {block}"))
+        .withColumn("_mine", F.expr("pmod(xxhash64(node), _blocks)"))
+        .withColumn("_other", F.explode(F.expr("sequence(0L, _blocks - 1)")))
+        .withColumns({"lo": F.least("_mine", "_other"), "hi": F.greatest("_mine", "_other"), "side": F.expr("if(_mine <= _other, 0, 1)")})
+        .drop("_g", "_size", "_blocks", "_mine", "_other")
+    )
+
+
+#: Rows of a block, and buckets up to which size are searched many at a time.
+BLOCK, SMALL = 1024, 48
+
+
+def _pairs(rows: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates (i, j) between components of one group, and their equal coordinates: enough, and weights alike."""
+    sig = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(len(rows), -1)
+    weight, root, side = rows["weight"].to_numpy(), pd.factorize(rows["root"])[0], rows["side"].to_numpy()
+    cross = rows["lo"].iloc[0] != rows["hi"].iloc[0]
+    least = int(np.ceil(LEAST_EQUAL * sig.shape[1]))
+    out = []
+    for i in range(len(rows) - 1):
+        j = np.arange(i + 1, len(rows))
+        fine = (root[j] != root[i]) & (np.minimum(weight[j], weight[i]) >= similarity * np.maximum(weight[j], weight[i]))
+        j = j[fine & (side[j] != side[i])] if cross else j[fine]
+        if len(j):
+            equal = (sig[j] == sig[i]).sum(axis=1)
+            enough = equal >= least
+            out.append((np.full(int(enough.sum()), i), j[enough], equal[enough]))
+    return tuple(np.concatenate([x[k] for x in out]) if out else np.zeros(0, np.int64) for k in range(3))
+
+
+class Joined:
+    """Sets of rows that grow together."""
+
+    def __init__(self, of: np.ndarray):
+        self.up = np.unique(of, return_index=True)[1][np.unique(of, return_inverse=True)[1]].tolist()
+
+    def find(self, i: int) -> int:
+        up = self.up
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.find(i), self.find(j)
+        self.up[max(i, j)] = min(i, j)
+        return i != j
+
+
+def candidates(open_rows: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) that connect what candidates connect, for rows (bucket, node, root, weight, sig)."""
+    kind = open_rows.schema["node"].dataType.simpleString()
+
+    def small(rows: pd.DataFrame) -> pd.DataFrame:
+        bucket, root, weight = rows["bucket"].to_numpy(), pd.factorize(rows["root"])[0], rows["weight"].to_numpy()
+        sig, node = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(len(rows), -1), rows["node"].to_numpy()
+        found = []
+        for k in range(1, SMALL):
+            i = np.flatnonzero(bucket[:-k] == bucket[k:])
+            if not len(i):
+                break
+            a, b = weight[i], weight[i + k]
+            i = i[(root[i] != root[i + k]) & (np.minimum(a, b) >= similarity * np.maximum(a, b))]
+            i = i[(sig[i] == sig[i + k]).mean(axis=1) >= LEAST_EQUAL]
+            found.append((i, i + k))
+        i, j = (np.concatenate([x[s] for x in found]) if found else np.zeros(0, np.int64) for s in (0, 1))
+        return pd.DataFrame({"a": node[i], "b": node[j]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in whole_groups(batches, ["bucket", "lo", "hi"]):
+            marks = rows[["bucket", "lo", "hi"]].to_numpy()
+            starts = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]).any(axis=1)])
+            sizes = np.diff(np.r_[starts, len(rows)])
+            few = (sizes <= SMALL) & (marks[starts, 1] == marks[starts, 2])
+            part = rows[np.repeat(few, sizes)]
+            if len(part):
+                yield small(part)
+            for a, n in zip(starts[~few], sizes[~few]):
+                part = rows.iloc[a : a + n]
+                node, sets = part["node"].to_numpy(), Joined(np.arange(n))
+                i, j, _ = _pairs(part, similarity)
+                kept = [k for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())) if sets.join(x, y)]
+                yield pd.DataFrame({"a": node[i[kept]], "b": node[j[kept]]})
+
+    spread = blocked(open_rows, "bucket", BLOCK).repartition(F.xxhash64("bucket", "lo", "hi"))
+    return spread.sortWithinPartitions("bucket", "lo", "hi", "node").mapInPandas(run, f"a {kind}, b {kind}")
+
+
+def shared_cells(x: np.ndarray, y: np.ndarray) -> int:
+    """Number of equal values of two ascending arrays without repeats."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum()) if len(y) else 0
+
+
+def linked_clusters(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect what is linked, for rows (cluster, node, root, weight, sig, cells)."""
+    kind = rows.schema["node"].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in whole_groups(batches, ["cluster", "lo", "hi"]):
+            for _, part in group.groupby(["cluster", "lo", "hi"], sort=False):
+                node, sets = part["node"].to_numpy(), Joined(pd.factorize(part["root"])[0])
+                cells_of = [np.frombuffer(c, U) for c in part["cells"]]
+                i, j, equal = _pairs(part, similarity)
+                order = np.argsort(-equal, kind="stable")
+                found = []
+                for a, b in zip(i[order].tolist(), j[order].tolist()):
+                    if sets.find(a) != sets.find(b):
+                        x, y = cells_of[a], cells_of[b]
+                        both = shared_cells(x, y)
+                        if both >= similarity * (len(x) + len(y) - both):
+                            sets.join(a, b)
+                            found.append((node[a], node[b]))
+                if found:
+                    yield pd.DataFrame(found, columns=["a", "b"])
+
+    spread = blocked(rows, "cluster", BLOCK).repartition(F.xxhash64("cluster", "lo", "hi"))
+    return spread.sortWithinPartitions("cluster", "lo", "hi", "node").mapInPandas(run, f"a {kind}, b {kind}")
+
+
+def cell_sets(docs: DataFrame, needed: DataFrame, *, key: str, text: str) -> DataFrame:
+    """(n, cells): the sorted cells of the documents whose key is a ``_n`` of ``needed``."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def taken(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            raw = _bytes(batch["text"].tolist())
+            for a, b in slices(map(len, raw)):
+                runs, of = shingles(raw[a:b], WIDTH)
+                of, cell = cells(of, runs)
+                cell = cell[np.lexsort((cell, of))]
+                ends = np.searchsorted(of, np.arange(b - a + 1))
+                yield pd.DataFrame({"n": batch["n"].iloc[a:b], "cells": [cell[i:j].tobytes() for i, j in zip(ends, ends[1:])]})
+
+    texts = docs.select(F.col(f"`{key}`").alias("n"), F.col(f"`{text}`").alias("text"))
+    return texts.join(needed, F.col("n") == F.col("_n"), "left_semi").mapInPandas(taken, f"n {kind}, cells binary")
+
+
 def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", similarity: float = SIMILAR) -> DataFrame:
     """One row per document: its key, class_id (smallest key of its group) and kept (that key is its own).
 
@@ -201,20 +340,17 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", similar
     full = entries.groupBy("bucket").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     met = entries.join(full.select(F.col("bucket").alias("_b"), "first"), F.col("bucket") == F.col("_b")).select("bucket", "node", "first").checkpoint()
     stars = met.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    check = lambda pairs: verified(pairs, docs, known, key=key, text=text, similarity=similarity)
-    links = check(stars)
+    links = verified(stars, docs, known, key=key, text=text, similarity=similarity)
     roots = components(links).select(F.col("node").alias("_n"), "root")
-    # Buckets that still hold several components: their pairs across components, but for those already compared.
-    placed = met.join(roots, F.col("node") == F.col("_n"), "left").select("bucket", "node", "first", F.coalesce("root", "node").alias("root")).checkpoint()
-    mixed_buckets = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("bucket").alias("_b"))
-    open_rows = placed.where("node <> first").join(mixed_buckets, F.col("bucket") == F.col("_b"), "left_semi")
-    other = open_rows.select(F.col("bucket").alias("_b"), F.col("node").alias("b"), F.col("root").alias("_r"))
-    crossing = (
-        open_rows.join(other, (F.col("bucket") == F.col("_b")) & (F.col("root") < F.col("_r")))
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        .distinct()
-    )
-    more = check(crossing)
+    described = known.join(roots, F.col("node") == F.col("_n"), "left").select("node", "weight", "sig", F.coalesce("root", "node").alias("root")).checkpoint()
+    # Buckets that still hold several components are searched for what may link these.
+    placed = met.select("bucket", F.col("node").alias("_m")).join(described, F.col("node") == F.col("_m")).drop("_m").checkpoint()
+    several = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("bucket").alias("_b"))
+    open_rows = placed.join(several, F.col("bucket") == F.col("_b"), "left_semi")
+    clusters = components(candidates(open_rows, similarity).distinct().checkpoint()).select(F.col("node").alias("_n"), F.col("root").alias("cluster")).checkpoint()
+    sets = cell_sets(docs, clusters.select("_n"), key=key, text=text)
+    rows = described.join(clusters, F.col("node") == F.col("_n")).drop("_n").join(sets, F.col("node") == F.col("n")).drop("n")
+    more = linked_clusters(rows, similarity).checkpoint()
     roots = components(links.unionByName(more)).select(F.col("node").alias("_n"), "root")
     named = nodes.join(roots, F.col("node") == F.col("_n"), "left").select("same0", "same1", "weight", F.coalesce("root", "node").alias("class_id"))
     named = named.withColumnsRenamed({"same0": "_0", "same1": "_1", "weight": "_w"})
