@@ -3,7 +3,7 @@
 A definition is a mapping with a ``type``:
 
 * ``concatenation``: ``columns``, ``separator``, ``nulls``
-* ``calculation``: ``formula``, a Spark SQL expression, and ``nulls``
+* ``calculation``: ``formula``, a Spark SQL expression, its ``columns`` if they are to be told, and ``nulls``
 * ``classification``: ``column``, ``labels`` {code: label}, ``default``
 * ``bands``: ``column``, ``steps`` [(lower bound, label)], ``default``
 * ``fiscal_year`` / ``fiscal_quarter``: ``column``
@@ -13,12 +13,11 @@ A definition is a mapping with a ``type``:
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 from graphlib import CycleError, TopologicalSorter
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,19 +26,34 @@ from ..functions.text import joined_key
 
 
 def sources(definition: Mapping[str, Any]) -> set[str]:
-    """Columns a definition reads."""
+    """Columns a definition reads. For a formula without ``columns``, Spark's own parse tells."""
     kind = definition["type"]
     if kind == "concatenation":
         return set(definition["columns"])
     if kind == "calculation":
-        text = re.sub(r"'[^']*'", "", definition["formula"])
-        return set(definition.get("columns") or re.findall(r"\b[a-z_]\w*\b(?!\s*\()", text)) - _SQL_WORDS
+        return set(definition["columns"]) if "columns" in definition else formula_columns(definition["formula"])
     if kind == "lookup":
         return {definition["on"]}
     return {definition["column"]}
 
 
-_SQL_WORDS = {"case", "when", "then", "else", "end", "and", "or", "not", "null", "is", "in", "between", "as", "true", "false"}
+def formula_columns(formula: str) -> set[str]:
+    """Columns that a Spark SQL expression names, as spelled."""
+    spark = SparkSession.active()
+    parsed = spark._jsparkSession.sessionState().sqlParser().parseExpression(formula)
+    kind = spark._jvm.java.lang.Class.forName(
+        "org.apache.spark.sql.catalyst.analysis.UnresolvedAttribute",
+        True,
+        spark._jvm.java.lang.Thread.currentThread().getContextClassLoader(),
+    )
+    found, todo = set(), [parsed]
+    while todo:
+        node = todo.pop()
+        if kind.isInstance(node):
+            found.add(node.nameParts().apply(0))
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
 
 
 def _concatenation(d: Mapping[str, Any]) -> Column:
@@ -102,7 +116,8 @@ def add_computed(
     skipped: dict[str, list[str]] = {}
     for name in build_order(definitions):
         d = definitions[name]
-        absent = sorted(s for s in sources(d) if s not in df.columns)
+        have = {c.lower() for c in df.columns}
+        absent = sorted(s for s in sources(d) if s.lower() not in have)
         if absent:
             skipped[name] = absent
             continue

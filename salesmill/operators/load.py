@@ -8,10 +8,10 @@ load leaves the table as it was. Nothing that is being read is overwritten.
 from __future__ import annotations
 
 import dataclasses
-import datetime as dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .align import conform, union_all
+from .records import first_per_key
 
 _LOG = "version bigint, kind string, path string, removed string, rows bigint, table_schema string, partitions array<string>"
 
 
 REJECTED = "_rejected"
-# An upsert touching more partitions than this rewrites the table instead.
-MAX_PARTITIONS = 1000
+# A removal that names partitions is kept as a folder of their values.
+_PARTITIONS = "partitions:"
 
 
 class LoadError(RuntimeError):
@@ -43,15 +44,21 @@ class Commit:
     partitions: tuple[str, ...]
 
 
-def upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Updates replace target rows with the same key; the rest stays."""
+def one_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """One row of a batch per key: the first in ``order``, of equal ones the one with the largest values."""
+    return first_per_key(rows, keys, [*order, *[F.col(f"`{c}`").desc_nulls_last() for c in rows.columns if c not in keys]])
+
+
+def upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Updates replace target rows with the same key; the rest stays. A key repeated in the batch is stored once."""
+    updates = one_per_key(updates, keys, order)
     kept = target.join(updates.select(*keys), list(keys), "left_anti")
     return kept.select(target.columns).unionByName(updates.select(target.columns))
 
 
-def new_only(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key the target does not hold yet."""
-    return rows.join(target.select(*keys), list(keys), "left_anti").select(rows.columns)
+def new_only(target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """Rows whose key the target does not hold yet, one per key."""
+    return one_per_key(rows, keys, order).join(target.select(*keys), list(keys), "left_anti").select(rows.columns)
 
 
 def slice_replaced(target: DataFrame, rows: DataFrame, slice_: str | Column) -> DataFrame:
@@ -141,15 +148,28 @@ class Table:
         for paths, gone in groups:
             part = reader.parquet(*paths).select(*[f"`{n}`" for n in schema.names])
             for condition in dict.fromkeys(gone):
-                part = part.filter(~F.coalesce(F.expr(condition), F.lit(False)))
+                part = self._without(part, condition)
             frames.append(part)
         return union_all(frames)
 
+    def _without(self, part: DataFrame, removed: str) -> DataFrame:
+        """Rows that a removal leaves: a condition, or the values of whole partitions."""
+        if not removed.startswith(_PARTITIONS):
+            return part.filter(~F.coalesce(F.expr(removed), F.lit(False)))
+        gone = self.spark.read.parquet(removed.removeprefix(_PARTITIONS))
+        gone = gone.select([F.col(f"`{c}`").alias(f"_gone_{c}") for c in gone.columns])
+        same = [F.col(f"`{c.removeprefix('_gone_')}`").eqNullSafe(F.col(f"`{c}`")) for c in gone.columns]
+        return part.join(gone, reduce(lambda a, b: a & b, same), "left_anti")
+
     # -- writing --
 
-    def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> tuple[str, int]:
+    def stage(
+        self, df: DataFrame, partition_by: Sequence[str] = (), watch: tuple[Observation, Sequence[Column]] | None = None
+    ) -> tuple[str, int]:
         """Write to a fresh path and check the row count against what was sent.
 
+        ``watch`` is observed on the way. Counts are taken in the writing tasks,
+        behind the shuffle, where a task that is run again counts once.
         Rows marked ``_rejected`` go to their own folder of the same write. The
         path and the count returned are those of the other rows.
         """
@@ -158,10 +178,13 @@ class Table:
         load = f"{self.root}/data/load=v{uuid.uuid4().hex}"
         sent = Observation()
         good = F.count_if(~F.col(REJECTED)).alias("good")
-        out = df.observe(sent, F.count(F.lit(1)).alias("rows"), good)
+        out = df
         if partition_by:
             # Even-sized files per partition value; oversized values are split.
             out = out.hint("rebalance", *partition_by)
+        if watch is not None:
+            out = out.observe(watch[0], *watch[1])
+        out = out.observe(sent, F.count(F.lit(1)).alias("rows"), good)
         out.write.partitionBy(REJECTED, *partition_by).parquet(load)
         counts = observed(sent)
         self.check(load, df.schema, counts.get("rows", 0))
@@ -218,31 +241,26 @@ class Table:
         """Exchange the rows meeting a condition. Rows outside it are not rewritten."""
         return self._append(df, self.commits(), condition)
 
-    def upsert(self, df: DataFrame, keys: Sequence[str]) -> int:
-        """Replace rows by key. In a partitioned table only the partitions involved are rewritten."""
-        found = self.commits()
-        if not found:
-            return self._replace(df, found)
-        updates, current = conform(df, _schema(found)), self._frame(found)
-        touched = self._touched(current, updates, keys, _partitions(found))
-        if touched is None:
-            return self._replace(upserted(current, updates, keys), found)
-        return self._append(upserted(current.filter(F.expr(touched)), updates, keys), found, touched)
-
-    @staticmethod
-    def _touched(current: DataFrame, updates: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> str | None:
-        """Condition for the partitions holding the keys, before or after the update.
+    def upsert(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> int:
+        """Replace rows by key. In a partitioned table only the partitions involved are rewritten.
 
-        None when the table has no partitions or too many of them are involved.
+        A key that the batch repeats is stored once, the first in ``order``. The
+        partitions involved stay a table: they are written beside the data and
+        named in the log, however many there are.
         """
+        found = self.commits()
+        if not found:
+            return self._replace(one_per_key(df, keys, order), found)
+        updates, current, parts = conform(df, _schema(found)), self._frame(found), _partitions(found)
         if not parts:
-            return None
+            return self._replace(upserted(current, updates, keys, order), found)
         held = current.join(updates.select(*keys).distinct(), list(keys), "left_semi").select(*parts)
-        values = held.union(updates.select(*parts)).distinct().limit(MAX_PARTITIONS + 1).collect()
-        if len(values) > MAX_PARTITIONS:
-            return None
-        alternatives = [" AND ".join(f"`{c}` <=> {_literal(v)}" for c, v in zip(parts, row)) for row in values]
-        return " OR ".join(f"({a})" for a in alternatives) or "false"
+        path = f"{self.root}/removed/v{uuid.uuid4().hex}"
+        held.union(updates.select(*parts)).distinct().write.parquet(path)
+        touched = self.spark.read.parquet(path).select([F.col(f"`{c}`").alias(f"_in_{c}") for c in parts])
+        same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_in_{c}`")) for c in parts])
+        involved = current.join(touched, same, "left_semi")
+        return self._append(upserted(involved, updates, keys, order), found, _PARTITIONS + path)
 
     def delete(self, condition: str) -> int:
         """Drop the rows meeting a condition; nothing is rewritten until the next compaction."""
@@ -250,9 +268,11 @@ class Table:
         last = found[-1]
         return self.commit("append", last.path, 0, _schema(found), _partitions(found), condition, found)
 
-    def insert_missing(self, df: DataFrame, keys: Sequence[str]) -> int:
+    def insert_missing(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> int:
+        """Add rows with new keys; of a key that the batch repeats, the first in ``order``."""
         found = self.commits()
-        return self._append(new_only(self._frame(found), df, keys) if found else df, found)
+        rows = new_only(self._frame(found), df, keys, order) if found else one_per_key(df, keys, order)
+        return self._append(rows, found)
 
     def compact(self, partition_by: Sequence[str] | None = None) -> int:
         """Rewrite small files and replaced slices into evenly sized files."""
@@ -267,17 +287,6 @@ class Table:
         return self._replace(conform(self._frame(found), schema), found)
 
 
-def _literal(value: object) -> str:
-    """A partition value as SQL."""
-    if value is None:
-        return "NULL"
-    if isinstance(value, str):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(value, dt.date):
-        return f"DATE'{value:%Y-%m-%d}'"
-    return str(value)
-
-
 def _schema(found: list[Commit]) -> T.StructType:
     return T.StructType.fromJson(json.loads(found[-1].table_schema))
 
@@ -291,15 +300,22 @@ def save_bucketed(df: DataFrame, name: str, columns: Sequence[str], buckets: int
     df.write.mode(mode).bucketBy(buckets, *columns).sortBy(*columns).format("parquet").saveAsTable(name)
 
 
-def register(spark: SparkSession, tables: dict[str, DataFrame], views: dict[str, tuple[int, object]]) -> list[str]:
+def register(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    views: dict[str, tuple[int, object]],
+    protected: Collection[str] = (),
+) -> list[str]:
     """Temp views for tables, then for views in their declared order.
 
-    ``views`` maps a name to (order, function of the registered frames).
+    ``views`` maps a name to (order, function of the registered frames). Views
+    that are ``protected`` are built for those after them but get no name in
+    the session, where any query could read them.
     """
     done = dict(tables)
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
     for name, (_, build) in sorted(views.items(), key=lambda kv: kv[1][0]):
         done[name] = build(done)
-        done[name].createOrReplaceTempView(name)
-    return list(done)
+    for name, df in done.items():
+        if name not in protected:
+            df.createOrReplaceTempView(name)
+    return [name for name in done if name not in protected]

@@ -50,7 +50,6 @@ LOWER_COLUMNS = ("email", "website")
 VOLUME_LIMITS = (0.5, 1.5)
 ERROR_LIMITS = (0.001, 0.01)
 GROWTH = 1.2
-MAX_TEXT_BYTES = 5000
 
 
 class QualityError(ValueError):
@@ -100,6 +99,11 @@ def plausible_day(column: str, as_of: dt.date | None = None, action: str = "skip
     return Rule(f"{column}_day", F.col(column).between(low, high), action, column)
 
 
+def declared_required(schema: T.StructType, action: str = "fail") -> list[Rule]:
+    """Columns declared NOT NULL hold a value."""
+    return [required(f.name, action) for f in schema.fields if not f.nullable]
+
+
 def fits_bytes(schema: T.StructType, action: str = "warn") -> list[Rule]:
     """Text no longer than declared; limits count bytes."""
     return [
@@ -244,7 +248,13 @@ class Widening:
 
     @property
     def statement(self) -> str:
-        return f"ALTER TABLE {self.table} MODIFY COLUMN {self.column} {self.new};"
+        """What is to change, for people; ``Table.evolve`` makes the change."""
+        return f"{self.table}.{self.column}: {self.old} to {self.new}"
+
+
+def proposed_bytes(longest: int) -> int:
+    """Declared size for text of which the longest value has so many bytes."""
+    return int(longest * GROWTH)
 
 
 def propose_widening(df: DataFrame, table: str, schema: T.StructType) -> list[Widening]:
@@ -260,7 +270,7 @@ def propose_widening(df: DataFrame, table: str, schema: T.StructType) -> list[Wi
     for c, longest in max_bytes(df, texts).items():
         limit = by_name[c].metadata["max_bytes"]
         if longest is not None and longest > limit:
-            size = min(int(longest * GROWTH), MAX_TEXT_BYTES)
+            size = proposed_bytes(longest)
             plan.append(Widening(table, c, f"VARCHAR({limit})", f"VARCHAR({size})", f"longest value {longest} bytes"))
     for c, (low, high) in exact_ranges(df, ints).items():
         if low is None:

@@ -30,6 +30,7 @@ class Transformed:
     conversion_failures: dict[str, int]
     computed_skipped: dict[str, list[str]]
     widenings: list[quality.Widening]
+    extra: list[str]
 
 
 def _targets(schema: T.StructType) -> dict[str, T.DataType]:
@@ -60,14 +61,19 @@ def transform(df: DataFrame, spec: TableSpec, config: PipelineConfig) -> Transfo
     outside an integer type are an error, over-long text is reported with a
     proposed size.
     """
-    problems = align.mapping_problems(spec, spec.mapping)
+    problems = align.mapping_problems(spec, spec.overrides)
     named, absent = align.rename_mapped(df, spec.mapping)
     day, keep = {
         "fact_invoice_secondary": ("invoice_date", lambda d: filters.from_day(d, "invoice_date", config.secondary_cutoff)),
         "fact_invoice_details": ("posting_date", lambda d: filters.after_day(d, "posting_date", config.detail_cutoff)),
     }.get(spec.name, (None, None))
-    if day in named.columns:
+    needed = {f.name for f in spec.schema.fields if not f.nullable and f.name not in spec.computed} | ({day} - {None})
+    lacking = sorted(needed - set(named.columns))
+    if lacking:
+        raise quality.QualityError(f"{spec.name}: the drop lacks {lacking}")
+    if day is not None:
         named = keep(convert.strict_int(named, day))
+    extra = sorted(set(named.columns) - set(spec.schema.names))
 
     done = convert.convert(
         named, _targets(spec.schema), config.max_conversion_failures, extra=_size_measures(named, spec.schema)
@@ -79,7 +85,7 @@ def transform(df: DataFrame, spec: TableSpec, config: PipelineConfig) -> Transfo
             raise quality.QualityError(f"{f.name}: values {low} to {high} exceed {f.metadata['ddl']}")
         longest = done.extra.get(f"bytes:{f.name}")
         if longest is not None and longest > f.metadata["max_bytes"]:
-            size = min(int(longest * quality.GROWTH), quality.MAX_TEXT_BYTES)
+            size = quality.proposed_bytes(longest)
             widenings.append(
                 quality.Widening(spec.name, f.name, f.metadata["ddl"], f"VARCHAR({size})", f"longest value {longest} bytes")
             )
@@ -87,7 +93,7 @@ def transform(df: DataFrame, spec: TableSpec, config: PipelineConfig) -> Transfo
     left = quality.text_in_numeric(out, spec.schema)
     if left:
         raise quality.QualityError(f"numeric columns still hold text: {left}")
-    return Transformed(out, problems, absent, done.failures, skipped, widenings)
+    return Transformed(out, problems, absent, done.failures, skipped, widenings, extra)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -121,7 +127,7 @@ def load_checked(
     max_error_ratio: float = 0.0,
     mode: str = "append",
     condition: str | None = None,
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str] | None = None,
     table: str = "",
     widenings: Sequence[quality.Widening] = (),
 ) -> LoadReport:
@@ -130,12 +136,20 @@ def load_checked(
     Accepted and rejected rows go to sibling folders of one staged write; the
     rule counts are observed on the way. Only when the gate is passed does the
     accepted folder become part of the table. Rejected rows stay where they were
-    written, with the names of the rules they broke.
+    written, with the names of the rules they broke. Rows added to a table have
+    its partitions; others are refused.
     """
     started = time.monotonic()
+    stored = target.commits()
+    own = stored[-1].partitions if stored else None
+    if mode != "replace" and own is not None:
+        if partition_by is not None and tuple(partition_by) != own:
+            raise ValueError(f"the table is partitioned by {own}, not {tuple(partition_by)}")
+        partition_by = own
+    partition_by = tuple(partition_by or ())
     seen = Observation()
-    flagged = quality.flag(df, rules).observe(seen, *quality.count_columns(rules))
-    path, good = target.stage(flagged.withColumn(REJECTED, quality.rejected(rules)), partition_by)
+    flagged = quality.flag(df, rules).withColumn(REJECTED, quality.rejected(rules))
+    path, good = target.stage(flagged, partition_by, (seen, quality.count_columns(rules)))
     counts = observed(seen)
     quality.gate(counts, rules, max_error_ratio)
     bad = counts.get("rejected", 0)
@@ -173,6 +187,12 @@ def run_table(
     done = transform(df, spec, config)
     if done.mapping_problems:
         raise quality.QualityError(f"{spec.name}: {done.mapping_problems}")
+    if done.extra and config.extra_columns == "refuse":
+        raise quality.QualityError(f"{spec.name}: columns that the table does not have: {done.extra}")
+    lost = {c: m for c, m in done.computed_skipped.items() if c in spec.schema.names}
+    if lost:
+        raise quality.QualityError(f"{spec.name}: keys without their columns: {lost}")
+    schema = quality.widened(spec.schema, done.widenings)
     if spec.name.startswith("dim_"):
         fitted, _ = transform_dimension(done.frame, spec)
     else:
@@ -180,12 +200,12 @@ def run_table(
     unfit = ddl.type_mismatches(fitted.schema, spec.schema)
     if unfit:
         raise quality.QualityError(f"{spec.name}: types do not fit {unfit}")
-    ready = align.conform(fitted, spec.schema)
+    ready = align.conform(fitted, schema)
     return load_checked(
         ready,
         target,
-        spec.schema,
-        rules,
+        schema,
+        [*quality.declared_required(schema), *rules],
         config.max_error_ratio,
         mode,
         condition,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,18 +22,56 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files behind paths that may be files, folders or globs; contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return [r[0] for r in found.where("length > 0").select("path").orderBy("path").collect()]
+
+
+def _header(spark: SparkSession, file: str, options: dict[str, object]) -> tuple[str, ...]:
+    return tuple(spark.read.options(**options).csv(file).columns)
+
+
 def read_csv_text(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, spread: int | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    spread: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with header, every column as text; a malformed row fails the job.
 
-    Compressed files are read as they are. A gzip file is one task however
-    large, so ``spread`` redistributes its rows for the work that follows.
+    Each file is read by its own header, so columns may stand in any order;
+    files with other columns give NULL for those they lack, or fail if
+    ``columns`` are asked for. Quotes inside quoted values are doubled, a
+    backslash is a character like any other. ``multi_line`` allows line breaks
+    inside quoted values, at the price of one task per file. Compressed files
+    are one task too, so ``spread`` redistributes rows for the work that follows.
     """
-    reader = spark.read.option("header", True).option("nullValue", NULL_IN).option("mode", "FAILFAST")
+    options = {
+        "header": True,
+        "nullValue": NULL_IN,
+        "mode": "FAILFAST",
+        "quote": '"',
+        "escape": '"',
+        "enforceSchema": False,
+        "multiLine": multi_line,
+    }
+    groups: dict[tuple[str, ...], list[str]] = {}
+    found = _files(spark, [paths] if isinstance(paths, str) else paths)
+    # One line of each file; the drops of a day are few.
+    with ThreadPoolExecutor(8) as pool:
+        for file, header in zip(found, pool.map(lambda f: _header(spark, f, options), found)):
+            groups.setdefault(header, []).append(file)
     if columns is not None:
-        reader = reader.schema(text_schema(columns)).option("enforceSchema", False)
-    df = reader.csv(paths if isinstance(paths, str) else list(paths))
+        for header, files in groups.items():
+            if set(header) != set(columns):
+                raise ValueError(f"{files[0]}: header {list(header)} is not {list(columns)}")
+    frames = [
+        spark.read.options(**options).schema(text_schema(header)).csv(files).select([F.col(f"`{c}`") for c in columns or header])
+        for header, files in groups.items()
+    ]
+    df = union_all(frames) if frames else spark.createDataFrame([], text_schema(columns or ()))
     return df.repartition(spread) if spread else df
 
 

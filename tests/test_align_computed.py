@@ -115,3 +115,11 @@ def test_definition_problems_and_dates(spark):
         "bad": {"type": "concatenation", "columns": ["code", "nope"]},
     }
     assert computed.definition_problems(SCHEMA, definitions) == [{"column": "bad", "missing": ["nope"]}]
+
+
+def test_formula_columns_are_those_that_spark_sees(spark):
+    names = computed.formula_columns("CAST(k AS double) / 2 + coalesce(`Odd Name`, upper('text')) + CASE WHEN Net > 0 THEN 1 END")
+    assert names == {"k", "Odd Name", "Net"}
+    df = spark.createDataFrame([(3, 4)], "k int, net int")
+    out, skipped = computed.add_computed(df, {"h": {"type": "calculation", "formula": "CAST(k AS double) / 2 + NET"}})
+    assert skipped == {} and out.first()["h"] == 5.5

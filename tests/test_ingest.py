@@ -49,6 +49,44 @@ def test_long_text_is_reported_with_a_new_size(spark):
     assert [(w.column, w.new) for w in done.widenings if w.column == "customer_code"] == [("customer_code", "VARCHAR(24)")]
 
 
+def test_drops_that_lack_or_add_columns_are_refused(spark, tmp_path):
+    target = Table(spark, str(tmp_path / "t"))
+    good = feed(spark, GOOD[:1])
+    with pytest.raises(quality.QualityError, match="invoice_date"):
+        ingest.run_table(good.drop("invoicedate"), SECONDARY, CONFIG, target)
+    with pytest.raises(quality.QualityError, match="fis_sg_id_cc_in"):
+        ingest.run_table(good.drop("invoiceno"), SECONDARY, CONFIG, target)
+    more = good.withColumn("newmeasure", F.lit("1"))
+    with pytest.raises(quality.QualityError, match="newmeasure"):
+        ingest.run_table(more, SECONDARY, CONFIG, target)
+    ingest.run_table(more, SECONDARY, dataclasses.replace(CONFIG, extra_columns="report"), target)
+    assert target.read().count() == 1
+
+
+def test_not_null_declarations_are_rules(spark, tmp_path):
+    rows = spark.createDataFrame([(None, "7", "V")], "division string, salesgroup string, vertical string")
+    with pytest.raises(Exception, match="division"):
+        ingest.run_table(rows, SPECS["dim_sales_group"], CONFIG, Table(spark, str(tmp_path / "t")), mode="replace")
+
+
+def test_wider_text_widens_the_stored_table(spark, tmp_path):
+    target = Table(spark, str(tmp_path / "t"))
+    ingest.run_table(feed(spark, GOOD[:1]), SECONDARY, CONFIG, target)
+    ingest.run_table(feed(spark, [("20240101", "C" * 7000, "I", "1", "1")]), SECONDARY, CONFIG, target)
+    assert target.schema()["customer_code"].metadata["max_bytes"] == 8400
+    assert target.read().count() == 2
+
+
+def test_checked_append_keeps_the_partitions(spark, tmp_path):
+    target = Table(spark, str(tmp_path / "t"))
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, kind string")
+    ingest.load_checked(df, target, df.schema, mode="replace", partition_by=["kind"])
+    ingest.load_checked(df, target, df.schema)
+    assert target.read().count() == 4 and target.commits()[-1].partitions == ("kind",)
+    with pytest.raises(ValueError, match="partitioned"):
+        ingest.load_checked(df, target, df.schema, partition_by=["k"])
+
+
 def test_run_table_loads_every_column(spark, tmp_path):
     target = Table(spark, str(tmp_path / "t"))
     config = dataclasses.replace(CONFIG, max_conversion_failures=0.5)

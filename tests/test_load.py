@@ -120,6 +120,10 @@ def test_register_in_order(spark):
     }
     assert load.register(spark, {"base": spark.range(2)}, views) == ["base", "a_view", "b_view"]
     assert spark.sql("SELECT max(k) AS m FROM b_view").first()["m"] == 2
+    for name in ("base", "a_view", "b_view"):
+        spark.catalog.dropTempView(name)
+    assert load.register(spark, {"base": spark.range(2)}, views, protected=["a_view"]) == ["base", "b_view"]
+    assert not spark.catalog.tableExists("a_view")
 
 
 def test_upsert_rewrites_only_the_partitions_involved(spark, table):
@@ -133,11 +137,25 @@ def test_upsert_rewrites_only_the_partitions_involved(spark, table):
     assert sorted(r["v"] for r in table.read().collect()) == [0.0, 3.0, 5.0, 8.0, 9.0]
 
 
-def test_upsert_over_many_partitions_rewrites_the_table(spark, table, monkeypatch):
-    monkeypatch.setattr(load, "MAX_PARTITIONS", 1)
-    table.replace(frame(spark, [(1, "a", 1.0), (2, "b", 2.0)]), partition_by=["kind"])
-    table.upsert(frame(spark, [(1, "a", 5.0), (2, "b", 6.0)]), ["k"])
-    assert content(table) == [(1, "a", 5.0), (2, "b", 6.0)] and len(table.commits()) == 1
+def test_upsert_of_many_partitions_and_timestamps(spark, table):
+    rows = spark.range(1500).selectExpr(
+        "cast(id as int) as k", "timestamp_seconds(id * 3601) as kind", "cast(id as double) as v"
+    ).union(spark.sql("select -1, cast(null as timestamp), -1.0D"))
+    table.replace(rows, partition_by=["kind"])
+    table.upsert(rows.filter("k % 2 = 1 or k = -1").withColumn("v", F.lit(0.0)), ["k"])
+    got = table.read()
+    assert got.count() == 1501 and got.select("k").distinct().count() == 1501
+    assert got.filter("v = 0").count() == 752
+    assert len(table.commits()) == 2
+
+
+def test_keys_repeated_in_a_batch_are_stored_once(spark, table):
+    batch = frame(spark, [(1, "a", 1.0), (1, "b", 2.0), (2, "c", None), (2, "c", None)])
+    table.insert_missing(batch, ["k"])
+    assert sorted(r["k"] for r in table.read().collect()) == [1, 2]
+    table.upsert(batch, ["k"], [F.col("v").asc_nulls_last()])
+    assert sorted(map(str, content(table))) == ["(1, 'a', 1.0)", "(2, 'c', None)"]
+    assert sorted(r["k"] for r in load.new_only(table.read(), frame(spark, [(3, "x", 1.0), (3, "y", 1.0)]), ["k"]).collect()) == [3]
 
 
 def test_delete_keeps_rows_with_an_unknown_condition(spark, table):

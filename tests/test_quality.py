@@ -104,7 +104,7 @@ def test_widening_plan_and_application(spark):
         "f": ("FLOAT", "DOUBLE"),
         "d": ("DATE", "DATETIME"),
     }
-    assert plan["a"].statement == "ALTER TABLE t MODIFY COLUMN a INT;"
+    assert plan["a"].statement == "t.a: SMALLINT to INT"
     new = q.widened(schema, plan.values())
     assert new["a"].dataType.simpleString() == "int" and new["s"].metadata["max_bytes"] == 6
     with pytest.raises(ValueError, match="not a widening"):

@@ -32,11 +32,33 @@ def test_malformed_row_fails(spark, tmp_path):
 
 
 def test_wrong_header_fails(spark, tmp_path):
-    write(tmp_path / "a.csv", "b,a\n1,2\n")
+    write(tmp_path / "a.csv", "c,a\n1,2\n")
     with pytest.raises(Exception, match="header|HEADER"):
         files.read_csv_text(spark, str(tmp_path / "a.csv"), ["a", "b"]).collect()
 
 
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    write(tmp_path / "in" / "1.csv", "a,b\n1,2\n")
+    write(tmp_path / "in" / "2.csv", "b,a\n4,3\n")
+    write(tmp_path / "in" / "3.csv", "")
+    for columns in (None, ["a", "b"], ["b", "a"]):
+        df = files.read_csv_text(spark, str(tmp_path / "in"), columns)
+        assert sorted((r["a"], r["b"]) for r in df.collect()) == [("1", "2"), ("3", "4")]
+    write(tmp_path / "in" / "4.csv", "a\n5\n")
+    assert sorted(map(str, files.read_csv_text(spark, str(tmp_path / "in")).select("b").collect()))[-1] == "Row(b=None)"
+    with pytest.raises(ValueError, match="4.csv"):
+        files.read_csv_text(spark, str(tmp_path / "in"), ["a", "b"])
+
+
+def test_quotes_backslashes_and_line_breaks(spark, tmp_path):
+    write(tmp_path / "q.csv", 'a,b\n"say ""hi"", ok","C:\\"\nx\\y,"\\"""\n')
+    got = [tuple(r) for r in files.read_csv_text(spark, str(tmp_path / "q.csv")).collect()]
+    assert got == [('say "hi", ok', "C:\\"), ("x\\y", '\\"')]
+    write(tmp_path / "m.csv", 'a,b\n"two\nlines",1\n')
+    got = files.read_csv_text(spark, str(tmp_path / "m.csv"), multi_line=True).collect()
+    assert [tuple(r) for r in got] == [("two\nlines", "1")]
+
+
 def test_gzip_and_cutoff(spark, tmp_path):
     write(tmp_path / "in" / "a.csv.gz", "postingdate,v\n20230331,1\n20230401,2\n,3\n", gz=True)
     assert files.read_csv_text(spark, str(tmp_path / "in"), spread=3).rdd.getNumPartitions() == 3
