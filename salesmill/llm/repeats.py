@@ -47,6 +47,8 @@ HOT = 1000
 HASH_BYTES = 5
 #: Bytes of text in a chunk at least, and the mean bytes of text a chunk has for one bucket beyond that.
 CHUNK, PACKET = 1 << 20, 1 << 14
+#: Bytes of text in a chunk at most (or of one document), and of text that is hashed or indexed at once.
+LARGEST, STEP = 1 << 25, 1 << 19
 LAST = (1 << 63) - 1
 PACKET_TYPE = "chunk int, bucket int, data binary"
 
@@ -61,7 +63,7 @@ class Runs:
     def __init__(self, texts: list[bytes], length: int):
         self.text = np.frombuffer(b"".join(texts), np.uint8)
         self.ends = np.cumsum([len(t) for t in texts])
-        parts = [self._of(texts[a:b], a, int(self.ends[a - 1]) if a else 0, length) for a, b in slices(map(len, texts))]
+        parts = [self._of(texts[a:b], a, int(self.ends[a - 1]) if a else 0, length) for a, b in slices(map(len, texts), STEP)]
         join = lambda i, kind: np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, kind)
         self.anchor, self.low, self.high, self.at, self.doc, self.bytes = (join(i, k) for i, k in enumerate([U, int, int, int, int, U]))
         self.length = length
@@ -280,43 +282,59 @@ def smallest_keys(text: np.ndarray, sizes: np.ndarray, keys: np.ndarray, length:
     return np.where(rest >= length, out, keys[string])
 
 
+def hashed(packet: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each string of a packet, and of its anchor; a spread window is its own."""
+    sizes, place, _, raw = packet
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    sums = running(np.frombuffer(raw, np.uint8))
+    whole, spread = stretch(sums, starts, ends), place < 0
+    low = starts + np.where(spread, 0, place)
+    return whole, np.where(spread, whole, stretch(sums, low, np.where(spread, ends, low + ANCHOR)))
+
+
 def answers(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     """For one bucket: per packet a bit for each window, set if a document with a smaller key has it too."""
     parts = [unpacked_entries(d) for d in rows["data"]]
     sizes, place, keys = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    whole, anchor = (np.concatenate(x) for x in zip(*map(hashed, parts)))
     text = np.frombuffer(b"".join([p[3] for p in parts]), np.uint8)
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    sums = running(text)
-    whole = stretch(sums, starts, ends)
-    # A run's anchor again; a spread window is its own.
-    spread = place < 0
-    anchor = np.where(spread, whole, stretch(sums, np.where(spread, starts, starts + place), np.where(spread, ends, starts + place + ANCHOR)))
+    starts = np.cumsum(sizes) - sizes
     order = np.lexsort((keys, place, whole, anchor))
     a, w, p = anchor[order], whole[order], place[order]
     new_anchor = np.concatenate(([True], a[1:] != a[:-1]))
     fresh = new_anchor | np.concatenate(([True], (w[1:] != w[:-1]) | (p[1:] != p[:-1])))
-    group = np.cumsum(fresh) - 1
-    first = order[fresh]  # one of equal strings, with the smallest key
-    # Strings whose anchor has no other string need no index: all their windows have the string's smallest key.
-    strings = np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(new_anchor))[np.cumsum(new_anchor) - 1]
-    several = strings[fresh] > 1
+    first = order[fresh]  # one of equal strings, with the smallest key; ascending by anchor
     of = np.empty(len(order), np.int64)
-    of[order] = group
-    least: list[np.ndarray] = []
-    indexed = first[several]
+    of[order] = np.cumsum(fresh) - 1
     windows = sizes - length + 1
+    begin = np.cumsum(windows) - windows
     out = keys[first][of].repeat(windows)  # by string, then window
-    if len(indexed):
-        n = sizes[indexed]
-        take = np.repeat(starts[indexed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        least = smallest_keys(text[take], n, keys[indexed], length)
-        shift = np.full(len(first), -1, np.int64)
-        shift[several] = np.cumsum(n) - n
-        mine = np.flatnonzero(several[of])
-        m = windows[mine]
+    # Strings whose anchor has no other string need no index: all their windows have the string's smallest key.
+    several = np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(new_anchor))[np.cumsum(new_anchor) - 1][fresh] > 1
+    indexed = np.flatnonzero(several)
+    # Equal windows have the same anchor, so anchors are indexed a few at a time.
+    cuts = np.flatnonzero(np.concatenate(([True], anchor[first[indexed]][1:] != anchor[first[indexed]][:-1]))) if len(indexed) else []
+    held = np.cumsum(sizes[first[indexed]])
+    by_group = np.argsort(of, kind="stable")
+    group_at = np.searchsorted(of[by_group], np.arange(len(first) + 1))
+    i = 0
+    while i < len(indexed):
+        limit = (held[i - 1] if i else 0) + STEP
+        # As many whole anchors as fit, one at least.
+        ends = np.append(cuts[np.searchsorted(cuts, i, side="right") :], len(indexed))
+        j = int(ends[max(0, np.searchsorted(held[ends - 1], limit, side="right") - 1)])
+        mine = first[indexed[i:j]]
+        n = sizes[mine]
+        take = np.repeat(starts[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        least = smallest_keys(text[take], n, keys[mine], length)
+        # To every string equal to one of these.
+        groups = np.repeat(np.arange(i, j), np.diff(group_at)[indexed[i:j]])
+        strings = np.concatenate([by_group[group_at[g] : group_at[g + 1]] for g in indexed[i:j]])
+        m = windows[strings]
         offset = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-        out[np.repeat((np.cumsum(windows) - windows)[mine], m) + offset] = least[np.repeat(shift[of[mine]], m) + offset]
+        out[np.repeat(begin[strings], m) + offset] = least[np.repeat((np.cumsum(n) - n)[groups - i], m) + offset]
+        i = j
     bits = out < keys.repeat(windows)
     edges = np.cumsum([p[0].sum() - len(p[0]) * (length - 1) for p in parts])
     data = [zstandard.compress(np.packbits(x).tobytes(), 1) for x in np.split(bits, edges[:-1])]
@@ -343,7 +361,7 @@ def cleaned(
     number = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST))
     raw = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
     total = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
-    chunks = max(1, math.ceil(total / max(CHUNK, math.sqrt(PACKET * total)))) if total else 1
+    chunks = max(1, math.ceil(total / min(LARGEST, max(CHUNK, math.sqrt(PACKET * total)))))
     chunk = F.pmod(F.xxhash64(number), F.lit(chunks)).cast("int")
     rows = docs.select(chunk.alias("chunk"), number.alias("key"), raw.alias("raw"), *[F.col(f"`{c}`") for c in keep])
     # Documents equal to one with a smaller key, by two hashes and the length.
@@ -399,13 +417,23 @@ def cleaned(
             if a < b:
                 parts.append(np.unpackbits(np.frombuffer(next(bits), np.uint8), count=int(size[a:b].sum())))
         bit = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
-        begin = (np.cumsum(size) - size)[entries.of] if len(size) else np.zeros(0, np.int64)
         keys = docs["key"].to_numpy(np.int64)
-        offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        gone = bit[np.repeat(begin, windows) + offset].astype(bool) | np.repeat(keys[runs.doc] > entries.smallest[entries.of], windows)
-        start = (np.repeat(runs.low, windows) + offset)[gone]
-        depth = np.bincount(start, minlength=len(runs.text) + 1) - np.bincount(start + length, minlength=len(runs.text) + 1)
-        cover = np.cumsum(depth[: len(runs.text)]) > 0
+        # A document behind the smallest of an entry loses the whole run, the smallest what the bits say.
+        behind = keys[runs.doc] > entries.smallest[entries.of]
+        low, high = [runs.low[behind]], [runs.high[behind]]
+        ahead = np.flatnonzero(~behind)
+        if len(ahead):
+            marked = np.flatnonzero(bit)
+            begin = (np.cumsum(size) - size)[entries.of[ahead]]
+            i, j = np.searchsorted(marked, begin), np.searchsorted(marked, begin + windows[ahead])
+            n = j - i
+            at = np.repeat(i - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            low.append(marked[at] - np.repeat(begin, n) + np.repeat(runs.low[ahead], n))
+            high.append(low[-1])
+        depth = np.zeros(len(runs.text) + 1, np.int32)
+        np.add.at(depth, np.concatenate(low), 1)
+        np.add.at(depth, np.concatenate(high) + length, -1)
+        cover = np.cumsum(depth[:-1], dtype=np.int32) > 0
         out, at = [], 0
         for raw, whole in zip(docs["raw"], copy):
             if whole:
