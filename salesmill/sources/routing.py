@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,8 +83,13 @@ def is_dd_drop(stem: str) -> bool:
 
 
 def sales_groups_column(stem: str | Column) -> Column:
-    """Codes after the entity name, per row."""
-    return F.slice(F.split(col(stem), "_"), 2, F.greatest(F.size(F.split(col(stem), "_")) - 1, F.lit(0)))
+    """The same per row."""
+    parts = F.split(col(stem), "_")
+    named = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: p != "DD")
+    along = F.array(*[F.lit(g) for g in GROUPS_WITH_COMBINED])
+    both = reduce(lambda x, y: x & y, [F.array_contains(named, g) for g in COMBINED_GROUPS])
+    details = col(stem).startswith("FactInvoiceDetails")
+    return F.when(details & both, F.concat(named, F.array_except(along, named))).otherwise(named)
 
 
 def output_stem(stem: str) -> str:

@@ -27,11 +27,11 @@ class Workload:
 
 
 def everything() -> tuple[dict[str, Query], dict[str, str]]:
-    from . import access, files, loading, quality, sales, shaping
+    from . import access, files, jobs, loading, quality, sales, shaping
 
     queries: dict[str, Query] = {}
     sql: dict[str, str] = {}
-    for module in (sales, access, shaping, quality, loading, files):
+    for module in (sales, access, shaping, quality, loading, files, jobs):
         queries |= module.WORK.queries
         sql |= module.WORK.sql
     return queries, sql

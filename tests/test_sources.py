@@ -191,3 +191,10 @@ def test_lookup_tables(spark, tmp_path):
     lookup.write_lookup(df, "rls_map", str(tmp_path))
     rows = lookup.read_lookup(spark, "rls_map", str(tmp_path)).select(F.explode("wss_territory_code").alias("t")).collect()
     assert [r["t"] for r in rows] == ["T1", "T2"]
+
+
+def test_group_rows_equal_the_driver_form(spark):
+    stems = ["FactInvoiceDetails_107_112", "FactInvoiceDetails_107_DD_112_305", "FactInvoiceDetails_112", "FactInvoiceSecondary_107_112", "DimMaterial"]
+    df = spark.createDataFrame([(s,) for s in stems], "s string").select("s", routing.sales_groups_column("s").alias("g"))
+    for r in df.collect():
+        assert r["g"] == routing.sales_groups(r["s"])
