@@ -10,7 +10,7 @@ keys in shuffled joins are split by AQE.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,16 +129,18 @@ def _dealers(t: Tables) -> DataFrame:
     return broadcast_if_small(side, driving=dealers)
 
 
-def secondary_sales(
-    t: Tables, cutoff: int = 20230401, material_types: Sequence[str] = ("ZFGD",)
-) -> DataFrame:
-    """Dealer sales with product, customer and hierarchy attributes; one row per match."""
+def _fact(t: Tables, cutoff: int) -> DataFrame:
+    """Active lines of dealer sales from a day on."""
     fact = t["fact_invoice_secondary"]
-    fact = fact.filter(_is(fact, "active_flag", "1") & (F.col("invoice_date") >= cutoff)).selectExpr(
+    return fact.filter(_is(fact, "active_flag", "1") & (F.col("invoice_date") >= cutoff)).selectExpr(
         *_plain("invoice_date", "invoice_no", "record_type", "sales_group_code", "dealer_sg_key"),
         *_plain(quantity="reporting_unit_in_each", sales="reporting_value", uvg="revised_net_value_mvg"),
         *_plain(volume="reporting_unit", _item="item_code"),
     )
+
+
+def _product_sides(t: Tables, material_types: Sequence[str]) -> list[tuple[DataFrame, Column]]:
+    """Sales groups, materials, mapping and classification, each with the key of a fact row."""
     groups = _sales_groups(
         t,
         *_upper("division", sales_group_name="vertical"),
@@ -154,14 +156,53 @@ def secondary_sales(
     mapping = t["dim_material_mapping"].selectExpr(
         *_plain("parent_division_name", _key="material_code"), *_upper("brand")
     )
-    out = _attach(fact, groups, "sales_group_code")
-    out = _attach(out, materials, "_item")
-    out = _attach(out, mapping, "_item")
-    out = _attach(out, _classification(t), concat_key("_item", "sales_group_code"))
-    out = _attach(out, _dealers(t), F.col("dealer_sg_key").cast("string"))
+    item = F.col("_item")
+    both = concat_key("_item", "sales_group_code")
+    return [(groups, F.col("sales_group_code")), (materials, item), (mapping, item), (_classification(t), both)]
+
+
+def secondary_sales(
+    t: Tables, cutoff: int = 20230401, material_types: Sequence[str] = ("ZFGD",)
+) -> DataFrame:
+    """Dealer sales with product, customer and hierarchy attributes; one row per match.
+
+    Dealers come first: they are the side that filters of a user's territories
+    reach, and what these leave out need not meet the other tables.
+    """
+    out = _attach(_fact(t, cutoff), _dealers(t), F.col("dealer_sg_key").cast("string"))
+    for side, key in _product_sides(t, material_types):
+        out = _attach(out, side, key)
     return out.select(*SECONDARY_COLUMNS)
 
 
+def dealer_totals(
+    t: Tables,
+    by: Sequence[str],
+    totals: Mapping[str, Column],
+    wanted: Column,
+    cutoff: int = 20230401,
+    material_types: Sequence[str] = ("ZFGD",),
+    allowed: Callable[[DataFrame], DataFrame] = lambda side: side,
+) -> DataFrame:
+    """Sums over the secondary view by columns of its dealers, without building the view.
+
+    The fact is summed by its keys before anything is joined. Of the product
+    tables the view shows nothing here, so each gives only the number of its
+    rows for a key, by which a fact row would be repeated. ``totals`` are exact
+    aggregates of fact columns, ``wanted`` a condition on these, ``allowed``
+    limits the dealers (by territory, say). Rows without a dealer are left out.
+    """
+    keys = ["_item", "sales_group_code", "dealer_sg_key"]
+    summed = _fact(t, cutoff).filter(wanted).groupBy(*keys).agg(*[v.alias(f"_t_{n}") for n, v in totals.items()])
+    side = allowed(_dealers(t)).select(F.col("_key"), *by)
+    out = summed.join(side, F.col("dealer_sg_key").cast("string") == F.col("_key")).drop("_key")
+    out = out.withColumn("_copies", F.lit(1).cast("decimal(12,0)"))
+    for product, key in _product_sides(t, material_types):
+        repeated = product.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        out = _attach(out, repeated, key).withColumn("_copies", (F.col("_copies") * F.coalesce("_n", F.lit(1)).cast("decimal(12,0)")).cast("decimal(12,0)")).drop("_n")
+    return out.groupBy(*by).agg(*[F.sum(F.col(f"_t_{n}") * F.col("_copies")).alias(n) for n in totals])
+
+
 def primary_sales(t: Tables) -> DataFrame:
     """Company sales to customers; credit notes count negative."""
     fact = t["fact_invoice_details"]

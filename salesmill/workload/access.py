@@ -10,10 +10,10 @@ from ..operators.load import Table
 from ..operators.records import unpivot
 from ..plans import growth
 from ..plans.sales import refresh_snapshot
-from ..samples import shape, shape_cte
+from ..samples import shape, shape_cte, shapes
 from ..session import scratch
 from . import Workload
-from .sales import QUARTERS, SECONDARY_CTE, growth_sql, secondary_view
+from .sales import CONFIG, QUARTERS, SECONDARY_CTE, STAR, growth_sql, secondary_view
 
 WORK = Workload()
 
@@ -127,10 +127,15 @@ def rls_secondary_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @WORK.add("rls_growth", f"{SECURED_CTE}, {growth_sql('secured')}")
 def rls_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The growth query of one user: territories are filtered before anything is summed."""
-    view = secondary_view(spark, sf_dir)
-    mine = access.secure("secondary_sales_view", view, _access(spark, sf_dir), USER, ROLE, POLICY)
-    return growth.growth_decline(mine, QUARTERS)
+    """The growth query of one user: dealers are limited to the user's territories before anything is joined to them."""
+    grants = _access(spark, sf_dir)
+    return growth.growth_decline_of(
+        shapes(spark, sf_dir, STAR),
+        QUARTERS,
+        CONFIG.secondary_cutoff,
+        CONFIG.material_types,
+        lambda side: access.secure("secondary_sales_view", side, grants, USER, ROLE, POLICY),
+    )
 
 
 _COMPOSED = """

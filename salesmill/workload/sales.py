@@ -156,7 +156,8 @@ SECONDARY_CTE = f"{shape_cte(*STAR)}, secondary_view AS ({SECONDARY_SQL})"
 
 @WORK.add("growth_decline", f"{SECONDARY_CTE}, {growth_sql('secondary_view')}")
 def growth_decline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return growth.growth_decline(secondary_view(spark, sf_dir), QUARTERS)
+    tables = shapes(spark, sf_dir, STAR)
+    return growth.growth_decline_of(tables, QUARTERS, CONFIG.secondary_cutoff, CONFIG.material_types)
 
 
 def as_double(df: DataFrame, *columns: str) -> DataFrame:

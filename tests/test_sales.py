@@ -182,3 +182,35 @@ _SKEW = {
     # Without this the small test data ends up in one task, which cannot be split.
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
 }
+
+
+def test_growth_of_tables_equals_growth_of_the_view(spark):
+    from salesmill.samples import shapes
+    from salesmill.workload.sales import CONFIG, STAR
+    from salesmill.workload.sales import QUARTERS as PERIODS
+
+    t = shapes(spark, "/root/testdata/sf0.001", STAR)
+    # Dimension rows that repeat fact rows, for some keys only.
+    for name in ("dim_material", "dim_material_mapping", "dim_sales_group", "dim_dealer_master"):
+        t[name] = t[name].unionByName(t[name].sample(0.5, 3))
+    want = growth.growth_decline(sales.secondary_sales(t, CONFIG.secondary_cutoff, CONFIG.material_types), PERIODS)
+    got = growth.growth_decline_of(t, PERIODS, CONFIG.secondary_cutoff, CONFIG.material_types)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_growth_sums_the_fact_before_any_join(spark):
+    from salesmill.samples import shapes
+    from salesmill.workload.sales import CONFIG, STAR
+    from salesmill.workload.sales import QUARTERS as PERIODS
+
+    t = shapes(spark, "/root/testdata/sf0.001", STAR)
+    text = plan(growth.growth_decline_of(t, PERIODS, CONFIG.secondary_cutoff, CONFIG.material_types))
+    lines = text.splitlines()
+    fact = next(i for i, x in enumerate(lines) if "Relation" in x and "l_" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    above, level = [], depth(lines[fact])
+    for x in reversed(lines[:fact]):
+        if depth(x) < level:
+            above.append(x.lstrip(" :+-").split(" ")[0])
+            level = depth(x)
+    assert "Aggregate" in above
