@@ -113,14 +113,91 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(pieces, size=2048)
 
 
-@query()
+@query(
+    """
+    with recursive v as (
+        select vec_id, cast(embedding as double[]) as e from embeddings
+        where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links as (
+        select a.vec_id as x, b.vec_id as y from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+        where list_cosine_similarity(a.e, b.e) >= 0.95
+    ), reached as (
+        select vec_id as x, vec_id as y from embeddings
+        union select r.x, l.y from reached r join links l on r.y = l.x
+    ), n as (select x, count(*) as n_links from links group by x), c as (select x, min(y) as component_id from reached group by x)
+    select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+    from embeddings join c on c.x = vec_id left join n on n.x = vec_id
+    """
+)
 def op5_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors by cosine."""
     out = embeddings.linked(table(spark, sf_dir, "embeddings"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-@query()
+QUALITY_SQL = """
+    with t as (
+        select doc_id, lang, source, coalesce(text, '') as t,
+            list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as ls
+        from documents
+    ), windows as (
+        select doc_id, i, list_slice(ws, i, i + 4) as g from (select doc_id, ws, unnest(generate_series(1, len(ws) - 4)) as i from t)
+    ), twice as (
+        select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as n from windows) where n > 1
+    ), covered as (
+        select doc_id, sum(least(5, coalesce(next - i, 5))) as n
+        from (select doc_id, i, lead(i) over (partition by doc_id order by i) as next from twice) group by doc_id
+    ), counts as (
+        select doc_id, lang, source, len(ws) as n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) as word_chars,
+            length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) as n_symbols, len(ls) as n_lines,
+            len(ls) - len(list_distinct(ls)) as n_dup_lines, cast(coalesce(n, 0) as bigint) as n_repeat_words
+        from t left join covered using (doc_id)
+    ), base as (
+        select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+            [10 * word_chars // greatest(n_words, 1), 1000 * n_symbols // greatest(n_words, 1),
+             1000 * n_dup_lines // greatest(n_lines, 1), 1000 * n_repeat_words // greatest(n_words, 1)] as vs
+        from counts
+    ), m as (
+        select doc_id, lang, source, base_failed, unnest([0, 1, 2, 3]) as k, unnest(vs) as v,
+            unnest([{spread}]) as spread
+        from base
+    ), b as (
+        select *, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) as low from m
+    ), fine as (
+        select lang, source, k, count(*) as n, list_sort(list(low))[(count(*) + 3) // 4] as q1,
+            list_sort(list(low))[(3 * count(*) + 3) // 4] as q3 from b where not base_failed group by all
+    ), wide as (
+        select lang, k, count(*) as n, list_sort(list(low))[(count(*) + 3) // 4] as q1,
+            list_sort(list(low))[(3 * count(*) + 3) // 4] as q3 from b where not base_failed group by all
+    ), whole as (
+        select k, list_sort(list(low))[(count(*) + 3) // 4] as q1, list_sort(list(low))[(3 * count(*) + 3) // 4] as q3
+        from b where not base_failed group by all
+    ), chosen as (
+        select f.lang, f.source, f.k,
+            case when f.n >= {least} then f.q1 when w.n >= {least} then w.q1 else a.q1 end as q1,
+            case when f.n >= {least} then f.q3 when w.n >= {least} then w.q3 else a.q3 end as q3
+        from fine f join wide w on f.lang is not distinct from w.lang and f.k = w.k join whole a on f.k = a.k
+    ), kept as (
+        select doc_id, bool_and(coalesce(low <= q3 + {reach} * greatest(q3 - q1, spread)
+            and (b.k > 0 or v >= q1 - {reach} * greatest(q3 - q1, spread)), true)) as fits
+        from b left join chosen c
+            on b.lang is not distinct from c.lang and b.source is not distinct from c.source and b.k = c.k
+        group by doc_id
+    )
+    select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
+        cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines, n_repeat_words, base_failed,
+        not base_failed and fits as kept
+    from base join kept using (doc_id)
+"""
+
+
+@query(
+    QUALITY_SQL.format(
+        spread=", ".join(str(m.spread) for m in quality.MEASURES), least=quality.LEAST, reach=quality.REACH
+    )
+)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality.judged(table(spark, sf_dir, "documents"))
