@@ -8,7 +8,9 @@ load leaves the table as it was. Nothing that is being read is overwritten.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import json
+import time
 import uuid
 from collections.abc import Collection, Sequence
 from functools import reduce
@@ -27,6 +29,8 @@ _LOG = "version bigint, kind string, path string, removed string, rows bigint, t
 REJECTED = "_rejected"
 # A removal that names partitions is kept as a folder of their values.
 _PARTITIONS = "partitions:"
+# Replaced slices that a read filters out of older files; one more, and the table is compacted.
+BRANCHES = 12
 
 
 class LoadError(RuntimeError):
@@ -216,6 +220,9 @@ class Table:
         version = (found[-1].version if found else 0) + 1
         entry = self._entry([version, kind, path, removed, rows, schema.json(), list(partition_by)])
         self.spark.range(1, numPartitions=1).select(*entry).write.mode("append").json(f"{self.root}/log")
+        # Every removal is one more branch of the plan that reads the table.
+        if removed is not None and sum(c.removed is not None for c in found) >= BRANCHES:
+            return self.compact()
         return version
 
     def replace(self, df: DataFrame, partition_by: Sequence[str] | None = None) -> int:
@@ -281,6 +288,34 @@ class Table:
         parts = tuple(partition_by) if partition_by is not None else _partitions(found)
         return self._replace(current if parts else current.hint("rebalance"), found, parts)
 
+    def vacuum(self, age: dt.timedelta) -> list[str]:
+        """Remove what no commit names any more and what is older than ``age``; returns the folders.
+
+        Commits before the last replacement go from the log too. Whoever reads
+        the table should be done with the older state by then.
+        """
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = self.commits()
+        used = {c.path.rsplit(f"/{REJECTED}=", 1)[0].rsplit("/", 1)[-1] for c in found}
+        used |= {c.removed.rsplit("/", 1)[-1] for c in found if (c.removed or "").startswith(_PARTITIONS)}
+        limit = (time.time() - age.total_seconds()) * 1000
+        gone = []
+        for kind in ("data", "removed"):
+            folder = path(f"{self.root}/{kind}")
+            for status in files.listStatus(folder) if files.exists(folder) else []:
+                if status.getPath().getName() not in used and status.getModificationTime() < limit:
+                    files.delete(status.getPath(), True)
+                    gone.append(status.getPath().toString())
+        if gone:
+            log, fresh = path(f"{self.root}/log"), f"{self.root}/log-{uuid.uuid4().hex}"
+            rows = [[getattr(c, f.name) for f in T.StructType.fromDDL(_LOG).fields] for c in found]
+            entries = self.spark.createDataFrame([[*r[:-1], list(r[-1])] for r in rows], _LOG)
+            entries.coalesce(1).write.json(fresh)
+            files.delete(log, True)
+            files.rename(path(fresh), log)
+        return gone
+
     def evolve(self, schema: T.StructType) -> int:
         """Rewrite with wider column types."""
         found = self._known()

@@ -15,7 +15,9 @@ from ..config import PipelineConfig, TableSpec, run_order
 from ..functions import ddl
 from ..functions.numbers import lenient_long
 from ..operators import access, align, computed, convert, filters, quality
-from ..operators.load import REJECTED, Table, observed
+from ..operators.load import REJECTED, Table, group_slice, observed
+from ..sources import routing
+from ..sources.files import read_csv_text
 from .derived import refresh_dd
 from .dimensions import transform_dimension
 from .facets import PRIMARY, SECONDARY, business_constants
@@ -260,6 +262,46 @@ def daily_run(
     return reports
 
 
+def drop_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders that a drop consists of; contents are not read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(path)]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def run_drops(
+    spark: SparkSession,
+    config: PipelineConfig,
+    specs: Mapping[str, TableSpec],
+    folder: str,
+    rules: Mapping[str, Sequence[quality.Rule]] | None = None,
+) -> list[LoadReport]:
+    """Load each drop of a folder where its name says: the table, and the slice of its sales groups.
+
+    Dimensions are replaced. A fact drop replaces the groups it names, derived
+    records or the others as the name says, so that a drop sent again is not
+    counted twice; one without groups replaces all rows of its kind.
+    """
+    reports = []
+    for name in drop_names(spark, folder):
+        stem = name.split(".")[0]
+        spec = specs[routing.table_for_stem(stem)]
+        target = Table(spark, config.path("tables", spec.name))
+        path = f"{folder.rstrip('/')}/{name}"
+        drop = read_csv_text(spark, path) if ".csv" in name else spark.read.parquet(path)
+        mode, condition = "replace", None
+        if spec.name.startswith("fact_") and target.exists():
+            groups = routing.sales_groups(stem)
+            kind = "record_type = 'DD'" if routing.is_dd_drop(stem) else "coalesce(record_type, '') <> 'DD'"
+            has_kind = "record_type" in spec.schema.names
+            mode, condition = "slice", kind if has_kind else "true"
+            if groups:
+                condition += " AND " + group_slice(groups, keep_dd=False)
+        reports.append(run_table(drop, spec, config, target, (rules or {}).get(spec.name, ()), mode, condition))
+    return reports
+
+
 def run_tenants(
     tenants: Iterable[PipelineConfig], job: Callable[[PipelineConfig], object], fail_fast: bool = False
 ) -> dict[str, object]:

@@ -183,3 +183,29 @@ def test_month_partitions(spark, table):
     february = table.read().filter("year_month = 202402")
     assert february.count() == 2
     assert "PartitionFilters: [isnotnull(year_month" in february._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hundred_slices_read_as_few(spark, table, monkeypatch):
+    monkeypatch.setattr(load, "BRANCHES", 3)
+    table.replace(frame(spark, [(1, "DD", 1.0), (2, "SEC", 2.0)]), partition_by=["kind"])
+    most = 0
+    for i in range(12):
+        table.replace_slice(frame(spark, [(9, "DD", float(i))]), "kind = 'DD'")
+        most = max(most, table.read()._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+    assert most <= 4 and sorted(content(table)) == [(2, "SEC", 2.0), (9, "DD", 11.0)]
+
+
+def test_vacuum_removes_what_nothing_names(spark, table, tmp_path):
+    import datetime as dt
+
+    table.replace(frame(spark, [(1, "a", 1.0), (2, "b", 2.0)]), partition_by=["kind"])
+    table.append(frame(spark, [(3, "a", 3.0)]))
+    table.upsert(frame(spark, [(1, "a", 5.0)]), ["k"])
+    before = content(table)
+    assert table.vacuum(dt.timedelta(days=1)) == [] and table.vacuum(dt.timedelta(0)) == []
+    table.compact()
+    assert len(table.vacuum(dt.timedelta(0))) == 4
+    assert content(table) == before and len(table.commits()) == 1
+    table.append(frame(spark, [(7, "c", 7.0)]))
+    assert (7, "c", 7.0) in content(table)
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
