@@ -48,7 +48,7 @@ HASH_BYTES = 5
 #: Bytes of text in a chunk at least, and the mean bytes of text a chunk has for one bucket beyond that.
 CHUNK, PACKET = 1 << 20, 1 << 14
 #: Bytes of text in a chunk at most (or of one document), and of text that is hashed or indexed at once.
-LARGEST, STEP = 1 << 24, 1 << 19
+LARGEST, STEP = 1 << 23, 1 << 19
 LAST = (1 << 63) - 1
 PACKET_TYPE = "chunk int, bucket int, data binary"
 
