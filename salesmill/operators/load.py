@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .align import conform, union_all
+from .quality import within_retention
 from .records import first_per_key
 
 _LOG = "version bigint, kind string, path string, removed string, rows bigint, table_schema string, partitions array<string>"
@@ -275,6 +276,15 @@ class Table:
         last = found[-1]
         return self.commit("append", last.path, 0, _schema(found), _partitions(found), condition, found)
 
+    def retain(self, column: str, as_of: dt.date, days: int) -> int:
+        """Rewrite the table without rows older than the retention period; undated rows stay.
+
+        The files of the removed rows go with the next ``vacuum``.
+        """
+        found = self._known()
+        kept, parts = within_retention(self._frame(found), column, as_of, days), _partitions(found)
+        return self._replace(kept if parts else kept.hint("rebalance"), found, parts)
+
     def insert_missing(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> int:
         """Add rows with new keys; of a key that the batch repeats, the first in ``order``."""
         found = self.commits()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +52,29 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.filter(F.col("copies") > 1)
 
 
+def settle_duplicates(df: DataFrame, keys: Sequence[str], action: str, order: Sequence[Column] = ()) -> DataFrame:
+    """Rows whose key stands more than once: ``warn`` marks them, ``remove`` keeps the first, ``fail`` ends the job.
+
+    Marks are a column ``is_duplicate``. ``order`` is needed for ``remove`` and
+    must settle every tie. Keys are counted before they meet the rows, and only
+    the repeated ones do.
+    """
+    if action == "remove":
+        if not order:
+            raise ValueError("removing duplicates needs an order")
+        return first_per_key(df, keys, order)
+    if action not in ("warn", "fail"):
+        raise ValueError(f"unknown action {action!r}")
+    twice = repeated_keys(df, keys).select(*[F.col(f"`{k}`").alias(f"_twice_{k}") for k in keys], F.lit(True).alias("_twice"))
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_twice_{k}`")) for k in keys])
+    marked = df.join(twice, same, "left").withColumn("is_duplicate", F.coalesce("_twice", F.lit(False)))
+    marked = marked.drop("_twice", *[f"_twice_{k}" for k in keys])
+    if action == "warn":
+        return marked
+    stop = F.raise_error(F.concat_ws(" ", F.lit(f"a key of {list(keys)} is repeated:"), *[F.col(f"`{k}`").cast("string") for k in keys]))
+    return marked.filter(F.when(F.col("is_duplicate"), stop.cast("boolean")).otherwise(F.lit(True))).drop("is_duplicate")
+
+
 def preview(df: DataFrame, rows: int = 10) -> DataFrame:
     """The first rows, for looking at; partitions beyond those needed are not computed."""
     return df.limit(rows)

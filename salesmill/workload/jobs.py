@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TableSpec
+from ..functions.dates import int_date
 from ..functions.ddl import struct_from_ddl
 from ..functions.names import squash
 from ..operators import quality, records
@@ -271,3 +273,38 @@ def drop_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.sum(F.col("reporting_value").cast("decimal(18,4)")).cast("double").alias("reporting_value")
     rows = Table(spark, config.path("tables", SECONDARY)).read().groupBy("sales_group_code")
     return rows.agg(F.count(F.lit(1)).alias("row_count"), value)
+
+
+@WORK.add(
+    "duplicates_removed",
+    """SELECT o_custkey, o_orderkey, o_totalprice FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) t
+    WHERE rn = 1""",
+)
+def duplicates_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = source(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return records.settle_duplicates(orders, ["o_custkey"], "remove", [F.desc("o_totalprice"), F.asc("o_orderkey")])
+
+
+@WORK.add(
+    "duplicates_marked",
+    """SELECT l_orderkey, l_linenumber, l_partkey, count(*) OVER (PARTITION BY l_orderkey, l_partkey) > 1 AS is_duplicate
+    FROM lineitem""",
+)
+def duplicates_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = source(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return records.settle_duplicates(lines, ["l_orderkey", "l_partkey"], "warn")
+
+
+@WORK.add(
+    "stored_retention",
+    """SELECT o_orderpriority, count(*) AS row_count FROM orders
+    WHERE CAST(o_orderdate AS DATE) >= DATE '2001-08-01' - 1500 GROUP BY o_orderpriority""",
+)
+def stored_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table rewritten without the rows beyond its retention."""
+    orders = source(spark, sf_dir, "orders").select("o_orderpriority", int_date("o_orderdate").alias("day"))
+    target = Table(spark, scratch(spark, "retention"))
+    target.replace(orders, ["o_orderpriority"])
+    target.retain("day", dt.date(2001, 8, 1), 1500)
+    return target.read().groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("row_count"))

@@ -209,3 +209,15 @@ def test_vacuum_removes_what_nothing_names(spark, table, tmp_path):
     table.append(frame(spark, [(7, "c", 7.0)]))
     assert (7, "c", 7.0) in content(table)
     assert len(list((tmp_path / "t" / "data").iterdir())) == 2
+
+
+def test_repeated_keys_can_end_the_job(spark):
+    from salesmill.operators.records import settle_duplicates
+
+    once, twice = frame(spark, [(1, "a", 1.0), (None, "a", 1.0)]), frame(spark, [(1, "a", 1.0), (1, "b", 2.0)])
+    assert settle_duplicates(once, ["k"], "fail").count() == 2
+    with pytest.raises(Exception, match="is repeated"):
+        settle_duplicates(twice, ["k"], "fail").collect()
+    assert [r["is_duplicate"] for r in settle_duplicates(twice, ["k"], "warn").collect()] == [True, True]
+    with pytest.raises(ValueError):
+        settle_duplicates(twice, ["k"], "remove")
