@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmill.session import shared_dir
+from salesmill.session import shared_dir, small_side
 
 from .batches import bounded, whole_groups
 from .graph import components
@@ -297,7 +297,11 @@ def linked_clusters(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def cell_sets(docs: DataFrame, needed: DataFrame, *, key: str, text: str) -> DataFrame:
-    """(n, cells): the sorted cells of the documents whose key is a ``_n`` of ``needed``."""
+    """(n, cells): the sorted cells of the documents whose key is a ``_n`` of ``needed``.
+
+    Texts stay where they are read as long as the keys are few enough to go to
+    them (a measured size); beyond that both are shuffled.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def taken(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -311,7 +315,7 @@ def cell_sets(docs: DataFrame, needed: DataFrame, *, key: str, text: str) -> Dat
                 yield pd.DataFrame({"n": batch["n"].iloc[a:b], "cells": [cell[i:j].tobytes() for i, j in zip(ends, ends[1:])]})
 
     texts = docs.select(F.col(f"`{key}`").alias("n"), F.col(f"`{text}`").alias("text"))
-    return texts.join(needed, F.col("n") == F.col("_n"), "left_semi").mapInPandas(taken, f"n {kind}, cells binary")
+    return texts.join(small_side(needed), F.col("n") == F.col("_n"), "left_semi").mapInPandas(taken, f"n {kind}, cells binary")
 
 
 def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", similarity: float = SIMILAR) -> DataFrame:
