@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from salesmill.session import shared_dir
 
-from .batches import bounded
+from .batches import bounded, whole_groups
 from .graph import components
 
 #: Vectors that serve as pivots, for each number of components. More of them make lists shorter.
@@ -184,16 +184,8 @@ def linked(
     full = full.withColumn("cell", F.xxhash64("n", "code", "lo", "hi")).repartition("cell").sortWithinPartitions("cell", "n", "code", "lo", "hi", "node")
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for batch in batches:
-            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            same = (rest[["n", "code", "lo", "hi"]] == rest[["n", "code", "lo", "hi"]].iloc[-1]).all(axis=1).to_numpy()
-            done = len(rest) - int(same[::-1].argmin() if not same.all() else len(rest))
-            if done:
-                yield from verified(rest.iloc[:done])
-                rest = rest.iloc[done:].reset_index(drop=True)
-        if rest is not None and len(rest):
-            yield from verified(rest)
+        for rows in whole_groups(batches, ["n", "code", "lo", "hi"]):
+            yield from verified(rows)
 
     def verified(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """Whole lists: per node the copies it links with here, and a node of its component."""

@@ -26,8 +26,6 @@ gets a hot line with all its surroundings.
 from __future__ import annotations
 
 import math
-import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd

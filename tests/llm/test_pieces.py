@@ -5,7 +5,6 @@ import random
 
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 
 from salesmill.llm.pieces import Pieces, encoded, library
 from salesmill.llm.queries import QUERIES
