@@ -14,13 +14,16 @@ more tightly.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import tiktoken
+import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,24 @@ def tokenizer(ranks: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+@lru_cache
+def unbounded(ranks: str, pattern: str) -> tokenizers.Tokenizer:
+    """The same encoding by the tokenizers library, from the ``.json`` file beside the ranks: slower, but for runs of any length."""
+    model = json.loads(Path(ranks).with_suffix(".json").read_text()) | {"added_tokens": []}
+    out = tokenizers.Tokenizer.from_str(json.dumps(model))
+    split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(pattern), "isolated")
+    out.pre_tokenizer = tokenizers.pre_tokenizers.Sequence([split, tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return out
+
+
+def encoded(text: str, ranks: str, pattern: str) -> np.ndarray:
+    """Ids of a text."""
+    try:
+        return tokenizer(ranks, pattern).encode_to_numpy(text, disallowed_special=())
+    except ValueError:  # its regex engine gives up on runs of about a million characters
+        return np.array(unbounded(ranks, pattern).encode(text, add_special_tokens=False).ids, "<u4")
+
+
 def cut(docs: DataFrame, ranks: str, pattern: str, *, size: int, key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
     """Pieces of all documents: key, piece, start, length, ids_crc32 and, if asked for, ids.
 
@@ -53,11 +74,10 @@ def cut(docs: DataFrame, ranks: str, pattern: str, *, size: int, key: str = "doc
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = tokenizer(ranks, pattern)
         for batch in batches:
             out = []
             for k, t in zip(batch["key"], batch["text"]):
-                found = np.append(encode.encode_to_numpy(t or "", disallowed_special=()), END).astype("<u4")
+                found = np.append(encoded(t or "", ranks, pattern), END).astype("<u4")
                 first = len(found) % size or size
                 edges = [0, *range(min(first, len(found)), len(found) + 1, size)]
                 for i, (a, b) in enumerate(zip(edges, edges[1:])):

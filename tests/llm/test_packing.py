@@ -114,3 +114,21 @@ def test_one_length_is_packed_whole(spark):
     df = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(30).cast("long").alias("length"))
     rows = packing.packed(df, size=64).collect()
     assert check(rows, 64) == 2500 and len(rows) == 5000
+
+
+def test_runs_of_any_length(spark):
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    n = 2_000_000
+    texts = ["one" + " " * n + "two", "one" + "\n" * n + "two", "a" * n]
+    df = spark.createDataFrame(list(enumerate([*texts, texts[0] + " <|endoftext|>"])), "doc_id long, text string")
+    by = defaultdict(list)
+    for r in packing.cut(df, RANKS, public_tokenizers.PATTERN, size=2048).collect():
+        by[r.doc_id].append(r)
+    tail = packing.tokenizer(RANKS, public_tokenizers.PATTERN).encode(" <|endoftext|>", disallowed_special=())
+    assert len(tail) > 2  # ordinary text
+    for i, t in enumerate([*texts, texts[0]]):
+        ids = np.array([*model.encode(t, add_special_tokens=False).ids, *(tail if i == 3 else []), 0], "<u4")
+        got = sorted(by[i], key=lambda r: r.piece)
+        assert sum(r.length for r in got) == len(ids)
+        for r in got:
+            assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
