@@ -17,7 +17,7 @@ document with a smaller key. No string is looked at by itself:
    the same window, and the smallest key among them decides.
 3. Chunks take the answers for their runs and cut the bytes.
 
-Documents are dealt to chunks by key, and chunks and buckets meet in packets of
+Documents are dealt to chunks by key (those without one by their text), and chunks and buckets meet in packets of
 packed arrays. A document equal to one with a smaller key goes whole and takes
 no part. Anchors of very many documents are spread by window, so that no bucket
 gets a hot line with all its surroundings.
@@ -25,6 +25,7 @@ gets a hot line with all its surroundings.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -360,19 +361,26 @@ def cleaned(
     raw = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
     total = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     chunks = max(1, math.ceil(total / min(LARGEST, max(CHUNK, math.sqrt(PACKET * total)))))
-    chunk = F.pmod(F.xxhash64(number), F.lit(chunks)).cast("int")
+    # Rows without a key would all meet in one chunk; a null is skipped by the hash.
+    spread = F.when(F.col(f"`{key}`").isNull(), raw)
+    chunk = F.pmod(F.xxhash64(number, spread), F.lit(chunks)).cast("int")
     rows = docs.select(chunk.alias("chunk"), number.alias("key"), raw.alias("raw"), *[F.col(f"`{c}`") for c in keep])
     # Documents equal to one with a smaller key, by two hashes and the length.
     narrow = rows.select("chunk", "key", F.xxhash64("raw").alias("x"), F.md5("raw").alias("m"), F.octet_length("raw").alias("n")).where(F.col("n") >= length)
     first = narrow.groupBy("x", "m", "n").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
     same = narrow.join(first.withColumnsRenamed({"x": "_x", "m": "_m", "n": "_n"}), (F.col("x") == F.col("_x")) & (F.col("m") == F.col("_m")) & (F.col("n") == F.col("_n")))
-    copies = same.where("key > first").select("chunk", F.lit(-1).alias("bucket"), F.col("key").cast("string").cast("binary").alias("data")).checkpoint()
+    # A key may have other texts too, so a copy is named by key and text.
+    named = F.concat_ws(" ", F.col("key").cast("string"), F.col("m")).cast("binary")
+    copies = same.where("key > first").select("chunk", F.lit(-1).alias("bucket"), named.alias("data")).distinct().checkpoint()
 
     def chunk_runs(docs: pd.DataFrame, packets: pd.DataFrame):
         """Documents in a fixed order, their copies of others marked, the runs of the rest, and packets by bucket."""
         docs = docs.sort_values(["key", "raw"], ignore_index=True)
-        gone = {int(d) for b, d in zip(packets["bucket"], packets["data"]) if b < 0}
-        copy = docs["key"].isin(gone).to_numpy() & (docs["raw"].map(len).to_numpy() >= length)
+        gone = {bytes(d) for b, d in zip(packets["bucket"], packets["data"]) if b < 0}
+        keys = {int(d.split()[0]) for d in gone}
+        copy = np.zeros(len(docs), bool)
+        for i in np.flatnonzero(docs["key"].isin(keys).to_numpy() & (docs["raw"].map(len).to_numpy() >= length)):
+            copy[i] = f"{docs['key'].iloc[i]} {hashlib.md5(docs['raw'].iloc[i]).hexdigest()}".encode() in gone
         runs = Runs([b"" if c else r for c, r in zip(copy, docs["raw"])], length)
         return docs, copy, runs
 

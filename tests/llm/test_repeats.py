@@ -71,6 +71,20 @@ def test_passages(spark, monkeypatch, hot):
     assert {r.source for r in got} == {"s"}
 
 
+def test_a_copy_takes_no_other_text_of_its_key(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK", 200)
+    monkeypatch.setattr(repeats, "PACKET", 1)
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdefgh ", k=120)) for _ in range(60)]
+    data = [(1, texts[0]), (2, texts[1]), (7, texts[0]), (7, texts[2]), (7, texts[3] + texts[1]), (None, texts[1]), (None, texts[1])]
+    data += [(None, t) for t in texts[4:]]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = repeats.cleaned(df).collect()
+    want = brute([(repeats.LAST if k is None else k, t.encode()) for k, t in data])
+    assert sorted((repeats.LAST if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == sorted(want)
+    assert {bytes(r.kept).decode() for r in got if r.doc_id is None} == {"", *texts[4:]}
+
+
 def test_characters_stay_whole(spark):
     a = "é" * 40
     df = spark.createDataFrame([(1, "x" + a + "tail"), (2, "€" + a + "end"), (3, "à" + "é" * 40)], "doc_id int, text string")
