@@ -111,6 +111,7 @@ def _parsed(pieces: DataFrame) -> DataFrame:
     return out.select(
         *pieces.drop("value").columns,
         F.octet_length("value").cast("long").alias("size"),
+        F.unhex(F.sha1("value")).alias("sha1"),
         F.expr(f"if(_headed <= octet_length(value), {len(MARK)} + _headed + _declared + 4, null)").alias("total"),
         _field("_head", "WARC-Type").alias("type"),
         _field("_head", "WARC-Record-ID").alias("record_id"),
@@ -124,7 +125,10 @@ def _parsed(pieces: DataFrame) -> DataFrame:
 
 
 def _marks(spark: SparkSession, path: str) -> DataFrame:
-    """What stands between marks, with archive, block and order inside the block."""
+    """What stands between marks, with archive, block and order inside the block.
+
+    Blocks and order hold for one read only: how files are cut is planned anew for each.
+    """
     return (
         spark.read.option("lineSep", MARK)
         .text(path)
@@ -204,7 +208,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     stands there. Marks inside payloads are no records and change no payload.
     What follows a broken link of an archive's chain is not reached. Payloads
     stay where they are read but for those that hold a mark, which are put
-    together from their parts.
+    together from their parts. Parts are read again and known by archive and
+    content, not by place; one that is not found is an error.
     """
     shared_dir(spark)
     shipped(spark)
@@ -221,16 +226,21 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     owner = F.last(F.when(F.col("_o").isNotNull(), F.struct(F.col("off"), F.col("total"), F.col("size"))), True)
     owned = marked.where("off >= 0").withColumn("_owner", owner.over(Window.partitionBy("file").orderBy("off")))
     parts = owned.where(f"_owner.size + {len(MARK)} < _owner.total and off < _owner.off + _owner.total").select(
-        F.col("file").alias("_f"), F.col("block").alias("_b"), F.col("order").alias("_n"), F.col("_owner.off").alias("owner"), "off"
-    )
-    texts = _marks(spark, path).join(
-        parts, (F.col("file") == F.col("_f")) & (F.col("block") == F.col("_b")) & (F.col("order") == F.col("_n"))
+        "file", F.col("_owner.off").alias("owner"), "off", "size", "sha1"
     )
-    whole = texts.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("off", "value"))).alias("_parts"))
+    wanted = parts.select(F.col("file").alias("_f"), F.col("size").alias("_s"), F.col("sha1").alias("_h")).distinct()
+    again = _marks(spark, path).select("file", F.octet_length("value").cast("long").alias("size"), F.unhex(F.sha1("value")).alias("sha1"), "value")
+    on = (F.col("file") == F.col("_f")) & (F.col("size") == F.col("_s")) & (F.col("sha1") == F.col("_h"))
+    texts = again.join(wanted, on, "left_semi").groupBy("file", "size", "sha1").agg(F.first("value").alias("value"))
+    texts = texts.withColumnsRenamed({"file": "_f", "size": "_s", "sha1": "_h"})
+    lost = F.raise_error(F.concat(F.lit("a part of a record was not found again: "), F.col("file"), F.lit(" "), F.col("off")))
+    value = F.when(F.col("_h").isNull(), lost.cast("binary")).otherwise(F.col("value")).alias("value")
+    placed = parts.join(texts, on, "left").select("file", "owner", "off", value)
+    whole = placed.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("off", "value"))).alias("_parts"))
     joined = F.expr(
         f"aggregate(slice(_parts, 2, size(_parts)), _parts[0].value, (a, x) -> concat(a, cast('{MARK}' as binary), x.value))".replace(
             "\r\n", "\\r\\n"
         )
     )
-    again = _parsed(whole.select("file", F.col("owner").alias("off"), joined.alias("value")))
-    return simple.unionByName(again.select("file", "off", *fields))
+    joint = _parsed(whole.select("file", F.col("owner").alias("off"), joined.alias("value")))
+    return simple.unionByName(joint.select("file", "off", *fields))

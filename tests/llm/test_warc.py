@@ -52,6 +52,22 @@ def test_payloads_with_marks(spark, tmp_path, monkeypatch, compression):
             assert (r.payload_bytes, r.payload_digest) == (len(raw), hashlib.sha1(raw).hexdigest())
 
 
+def test_parts_are_found_however_files_are_cut(spark, tmp_path):
+    texts = [f"{i} " + "WARC/1.1\r\n".join(["part %d " % (i % 5) * 40] * 3) for i in range(400)]
+    df = spark.createDataFrame([(i, "u", t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    path = str(tmp_path / "a")
+    warc.written(df.repartition(5), path, compression="none")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        found = warc.records(spark, path)
+        # The second read, cut differently, as with other executors.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        got = {r.record_id: (r.payload_bytes, r.payload_digest) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {f"<urn:page:{i}>": (len(t), hashlib.sha1(t.encode()).hexdigest()) for i, t in enumerate(texts)}
+
+
 def chain(edges, start=0):
     out = []
     while start in edges:
