@@ -176,9 +176,15 @@ def thresholds(sketch: DataFrame) -> DataFrame:
 
 
 def judged(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source"
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    source: str = "source",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per document: key, counts, ``base_failed`` and ``kept``.
+    """One row per document: key, counts, ``base_failed`` and ``kept``, and the columns ``keep``.
 
     Null or empty texts have no words and fail the base; null languages and
     sources are groups of their own; documents with the same key are judged one
@@ -186,7 +192,7 @@ def judged(
     """
     shared_dir(docs.sparkSession)
     rows = (
-        measured(docs, text, [key, lang, source])
+        measured(docs, text, [key, lang, source, *keep])
         .withColumnsRenamed({"_k0": "key", "_k1": "lang", "_k2": "source"})
         .withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
         # Read by the sketches and by the final filter; texts are scanned once.
@@ -208,4 +214,5 @@ def judged(
         "left",
     )
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return joined.select(F.col("key").alias(key), *counts, "base_failed", within.alias("kept"))
+    own = [F.col(f"_k{i}").alias(c) for i, c in enumerate(keep, 3)]
+    return joined.select(F.col("key").alias(key), *counts, "base_failed", within.alias("kept"), *own)

@@ -144,3 +144,19 @@ def test_odd_documents(spark):
         for _, stage in corpus_pipeline.STAGES:
             now = stage(spark, now, SF)
         assert (now.count() == 0) == empty
+
+
+@pytest.mark.parametrize("shift", [0, -(1 << 62) - 5])
+def test_rows_without_an_id_of_their_own(spark, tmp_path, shift):
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    a, b, c, d, e = ("_" + " ".join(f"{x}{i:02}" for i in range(30)) for x in "abcde")
+    data = [(None, a), (None, a), (None, b), (9, b), (None, "too few"), (3, c), (3, c), (3, d), (3, "too few"), (4, c + " more"), (2, e), (None, e)]
+    data = [(None if k is None else k + shift, t) for k, t in data]
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in data], kinds)
+    out = []
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        out.append(Counter((r.doc_id, r.text) for r in docs.collect()))
+    assert out[0] == Counter((k, t) for k, t in data if t != "too few")
+    assert out[1] == Counter([(None, a), (9 + shift, b), (3 + shift, c), (3 + shift, d), (2 + shift, e)])
