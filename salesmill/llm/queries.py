@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmill.session import scratch
 
-from . import chat, embeddings, near, packing, pieces, pii, quality, repeats, sharding, warc
+from . import chat, digests, embeddings, near, packing, periods, pieces, pii, quality, repeats, sharding, tries, warc
 
 QUERIES = {}
 SQL = {}
@@ -255,3 +258,54 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    """
+    with t as (
+        select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) as text_sha256 from documents
+    )
+    select doc_id, min(doc_id) over g as keep_id, count(*) over g as group_size, doc_id = min(doc_id) over g as kept, text_sha256
+    from t window g as (partition by text_sha256)
+    """
+)
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and which one stays."""
+    return digests.classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations with sums over their subtrees."""
+    return tries.trie(table(spark, sf_dir, "conversations"))
+
+
+def cycled(doc_id: int, n: int) -> np.ndarray | None:
+    """Word order of the documents that are read as repetitions, from a place on; None for the others."""
+    h = zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 or not n:
+        return None
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    order = np.arange(n)
+    order[a:] = a + (order[a:] - a) % p
+    return order
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, the longest one, and the text without their repetitions."""
+    out = periods.found(table(spark, sf_dir, "documents"), reorder=cycled)
+    best = "array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))"
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    return out.withColumn("best", F.expr(best)).select(
+        "doc_id",
+        F.expr("cast(size(runs) as bigint)").alias("n_runs"),
+        F.expr("-best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.expr("-best.period").alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.expr(f"sha2({lines}, 256)").alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -13,4 +13,4 @@ def test_query_matches_sql(spark, name, sf):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
