@@ -10,7 +10,7 @@ from __future__ import annotations
 import dataclasses
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
@@ -164,8 +164,29 @@ _ALLOWED = frozenset(
     OneRowRelation UnresolvedInlineTable LocalRelation WithWindowDefinition Window Pivot Unpivot LateralJoin Generate
     """.split()
 )
-#: Built-in functions that reach outside the query.
+#: Parsed expressions a query may consist of. Names that are themselves expressions (identifier clauses) are not among them.
+_EXPRESSIONS = frozenset(
+    """
+    Literal AttributeReference Alias UnresolvedAlias UnresolvedAttribute UnresolvedStar UnresolvedStarExceptOrReplace
+    UnresolvedExtractValue UnresolvedOrdinal UnresolvedCollation UnresolvedFunction UnresolvedGenerator
+    LambdaFunction UnresolvedNamedLambdaVariable
+    Add Subtract Multiply Divide IntegralDivide Remainder UnaryMinus UnaryPositive Concat
+    BitwiseAnd BitwiseOr BitwiseXor BitwiseNot ShiftLeft ShiftRight ShiftRightUnsigned
+    And Or Not EqualTo EqualNullSafe GreaterThan GreaterThanOrEqual LessThan LessThanOrEqual Between UnresolvedBetween
+    In InSubquery IsNull IsNotNull Like LikeAll LikeAny NotLikeAll NotLikeAny ILike RLike
+    CaseWhen If Coalesce Cast Collate Extract StringLocate StringTrim StringTrimLeft StringTrimRight Substring Overlay
+    TimestampAdd TimestampDiff CreateNamedStruct CreateStruct SemiStructuredExtract
+    ScalarSubquery ListQuery Exists LateralSubquery
+    SortOrder AggregateExpression AnyValue First Last GroupingSets Rollup Cube
+    WindowExpression UnresolvedWindowExpression WindowSpecDefinition WindowSpecReference SpecifiedWindowFrame
+    UnspecifiedFrame$ CurrentRow$ UnboundedPreceding$ UnboundedFollowing$
+    """.split()
+)
+#: Built-in functions that reach outside the query, and the expressions they become.
 _OUTSIDE = frozenset({"reflect", "java_method", "try_reflect"})
+_OUTSIDE_EXPRESSIONS = frozenset({"CallMethodViaReflection", "TryReflect"})
+#: Leaves of an analysed query besides the given views.
+_NO_SOURCES = frozenset({"OneRowRelation", "LocalRelation", "EmptyRelation", "CTERelationRef"})
 
 
 class _Reader:
@@ -178,7 +199,6 @@ class _Reader:
         base = "org.apache.spark.sql.catalyst."
         loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
         self.subquery = java.forName(base + "expressions.PlanExpression", True, loader)
-        self.function = java.forName(base + "analysis.UnresolvedFunction", True, loader)
         try:
             parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
         except ParseException as err:
@@ -189,6 +209,10 @@ class _Reader:
     def _items(seq) -> list:
         return [seq.apply(i) for i in range(seq.size())]
 
+    def known(self, function: str) -> None:
+        if function.lower() not in self.functions:
+            raise AccessDenied(f"function {function} is not allowed in a query")
+
     def plan(self, node, defined: frozenset[str]) -> None:
         """``defined``: names of the query's own CTEs in scope; they hide tables of the same name."""
         kind = node.getClass().getSimpleName()
@@ -205,22 +229,65 @@ class _Reader:
                 defined |= {pair._1().lower()}
             self.plan(node.child(), defined)
             return
+        if kind == "WithWindowDefinition":
+            for definition in self._items(node.windowDefinitions().values().toSeq()):
+                self.expression(definition, defined)
         for expression in self._items(node.expressions()):
             self.expression(expression, defined)
         for child in self._items(node.children()):
             self.plan(child, defined)
 
     def expression(self, node, defined: frozenset[str]) -> None:
+        kind = node.getClass().getSimpleName()
+        if kind not in _EXPRESSIONS:
+            raise AccessDenied(f"{kind} is not allowed in a query")
         if self.subquery.isInstance(node):
             self.plan(node.plan(), defined)
-        elif self.function.isInstance(node):
-            name = ".".join(self._items(node.nameParts()))
-            if name.lower() not in self.functions:
-                raise AccessDenied(f"function {name} is not allowed in a query")
+        elif kind == "UnresolvedFunction":
+            self.known(".".join(self._items(node.nameParts())))
+        elif kind == "UnresolvedGenerator":
+            self.known(node.name().unquotedString())
         for child in self._items(node.children()):
             self.expression(child, defined)
 
 
+def _check_analysed(df: DataFrame, names: Collection[str]) -> None:
+    """Refuse an analysed query that reads anything but the named views, or calls what is no expression of Spark's own.
+
+    The second look at a text that passed the first: names are resolved here,
+    whatever way they were written.
+    """
+    items = _Reader._items
+
+    def plan(node) -> None:
+        kind = node.getClass().getSimpleName()
+        if kind == "View":
+            if node.desc().identifier().table() not in names:
+                raise AccessDenied(f"only the given views may be read, not {node.desc().identifier().table()}")
+            return
+        inner = items(node.children())
+        if not inner and kind not in _NO_SOURCES:
+            raise AccessDenied(f"{kind} is not allowed in a query")
+        for child in [*inner, *items(node.innerChildren())]:
+            plan(child)
+        for e in items(node.expressions()):
+            expression(e)
+
+    def expression(node) -> None:
+        kind = node.getClass()
+        if not kind.getName().startswith("org.apache.spark.sql.catalyst.") or kind.getSimpleName() in _OUTSIDE_EXPRESSIONS or "UDF" in kind.getSimpleName():
+            raise AccessDenied(f"{kind.getSimpleName()} is not allowed in a query")
+        if holds_plan(node):
+            plan(node.plan())
+        for child in items(node.children()):
+            expression(child)
+
+    java = df.sparkSession._jvm.java.lang.Class
+    loader = df.sparkSession._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    holds_plan = java.forName("org.apache.spark.sql.catalyst.expressions.PlanExpression", True, loader).isInstance
+    plan(df._jdf.queryExecution().analyzed())
+
+
 def query_as(
     spark: SparkSession,
     text: str,
@@ -234,8 +301,9 @@ def query_as(
 
     The text must be one query that reads nothing but these placeholders and
     the names it defines itself: commands, other tables and views, files, table
-    functions and functions that are not built in are refused before anything
-    is run. The secured views have random names while the text is analysed.
+    functions, functions that are not built in and names given by expressions
+    are refused before anything is run. What Spark makes of the text is checked
+    once more. The secured views have random names while the text is analysed.
     """
     secured = secured_views(views, access, email, role, policy)
     tag = uuid.uuid4().hex
@@ -247,7 +315,9 @@ def query_as(
     try:
         for view, name in names.items():
             secured[view].createOrReplaceTempView(name)
-        return spark.sql(plain)
+        result = spark.sql(plain)
+        _check_analysed(result, set(names.values()))
+        return result
     finally:
         for name in names.values():
             spark.catalog.dropTempView(name)

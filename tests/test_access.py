@@ -141,6 +141,18 @@ def test_filter_is_a_semi_join_below_the_aggregation(spark):
         "SELECT * FROM range(3)",
         "SELECT reflect('java.lang.System', 'getProperty', 'user.home') FROM {{secondary_sales_view}}",
         "SELECT leak() FROM {{secondary_sales_view}}",
+        "SELECT sales, IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'user.home') AS leak FROM {{secondary_sales_view}}",
+        "SELECT transform(array(1), x -> IDENTIFIER('ref' || 'lect')('java.lang.System', 'getProperty', 'user.home')) FROM {{secondary_sales_view}}",
+        "SELECT (SELECT IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'user.home')) FROM {{secondary_sales_view}}",
+        "SELECT sum(sales) OVER w FROM {{secondary_sales_view}} WINDOW w AS (ORDER BY IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'a'))",
+        "SELECT sum(sales) OVER w FROM {{secondary_sales_view}} WINDOW w AS (ORDER BY reflect('java.lang.System', 'getProperty', 'a'))",
+        "SELECT * FROM VALUES (reflect('java.lang.System', 'getProperty', 'user.home')) AS t(a), {{secondary_sales_view}}",
+        "SELECT IDENTIFIER('sales') FROM {{secondary_sales_view}}",
+        "SELECT (SELECT max(sales) FROM IDENTIFIER('secondary_' || 'sales_view')) FROM {{secondary_sales_view}}",
+        "SELECT * FROM {{secondary_sales_view}} LATERAL VIEW nosuchgen(sales) t AS y",
+        "SELECT * FROM {{secondary_sales_view}} LATERAL VIEW leak() t AS y",
+        "SELECT * FROM {{secondary_sales_view}}, LATERAL (SELECT try_reflect('java.lang.System', 'getProperty', 'a'))",
+        "SELECT :x FROM {{secondary_sales_view}}",
         "DROP VIEW secondary_sales_view",
         "CREATE VIEW mine AS SELECT * FROM secondary_sales_view",
         "INSERT INTO secondary_sales_view SELECT * FROM {{secondary_sales_view}}",
@@ -189,3 +201,34 @@ def test_own_names_may_hide_others(spark, people, view):
 def test_no_roles_no_access():
     with pytest.raises(access.AccessDenied):
         access.policy_of({}).column_for("secondary_sales_view", "manager")
+
+
+def test_what_users_write_is_allowed(spark, people, view):
+    text = """
+        WITH t AS (SELECT wss_territory_code AS code, sales, array(1, 2) AS xs FROM {secondary_sales_view})
+        SELECT code, CASE WHEN sum(sales) > 1 THEN 'much' ELSE 'little' END AS kind, count(DISTINCT sales) AS n,
+            max(y) FILTER (WHERE y > 0) AS y, CAST(sum(sales) AS INT) AS whole, upper(trim(code)) AS up,
+            rank() OVER (ORDER BY sum(sales) DESC NULLS LAST) AS place, sum(sum(sales)) OVER w AS every,
+            any_value(transform(xs, x -> x * 2)[0]) AS twice, date '2024-01-01' + interval 1 day AS day
+        FROM t LATERAL VIEW explode(xs) g AS y
+        WHERE (code LIKE 'T%' AND sales BETWEEN 0 AND 10) AND code NOT IN (SELECT upper('x')) AND sales <= (SELECT max(sales) FROM t)
+        GROUP BY code HAVING count(*) > 0 WINDOW w AS (PARTITION BY 1) ORDER BY 1 LIMIT 10
+    """
+    out = access.query_as(spark, text, {"secondary_sales_view": view}, access.access_map(people), "a@x.com", "auditor", POLICY)
+    assert [(r["code"], r["kind"], r["place"], r["every"], r["twice"]) for r in out.collect()] == [("T1", "much", 2, 6.0, 2), ("T2", "much", 1, 6.0, 2)]
+
+
+def test_analysed_queries_are_checked_again(spark):
+    spark.range(3).createOrReplaceTempView("given")
+    spark.range(3).createOrReplaceTempView("other")
+    access._check_analysed(spark.sql("SELECT id, (SELECT max(id) FROM given) AS m FROM given"), {"given"})
+    for text in (
+        "SELECT * FROM given JOIN other USING (id)",
+        "SELECT (SELECT max(id) FROM other) FROM given",
+        "SELECT IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'user.home') FROM given",
+        "SELECT * FROM range(3)",
+    ):
+        with pytest.raises(access.AccessDenied):
+            access._check_analysed(spark.sql(text), {"given"})
+    spark.catalog.dropTempView("given")
+    spark.catalog.dropTempView("other")
