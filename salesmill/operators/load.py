@@ -2,7 +2,9 @@
 
 A table is a folder with Parquet data and a commit log. Data is written to a
 fresh path, counted, and only then named in the log; a failed or interrupted
-load leaves the table as it was. Nothing that is being read is overwritten.
+load leaves the table as it was. Slices of a partitioned table are exchanged by
+Spark's dynamic partition overwrite from such a path, which the next use of the
+table finishes if it was interrupted.
 """
 
 from __future__ import annotations
@@ -20,18 +22,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .align import conform, union_all
+from ..session import broadcast_if_small, shared_dir
+from .align import conform
 from .quality import within_retention
 from .records import first_per_key
 
-_LOG = "version bigint, kind string, path string, removed string, rows bigint, table_schema string, partitions array<string>"
+_LOG = "version bigint, kind string, path string, emptied array<string>, rows bigint, table_schema string, partitions array<string>, batch string"
 
 
 REJECTED = "_rejected"
-# A removal that names partitions is kept as a folder of their values.
-_PARTITIONS = "partitions:"
-# Replaced slices that a read filters out of older files; one more, and the table is compacted.
-BRANCHES = 12
 
 
 class LoadError(RuntimeError):
@@ -40,13 +39,16 @@ class LoadError(RuntimeError):
 
 @dataclasses.dataclass(frozen=True)
 class Commit:
+    """``kind``: replace, append, schema (new types only), publish (partitions about to be exchanged), published."""
+
     version: int
     kind: str
     path: str
-    removed: str | None
+    emptied: tuple[str, ...]
     rows: int
     table_schema: str
     partitions: tuple[str, ...]
+    batch: str | None
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
@@ -104,18 +106,28 @@ class Table:
 
     # -- reading --
 
-    def commits(self) -> list[Commit]:
-        """Commits since the last full replacement, oldest first."""
+    def _log(self) -> DataFrame:
         log = f"{self.root}/log"
         if not self._opened:
             # A first use leaves an empty log, later ones find it.
             self.spark.range(0).select(*self._entry()).write.mode("ignore").json(log)
             self._opened = True
-        rows = self.spark.read.schema(_LOG).json(log).collect()
-        found = [Commit(**(r.asDict() | {"partitions": tuple(r["partitions"])})) for r in rows]
+        return self.spark.read.schema(_LOG).json(log)
+
+    def commits(self) -> list[Commit]:
+        """Commits that make up the table now, oldest first: from the last replacement or exchange on."""
+        rows = [r.asDict() for r in self._log().collect()]
+        found = [Commit(**(r | {"emptied": tuple(r["emptied"] or ()), "partitions": tuple(r["partitions"])})) for r in rows]
         found.sort(key=lambda c: c.version)
-        starts = [i for i, c in enumerate(found) if c.kind == "replace"]
-        return found[starts[-1] :] if starts else found
+        starts = [i for i, c in enumerate(found) if c.kind in ("replace", "published")]
+        found = found[starts[-1] :] if starts else found
+        if found and found[-1].kind == "publish":
+            return [self._publish(found)]
+        return found
+
+    def holds(self, batch: str) -> bool:
+        """Whether a load with this id has been committed."""
+        return not self._log().filter(F.col("batch") == batch).isEmpty()
 
     def exists(self) -> bool:
         return bool(self.commits())
@@ -130,41 +142,17 @@ class Table:
         return _schema(self._known())
 
     def read(self) -> DataFrame:
-        """Current content. Conditions of replaced slices prune older files at the scan."""
+        """Current content, one scan however many loads and exchanges there were."""
         return self._frame(self._known())
 
     def _frame(self, found: list[Commit]) -> DataFrame:
-        schema = _schema(found)
-        groups: list[tuple[list[str], list[str]]] = []
-        for c in found:
-            if c.removed is not None:
-                for _, gone in groups:
-                    gone.append(c.removed)
-            if not c.rows:
-                continue
-            if groups and not groups[-1][1]:
-                groups[-1][0].append(c.path)
-            else:
-                groups.append(([c.path], []))
-        if not groups:
+        return self._files([c.path for c in found if c.rows], _schema(found))
+
+    def _files(self, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
-        frames = []
-        for paths, gone in groups:
-            part = reader.parquet(*paths).select(*[f"`{n}`" for n in schema.names])
-            for condition in dict.fromkeys(gone):
-                part = self._without(part, condition)
-            frames.append(part)
-        return union_all(frames)
-
-    def _without(self, part: DataFrame, removed: str) -> DataFrame:
-        """Rows that a removal leaves: a condition, or the values of whole partitions."""
-        if not removed.startswith(_PARTITIONS):
-            return part.filter(~F.coalesce(F.expr(removed), F.lit(False)))
-        gone = self.spark.read.parquet(removed.removeprefix(_PARTITIONS))
-        gone = gone.select([F.col(f"`{c}`").alias(f"_gone_{c}") for c in gone.columns])
-        same = [F.col(f"`{c.removeprefix('_gone_')}`").eqNullSafe(F.col(f"`{c}`")) for c in gone.columns]
-        return part.join(gone, reduce(lambda a, b: a & b, same), "left_anti")
+        return reader.parquet(*paths).select(*[f"`{n}`" for n in schema.names])
 
     # -- writing --
 
@@ -213,68 +201,111 @@ class Table:
         rows: int,
         schema: T.StructType,
         partition_by: Sequence[str] = (),
-        removed: str | None = None,
+        emptied: Sequence[str] = (),
         found: list[Commit] | None = None,
+        batch: str | None = None,
     ) -> int:
         """Make a staged path part of the table: one small file added to the log."""
         found = self.commits() if found is None else found
         version = (found[-1].version if found else 0) + 1
-        entry = self._entry([version, kind, path, removed, rows, schema.json(), list(partition_by)])
+        entry = self._entry([version, kind, path, list(emptied), rows, schema.json(), list(partition_by), batch])
         self.spark.range(1, numPartitions=1).select(*entry).write.mode("append").json(f"{self.root}/log")
-        # Every removal is one more branch of the plan that reads the table.
-        if removed is not None and sum(c.removed is not None for c in found) >= BRANCHES:
-            return self.compact()
         return version
 
     def replace(self, df: DataFrame, partition_by: Sequence[str] | None = None) -> int:
         """New content for the whole table. May read the table it replaces."""
         return self._replace(df, self.commits(), partition_by)
 
-    def _replace(self, df: DataFrame, found: list[Commit], partition_by: Sequence[str] | None = None) -> int:
+    def _replace(self, df: DataFrame, found: list[Commit], partition_by: Sequence[str] | None = None, batch: str | None = None) -> int:
         parts = tuple(partition_by) if partition_by is not None else _partitions(found)
         path, rows = self.stage(df, parts)
-        return self.commit("replace", path, rows, df.schema, parts, found=found)
-
-    def append(self, df: DataFrame) -> int:
-        return self._append(df, self.commits())
+        return self.commit("replace", path, rows, df.schema, parts, found=found, batch=batch)
 
-    def _append(self, df: DataFrame, found: list[Commit], removed: str | None = None) -> int:
+    def append(self, df: DataFrame, batch: str | None = None) -> int:
+        found = self.commits()
         if not found:
-            return self._replace(df, found)
+            return self._replace(df, found, batch=batch)
         schema, parts = _schema(found), _partitions(found)
         path, rows = self.stage(conform(df, schema), parts)
-        return self.commit("append", path, rows, schema, parts, removed, found)
+        return self.commit("append", path, rows, schema, parts, found=found, batch=batch)
 
     def replace_slice(self, df: DataFrame, condition: str) -> int:
-        """Exchange the rows meeting a condition. Rows outside it are not rewritten."""
-        return self._append(df, self.commits(), condition)
+        """Exchange the rows meeting a condition; in a partitioned table only the partitions involved are written."""
+        found = self.commits()
+        if not found:
+            return self._replace(df, found)
+        path, rows = self.stage(conform(df, _schema(found)), _partitions(found))
+        return self.exchange(path, rows, condition)
+
+    def exchange(self, path: str, rows: int, condition: str, schema: T.StructType | None = None, batch: str | None = None) -> int:
+        """``replace_slice`` with rows that have been staged."""
+        found = self._known()
+        schema = schema or _schema(found)
+        current, staged = self._files([c.path for c in found if c.rows], schema), self._files([path] * bool(rows), schema)
+        meant = F.coalesce(F.expr(condition), F.lit(False))
+        return self._exchange(found, path, rows, schema, current.filter(~meant), [current.filter(meant), staged], batch)
+
+    def _exchange(
+        self, found: list[Commit], path: str, rows: int, schema: T.StructType, kept: DataFrame, involved: Sequence[DataFrame], batch: str | None = None
+    ) -> int:
+        """Staged rows and those ``kept``, in place of the partitions that the rows ``involved`` stand in.
+
+        Loads appended since the last exchange move along, so that afterwards
+        the table is one folder again. Without partitions all of it is written.
+        """
+        parts = _partitions(found)
+        if not parts:
+            new = self._files([path] * bool(rows), schema)
+            return self._replace(kept.unionByName(new).hint("rebalance"), found, batch=batch)
+        shared_dir(self.spark)
+        late = self._files([c.path for c in found[1:] if c.rows], schema)
+        touched = reduce(DataFrame.union, [df.select(*parts).distinct() for df in (*involved, late)]).distinct().checkpoint()
+        stays = _semi(kept, touched, parts)
+        if not stays.isEmpty():
+            path, rows = self.stage(stays.unionByName(self._files([path] * bool(rows), schema)), parts)
+        filled = self._files([path] * bool(rows), schema).select(*parts).distinct()
+        empty = _semi(touched, filled, parts, "left_anti")
+        # Folders of the base that lose all their rows; as many at most as there are partitions.
+        base = self.spark.read.parquet(found[0].path) if found[0].rows and not empty.isEmpty() else None
+        emptied = [] if base is None else [r[0] for r in _semi(base.select(*parts, "_metadata.file_path"), empty, parts).select(F.regexp_extract("file_path", "^(.*)/[^/]+$", 1)).distinct().collect()]
+        self.commit("publish", path, rows, schema, parts, emptied, found, batch)
+        return self.commits()[-1].version
+
+    def _publish(self, found: list[Commit]) -> Commit:
+        """Overwrite the partitions of the base by those of a staged path. Done again, it changes nothing."""
+        base, last = found[0].path, found[-1]
+        hadoop, uri = self.spark._jvm.org.apache.hadoop.fs.Path, self.spark._jvm.java.net.URI
+        files = hadoop(base).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.mkdirs(hadoop(base))
+        if last.rows:
+            rows = self._files([last.path], _schema(found))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*last.partitions).parquet(base)
+        for folder in last.emptied:
+            files.delete(hadoop(uri(folder)), True)
+        done = dataclasses.replace(last, version=last.version + 1, kind="published", path=base, emptied=(), rows=-1, batch=None)
+        self.commit(done.kind, done.path, done.rows, _schema(found), done.partitions, found=found)
+        return done
 
     def upsert(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> int:
         """Replace rows by key. In a partitioned table only the partitions involved are rewritten.
 
-        A key that the batch repeats is stored once, the first in ``order``. The
-        partitions involved stay a table: they are written beside the data and
-        named in the log, however many there are.
+        A key that the batch repeats is stored once, the first in ``order``.
+        Partition by ``hash_part`` of the key where nothing else is at hand: one
+        key then rewrites one of the parts.
         """
         found = self.commits()
         if not found:
             return self._replace(one_per_key(df, keys, order), found)
-        updates, current, parts = conform(df, _schema(found)), self._frame(found), _partitions(found)
-        if not parts:
-            return self._replace(upserted(current, updates, keys, order), found)
-        held = current.join(updates.select(*keys).distinct(), list(keys), "left_semi").select(*parts)
-        path = f"{self.root}/removed/v{uuid.uuid4().hex}"
-        held.union(updates.select(*parts)).distinct().write.parquet(path)
-        touched = self.spark.read.parquet(path).select([F.col(f"`{c}`").alias(f"_in_{c}") for c in parts])
-        same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_in_{c}`")) for c in parts])
-        involved = current.join(touched, same, "left_semi")
-        return self._append(upserted(involved, updates, keys, order), found, _PARTITIONS + path)
+        schema, current = _schema(found), self._frame(found)
+        path, rows = self.stage(one_per_key(conform(df, schema), keys, order), _partitions(found))
+        staged = self._files([path] * bool(rows), schema)
+        changed = staged.select(*keys)
+        kept = current.join(changed, list(keys), "left_anti").select(current.columns)
+        return self._exchange(found, path, rows, schema, kept, [current.join(changed, list(keys), "left_semi"), staged])
 
     def delete(self, condition: str) -> int:
-        """Drop the rows meeting a condition; nothing is rewritten until the next compaction."""
-        found = self._known()
-        last = found[-1]
-        return self.commit("append", last.path, 0, _schema(found), _partitions(found), condition, found)
+        """Drop the rows meeting a condition."""
+        return self.exchange("", 0, condition)
 
     def retain(self, column: str, as_of: dt.date, days: int) -> int:
         """Rewrite the table without rows older than the retention period; undated rows stay.
@@ -288,50 +319,64 @@ class Table:
     def insert_missing(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> int:
         """Add rows with new keys; of a key that the batch repeats, the first in ``order``."""
         found = self.commits()
-        rows = new_only(self._frame(found), df, keys, order) if found else one_per_key(df, keys, order)
-        return self._append(rows, found)
+        return self.append(new_only(self._frame(found), df, keys, order) if found else one_per_key(df, keys, order))
 
     def compact(self, partition_by: Sequence[str] | None = None) -> int:
-        """Rewrite small files and replaced slices into evenly sized files."""
+        """Rewrite small files into evenly sized files."""
         found = self._known()
         current = self._frame(found)
         parts = tuple(partition_by) if partition_by is not None else _partitions(found)
         return self._replace(current if parts else current.hint("rebalance"), found, parts)
 
     def vacuum(self, age: dt.timedelta) -> list[str]:
-        """Remove what no commit names any more and what is older than ``age``; returns the folders.
+        """Remove the data that no commit names any more and that is older than ``age``; returns the folders.
 
-        Commits before the last replacement go from the log too. Whoever reads
-        the table should be done with the older state by then.
+        Whoever reads the table should be done with the older state by then.
         """
         path = self.spark._jvm.org.apache.hadoop.fs.Path
-        files = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = self.commits()
-        used = {c.path.rsplit(f"/{REJECTED}=", 1)[0].rsplit("/", 1)[-1] for c in found}
-        used |= {c.removed.rsplit("/", 1)[-1] for c in found if (c.removed or "").startswith(_PARTITIONS)}
+        data = path(f"{self.root}/data")
+        files = data.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        used = {c.path.rsplit(f"/{REJECTED}=", 1)[0].rsplit("/", 1)[-1] for c in self.commits()}
         limit = (time.time() - age.total_seconds()) * 1000
-        gone = []
-        for kind in ("data", "removed"):
-            folder = path(f"{self.root}/{kind}")
-            for status in files.listStatus(folder) if files.exists(folder) else []:
-                if status.getPath().getName() not in used and status.getModificationTime() < limit:
-                    files.delete(status.getPath(), True)
-                    gone.append(status.getPath().toString())
-        if gone:
-            log, fresh = path(f"{self.root}/log"), f"{self.root}/log-{uuid.uuid4().hex}"
-            rows = [[getattr(c, f.name) for f in T.StructType.fromDDL(_LOG).fields] for c in found]
-            entries = self.spark.createDataFrame([[*r[:-1], list(r[-1])] for r in rows], _LOG)
-            entries.coalesce(1).write.json(fresh)
-            files.delete(log, True)
-            files.rename(path(fresh), log)
-        return gone
+        old = [s.getPath() for s in files.listStatus(data) if s.getPath().getName() not in used and s.getModificationTime() < limit]
+        for folder in old:
+            files.delete(folder, True)
+        return [folder.toString() for folder in old]
 
     def evolve(self, schema: T.StructType) -> int:
-        """Rewrite with wider column types."""
+        """Wider column types. Files stay as they are where the reader promotes what they hold, else all is rewritten."""
         found = self._known()
+        parts, old = _partitions(found), _schema(found)
+        if schema.names == old.names and all(_promoted(a.dataType, b.dataType) and (a.name not in parts or a.dataType == b.dataType) for a, b in zip(old, schema)):
+            return self.commit("schema", "", 0, schema, parts, found=found)
         return self._replace(conform(self._frame(found), schema), found)
 
 
+# Whole numbers by size; Parquet holds the first three in 32 bits.
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+
+
+def _promoted(old: T.DataType, new: T.DataType) -> bool:
+    """Whether files with the old type can be read as the new one."""
+    if old in _WHOLE and new in _WHOLE:
+        return _WHOLE.index(old) <= _WHOLE.index(new)
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new.scale == old.scale and new.precision >= old.precision
+    return old == new or (isinstance(old, T.FloatType) and isinstance(new, T.DoubleType))
+
+
+def hash_part(keys: Sequence[str], parts: int) -> Column:
+    """Partition number of a key, for tables that are changed by key and have no other partitions."""
+    return F.pmod(F.xxhash64(*[f"`{k}`" for k in keys]), F.lit(parts)).cast("int")
+
+
+def _semi(df: DataFrame, values: DataFrame, columns: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose columns are among the values (or are not), nulls included."""
+    renamed = broadcast_if_small(values.select([F.col(f"`{c}`").alias(f"_v_{c}") for c in columns]))
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_v_{c}`")) for c in columns]
+    return df.join(renamed, reduce(lambda a, b: a & b, same), how)
+
+
 def _schema(found: list[Commit]) -> T.StructType:
     return T.StructType.fromJson(json.loads(found[-1].table_schema))
 

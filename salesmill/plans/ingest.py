@@ -132,6 +132,7 @@ def load_checked(
     partition_by: Sequence[str] | None = None,
     table: str = "",
     widenings: Sequence[quality.Widening] = (),
+    batch: str | None = None,
 ) -> LoadReport:
     """Check and write in one pass, then gate, then publish.
 
@@ -141,6 +142,8 @@ def load_checked(
     written, with the names of the rules they broke. Rows added to a table have
     its partitions; others are refused.
     """
+    if mode not in ("replace", "slice", "append"):
+        raise ValueError(f"unknown load mode {mode!r}")
     started = time.monotonic()
     stored = target.commits()
     own = stored[-1].partitions if stored else None
@@ -155,14 +158,12 @@ def load_checked(
     counts = observed(seen)
     quality.gate(counts, rules, max_error_ratio)
     bad = counts.get("rejected", 0)
-    if mode == "replace":
-        version = target.commit("replace", path, good, schema, partition_by)
+    if mode == "replace" or not stored:
+        version = target.commit("replace", path, good, schema, partition_by, batch=batch)
     elif mode == "slice":
-        version = target.commit("append", path, good, schema, partition_by, removed=condition)
-    elif mode == "append":
-        version = target.commit("append", path, good, schema, partition_by)
+        version = target.exchange(path, good, condition, schema, batch)
     else:
-        raise ValueError(f"unknown load mode {mode!r}")
+        version = target.commit("append", path, good, schema, partition_by, batch=batch)
     return LoadReport(
         table,
         good + bad,
