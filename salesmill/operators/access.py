@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Collection, Mapping
 
 from pyspark.errors import ParseException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import mail_key, mail_path_element
@@ -26,6 +26,17 @@ MAIL_LEVELS = ("sh_2_email", "sh_3_email", "sh_4_email", "sh_5_email", "sh_6_ema
 HIERARCHY_KIND = "%Sales Hierarchy%"
 
 
+#: Parts of a stored view, by a hash of the territory, and the column that numbers them.
+PARTS = 64
+PART = "territory_part"
+
+
+def part_of(territory: str) -> Column:
+    """Number of the part that holds a territory; rows without one are in part -1."""
+    hashed = F.pmod(F.xxhash64(F.col(territory).cast("string")), F.lit(PARTS))
+    return F.when(F.col(territory).isNull(), -1).otherwise(hashed).cast("int")
+
+
 class AccessDenied(PermissionError):
     """The role or the view is not covered by the policy."""
 
@@ -153,7 +164,17 @@ def secured_views(
     """
     columns = {name: policy.column_for(name, role) for name in views}
     mine = broadcast_if_small(territories_of(access, email))
-    return {name: members(df, columns[name], mine, "territory") for name, df in views.items()}
+    parts = mine.select("territory", part_of("territory").alias("_part"))
+    return {
+        name: _in_parts(df, columns[name], parts).drop(PART) if PART in df.columns else members(df, columns[name], mine, "territory")
+        for name, df in views.items()
+    }
+
+
+def _in_parts(df: DataFrame, column: str, parts: DataFrame) -> DataFrame:
+    """``members`` of a stored view: the parts of the user's territories are found at run time, the others are not read."""
+    side = parts.withColumnRenamed("territory", "_allowed")
+    return df.join(side, (df[column] == F.col("_allowed")) & (df[PART] == F.col("_part")), "left_semi")
 
 
 #: Parsed operators a query may consist of. Anything else (commands, table functions, scripts) is refused.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -45,13 +45,12 @@ def rename_reserved(df: DataFrame, suffix: str = "_raw") -> tuple[DataFrame, dic
     return df.withColumnsRenamed(renamed), renamed
 
 
-def rename_matched(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
-    """Rename by the column matcher; the first frame column to claim a target gets it."""
-    taken: dict[str, str] = {}
-    for f in df.schema.fields:
-        target = names.match_column(f.name, targets, f.dataType)
-        if target is not None and target not in taken.values():
-            taken[f.name] = target
+def rename_matched(df: DataFrame, targets: Mapping[str, str], aliases: Mapping[str, str] | None = None, prefixes: Sequence[str] = ()) -> DataFrame:
+    """Rename by the column matcher: exact names first, no target twice; other columns keep their names."""
+    taken = names.assign([(f.name, f.dataType) for f in df.schema.fields], targets, aliases, prefixes)
+    left = {c.lower() for c in df.columns if c not in taken} & {t.lower() for t in taken.values()}
+    if left:
+        raise ValueError(f"columns without a target have the name of one: {sorted(left)}")
     return df.withColumnsRenamed({k: v for k, v in taken.items() if k != v})
 
 

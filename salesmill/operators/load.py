@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_if_small, shared_dir
 from .align import conform
 from .quality import within_retention
 from .records import first_per_key
@@ -257,17 +256,18 @@ class Table:
         if not parts:
             new = self._files([path] * bool(rows), schema)
             return self._replace(kept.unionByName(new).hint("rebalance"), found, batch=batch)
-        shared_dir(self.spark)
         late = self._files([c.path for c in found[1:] if c.rows], schema)
-        touched = reduce(DataFrame.union, [df.select(*parts).distinct() for df in (*involved, late)]).distinct().checkpoint()
-        stays = _semi(kept, touched, parts)
+        # Partition values meet on the driver, as they do whenever Spark lists a table's files.
+        values = T.StructType([f for f in schema.fields if f.name in parts])
+        touched = set(reduce(DataFrame.union, [df.select(values.names).distinct() for df in (*involved, late)]).distinct().collect())
+        stays = _among(kept, self.spark.createDataFrame(list(touched), values))
         if not stays.isEmpty():
             path, rows = self.stage(stays.unionByName(self._files([path] * bool(rows), schema)), parts)
-        filled = self._files([path] * bool(rows), schema).select(*parts).distinct()
-        empty = _semi(touched, filled, parts, "left_anti")
-        # Folders of the base that lose all their rows; as many at most as there are partitions.
-        base = self.spark.read.parquet(found[0].path) if found[0].rows and not empty.isEmpty() else None
-        emptied = [] if base is None else [r[0] for r in _semi(base.select(*parts, "_metadata.file_path"), empty, parts).select(F.regexp_extract("file_path", "^(.*)/[^/]+$", 1)).distinct().collect()]
+        empty = list(touched - set(self._files([path] * bool(rows), schema).select(values.names).distinct().collect()))
+        emptied = []
+        if empty and found[0].rows:
+            lost = _among(self.spark.read.schema(schema).parquet(found[0].path).select(*values.names, "_metadata.file_path"), self.spark.createDataFrame(empty, values))
+            emptied = [r[0] for r in lost.select(F.regexp_extract("file_path", "^(.*)/[^/]+$", 1)).distinct().collect()]
         self.commit("publish", path, rows, schema, parts, emptied, found, batch)
         return self.commits()[-1].version
 
@@ -370,11 +370,11 @@ def hash_part(keys: Sequence[str], parts: int) -> Column:
     return F.pmod(F.xxhash64(*[f"`{k}`" for k in keys]), F.lit(parts)).cast("int")
 
 
-def _semi(df: DataFrame, values: DataFrame, columns: Sequence[str], how: str = "left_semi") -> DataFrame:
-    """Rows of ``df`` whose columns are among the values (or are not), nulls included."""
-    renamed = broadcast_if_small(values.select([F.col(f"`{c}`").alias(f"_v_{c}") for c in columns]))
-    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_v_{c}`")) for c in columns]
-    return df.join(renamed, reduce(lambda a, b: a & b, same), how)
+def _among(df: DataFrame, values: DataFrame) -> DataFrame:
+    """Rows of ``df`` in the given partitions, nulls included; the others are not read."""
+    renamed = F.broadcast(values.select([F.col(f"`{c}`").alias(f"_v_{c}") for c in values.columns]))
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_v_{c}`")) for c in values.columns]
+    return df.join(renamed, reduce(lambda a, b: a & b, same), "left_semi")
 
 
 def _schema(found: list[Commit]) -> T.StructType:
@@ -385,9 +385,16 @@ def _partitions(found: list[Commit]) -> tuple[str, ...]:
     return found[-1].partitions if found else ()
 
 
-def save_bucketed(df: DataFrame, name: str, columns: Sequence[str], buckets: int, mode: str = "overwrite") -> None:
-    """Catalog table hashed into buckets: joins on the columns then need no shuffle."""
-    df.write.mode(mode).bucketBy(buckets, *columns).sortBy(*columns).format("parquet").saveAsTable(name)
+def save_bucketed(
+    df: DataFrame, name: str, columns: Sequence[str], buckets: int, mode: str = "overwrite", path: str | None = None
+) -> DataFrame:
+    """Catalog table hashed into buckets, one file each: joins and aggregations on the columns then need no shuffle.
+
+    ``path`` is where the files go, by default the warehouse.
+    """
+    out = df.repartition(buckets, *[F.col(f"`{c}`") for c in columns]).write.mode(mode).bucketBy(buckets, *columns).sortBy(*columns)
+    (out.option("path", path) if path else out).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def register(

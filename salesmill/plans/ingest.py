@@ -1,17 +1,17 @@
-"""From a raw drop to a loaded table, and the daily run over all tenants."""
+"""From a raw drop to a loaded table, and the daily run of a tenant."""
 
 from __future__ import annotations
 
 import dataclasses
 import datetime as dt
 import time
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import PipelineConfig, TableSpec, run_order
+from ..config import PipelineConfig, TableSpec
 from ..functions import ddl
 from ..functions.numbers import lenient_long
 from ..operators import access, align, computed, convert, filters, quality
@@ -21,6 +21,7 @@ from ..sources.files import read_csv_text
 from .derived import refresh_dd
 from .dimensions import transform_dimension
 from .facets import PRIMARY, SECONDARY, business_constants
+from .runs import Ledger
 from .sales import primary_sales, refresh_snapshot, secondary_sales
 
 
@@ -185,8 +186,9 @@ def run_table(
     rules: Sequence[quality.Rule] = (),
     mode: str = "append",
     condition: str | None = None,
+    batch: str | None = None,
 ) -> LoadReport:
-    """A raw drop through transformation, conformance and the checked load."""
+    """A raw drop through transformation, conformance and the checked load, which the log keeps under ``batch``."""
     done = transform(df, spec, config)
     if done.mapping_problems:
         raise quality.QualityError(f"{spec.name}: {done.mapping_problems}")
@@ -215,6 +217,7 @@ def run_table(
         spec.partition_by,
         spec.name,
         done.widenings,
+        batch,
     )
 
 
@@ -226,41 +229,71 @@ def daily_run(
     run_date: dt.date,
     modes: Mapping[str, tuple[str, str | None]] | None = None,
     rules: Mapping[str, Sequence[quality.Rule]] | None = None,
+    ledger: Ledger | None = None,
 ) -> dict[str, LoadReport]:
     """Dimensions, facts, derived records, then everything computed from them.
 
     ``modes`` gives a fact's load mode and slice condition; dimensions are
     replaced. Order matters: views read what the loads before them published.
+
+    A fact that is appended goes in once a day: its load is committed under the
+    day and the table, and a run repeated for that day leaves it out. With a
+    ``ledger`` a run that broke goes on where it stopped; what is returned are
+    the loads carried out now.
     """
     modes, rules = modes or {}, rules or {}
 
     def table(name: str) -> Table:
         return Table(spark, config.path("tables", name))
 
-    reports = {}
-    for name in sorted(drops, key=lambda n: (n.startswith("fact_"), specs[n].order)):
+    def load(name: str) -> LoadReport | None:
         mode, condition = modes.get(name, ("append", None) if name.startswith("fact_") else ("replace", None))
-        reports[name] = run_table(drops[name], specs[name], config, table(name), rules.get(name, ()), mode, condition)
-
-    if table("fact_invoice_details").exists():
-        refresh_dd(table("fact_invoice_details").read(), table("fact_invoice_secondary"), config, run_date)
-    current = {n: table(n).read() for n in specs if table(n).exists()}
-    if "dim_hierarchy" in current:
-        table("rls_map").replace(access.access_map(current["dim_hierarchy"]))
-        table("rls_master").replace(access.hierarchy_paths(current["dim_hierarchy"]))
-    views = {}
-    dims = {n for n in specs if n.startswith("dim_")}
-    if dims <= set(current):
-        if "fact_invoice_secondary" in current:
-            view = secondary_sales(current, config.secondary_cutoff, config.material_types)
+        batch = f"{run_date:%Y-%m-%d} {name}" if mode == "append" else None
+        if batch and table(name).holds(batch):
+            return None
+        if mode == "slice" and not table(name).exists():
+            mode, condition = "replace", None
+        return run_table(drops[name], specs[name], config, table(name), rules.get(name, ()), mode, condition, batch)
+
+    def derived() -> None:
+        if table("fact_invoice_details").exists():
+            refresh_dd(table("fact_invoice_details").read(), table("fact_invoice_secondary"), config, run_date)
+
+    def grants() -> None:
+        if table("dim_hierarchy").exists():
+            hierarchy = table("dim_hierarchy").read()
+            table("rls_map").replace(access.access_map(hierarchy))
+            table("rls_master").replace(access.hierarchy_paths(hierarchy))
+
+    def current() -> dict[str, DataFrame]:
+        found = {n: table(n).read() for n in specs if table(n).exists()}
+        dims = {n for n in specs if n.startswith("dim_")}
+        return found if dims and dims <= set(found) else {}
+
+    def snapshot() -> None:
+        tables = current()
+        if "fact_invoice_secondary" in tables:
+            view = secondary_sales(tables, config.secondary_cutoff, config.material_types)
             refresh_snapshot(view, table("secondary_sales_mat_view"))
+
+    def constants() -> None:
+        tables, views = current(), {}
+        if "fact_invoice_secondary" in tables:
             views[SECONDARY] = table("secondary_sales_mat_view").read()
-        if "fact_invoice_details" in current:
-            views[PRIMARY] = primary_sales(current)
-    if views:
-        constants = business_constants(views, config.sales_threshold)
-        table("business_constants").insert_missing(constants, ["group_name", "display_name", "value"])
-    return reports
+        if "fact_invoice_details" in tables:
+            views[PRIMARY] = primary_sales(tables)
+        if views:
+            found = business_constants(views, config.sales_threshold)
+            table("business_constants").insert_missing(found, ["group_name", "display_name", "value"])
+
+    ordered = sorted(drops, key=lambda n: (n.startswith("fact_"), specs[n].order))
+    steps = [(f"load {n}", lambda n=n: load(n)) for n in ordered]
+    steps += [("derived records", derived), ("access map", grants), ("snapshot", snapshot), ("constants", constants)]
+    if ledger is None:
+        results = {step: job() for step, job in steps}
+    else:
+        results = ledger.run(f"{run_date:%Y-%m-%d}", steps)
+    return {n: results[f"load {n}"] for n in ordered if results.get(f"load {n}") is not None}
 
 
 def drop_names(spark: SparkSession, folder: str) -> list[str]:
@@ -301,18 +334,3 @@ def run_drops(
                 condition += " AND " + group_slice(groups, keep_dd=False)
         reports.append(run_table(drop, spec, config, target, (rules or {}).get(spec.name, ()), mode, condition))
     return reports
-
-
-def run_tenants(
-    tenants: Iterable[PipelineConfig], job: Callable[[PipelineConfig], object], fail_fast: bool = False
-) -> dict[str, object]:
-    """Run a job per enabled tenant in order of priority; a failure is kept as the result."""
-    results: dict[str, object] = {}
-    for config in run_order(tenants):
-        try:
-            results[config.tenant] = job(config)
-        except Exception as err:  # noqa: BLE001 - one tenant must not stop the others
-            if fail_fast:
-                raise
-            results[config.tenant] = err
-    return results

@@ -15,6 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import access
 from ..operators.load import Table
 from ..operators.records import concat_key, latest_per_key
 from ..session import broadcast_if_small
@@ -243,10 +244,11 @@ def primary_sales(t: Tables) -> DataFrame:
 
 
 def refresh_snapshot(view: DataFrame, target: Table, cluster_by: str = "wss_territory_code") -> int:
-    """Store a view's result, clustered by the column users are filtered on.
+    """Store a view's result in parts by the column users are filtered on, so that a user's query reads few of them.
 
-    Rebalancing keeps files even when one territory holds much of the data; the
-    order inside files lets a territory filter skip row groups.
+    Parts are numbers hashed from the column, ``access.PARTS`` whatever the
+    number of territories; one that holds much of the data has several files.
+    The order inside files lets a territory filter skip row groups.
     """
-    clustered = view.hint("rebalance", cluster_by).sortWithinPartitions(cluster_by)
-    return target.replace(clustered, partition_by=())
+    parted = view.withColumn(access.PART, access.part_of(cluster_by))
+    return target.replace(parted.sortWithinPartitions(access.PART, cluster_by), partition_by=(access.PART,))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,6 +79,73 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str, multi_
     return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
+CORRUPT = "_malformed"
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Records of JSON files with a column ``_malformed``: the text of one that cannot be read, NULL for the others.
+
+    Mark rows with it as rejected, and a load keeps them apart.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(whole).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def parquet_columns(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+    """One row per file and column (path, column_name, kind) from the footers, which are read in tasks."""
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    def read(batches):
+        from urllib.parse import quote
+
+        import pandas as pd
+        from pyarrow import fs, parquet
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                system, place = fs.FileSystem.from_uri(quote(path, safe=":/"))
+                rows += [(path, f.name, from_arrow_type(f.type).simpleString()) for f in parquet.read_schema(place, filesystem=system)]
+            yield pd.DataFrame(rows, columns=["path", "column_name", "kind"])
+
+    files = listing(spark, folder, pattern).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
+    return files.repartition("path").mapInPandas(read, "path string, column_name string, kind string")
+
+
+def schema_problems(columns: DataFrame, declared: T.StructType | None = None) -> DataFrame:
+    """(path, column_name, kind, expected, problem) where a file of a folder differs from the others.
+
+    Expected is the declared type, or what most files have (of equally many,
+    the first by name); a column that more than half of the files have is
+    missing in the others. Only counts meet in one place.
+    """
+    spark, files = columns.sparkSession, columns.select("path").distinct()
+    if declared is not None:
+        usual = [(f.name, f.dataType.simpleString(), True) for f in declared.fields]
+    else:
+        counts = columns.groupBy("column_name", "kind").agg(F.count(F.lit(1)).alias("n"))
+        order = [F.desc("n"), F.asc("kind")]
+        first = F.row_number().over(Window.partitionBy("column_name").orderBy(*order))
+        of = F.sum("n").over(Window.partitionBy("column_name"))
+        many = files.count()
+        # As many rows as there are column names.
+        rows = counts.select("column_name", "kind", first.alias("i"), of.alias("of")).filter("i = 1").collect()
+        usual = [(r["column_name"], r["kind"], 2 * r["of"] > many) for r in rows]
+    known = spark.createDataFrame(usual, "column_name string, expected string, needed boolean")
+    joined = columns.join(F.broadcast(known), "column_name", "left")
+    differ = joined.filter("needed and kind <> expected").withColumn("problem", F.lit("type differs"))
+    extra = joined.filter("not coalesce(needed, false)").withColumn("problem", F.lit("column of few files" if declared is None else "not declared"))
+    needed = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("expected")) for c, k, n in usual if n])
+    lacking = (
+        columns.groupBy("path").agg(F.collect_set("column_name").alias("have"))
+        .select("path", "have", F.explode(needed).alias("w"))
+        .filter(~F.array_contains("have", F.col("w.column_name")))
+        .select("path", "w.column_name", F.lit(None).cast("string").alias("kind"), "w.expected", F.lit("missing").alias("problem"))
+    )
+    out = ["path", "column_name", "kind", "expected", "problem"]
+    return differ.select(out).unionByName(extra.select(out)).unionByName(lacking)
+
+
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from ..operators.records import unpivot
 from ..plans import growth
 from ..plans.sales import refresh_snapshot
 from ..samples import shape, shape_cte, shapes
-from ..session import scratch
+from ..session import shared_dir
 from . import Workload
 from .sales import CONFIG, QUARTERS, SECONDARY_CTE, STAR, growth_sql, secondary_view
 
@@ -138,6 +140,15 @@ def rls_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored view of the given tables: made by the first query that asks, found by the others."""
+    tag = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+    stored = Table(spark, f"{shared_dir(spark)}/secondary_sales_mat_view-{spark.sparkContext.applicationId}-{tag}")
+    if not stored.exists():
+        refresh_snapshot(secondary_view(spark, sf_dir), stored)
+    return stored.read()
+
+
 _COMPOSED = """
     WITH towns AS (
         SELECT wss_town, count(*) AS line_count FROM {secured} WHERE volume >= 25 GROUP BY wss_town
@@ -160,10 +171,9 @@ _COMPOSED = """
 def rls_composed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's own SQL with CTEs, UNION branches and a join, over the stored, secured view.
 
-    The text names the view four times; the snapshot keeps it from being joined four times.
+    The text names the view four times; the snapshot keeps it from being joined
+    four times, and of its parts only those of the user's territories are read.
     """
-    stored = Table(spark, scratch(spark, "secondary_sales_mat_view"))
-    refresh_snapshot(secondary_view(spark, sf_dir), stored)
     text = _COMPOSED.replace("{secured}", "{secondary_sales_mat_view}")
-    views = {"secondary_sales_mat_view": stored.read()}
+    views = {"secondary_sales_mat_view": snapshot(spark, sf_dir)}
     return access.query_as(spark, text, views, _access(spark, sf_dir), USER, ROLE, POLICY)

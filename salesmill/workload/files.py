@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import int_date
+from ..functions.ddl import struct_from_ddl
+from ..operators.load import REJECTED, Table
 from ..samples import source
 from ..session import scratch
 from ..sources import files, routing
@@ -117,10 +119,80 @@ def incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = source(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     drops = events.select("event_id", "event_type", "value", "day")
     drops.hint("rebalance", "day").write.parquet(f"{folder}/in")
+    target = Table(spark, f"{folder}/table")
     for _ in range(2):
-        ingest_new(spark, f"{folder}/in", drops.schema, f"{folder}/out", f"{folder}/state", pattern="*.parquet")
-    loaded = spark.read.parquet(f"{folder}/out")
+        ingest_new(spark, f"{folder}/in", drops.schema, target, f"{folder}/state", pattern="*.parquet")
+    loaded = target.read()
     return loaded.groupBy("day", "event_type").agg(
         F.count(F.lit(1)).alias("event_count"),
         F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("value"),
     )
+
+
+@WORK.add(
+    "pending_files",
+    """SELECT 'FactInvoiceDetails_' || CAST(l_suppkey % 25 AS STRING) AS stem, count(*) > 0 AS is_pending
+    FROM lineitem WHERE l_suppkey % 25 % 3 <> 0 GROUP BY 1""",
+)
+def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops of every sales group, some of which have been converted already."""
+    folder = scratch(spark, "pending")
+    group = (F.col("l_suppkey") % 25).alias("sales_group")
+    lines = source(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", group)
+    name = F.concat(F.lit("FactInvoiceDetails_"), F.col("sales_group").cast("string")).alias("stem")
+    lines.select("l_orderkey", "l_linenumber", "l_extendedprice", name).hint("rebalance", "stem").write.partitionBy("stem").csv(f"{folder}/in")
+    lines.filter("sales_group % 3 = 0").select("l_orderkey", "l_linenumber", "l_extendedprice", name).hint("rebalance", "stem").write.partitionBy("stem").parquet(f"{folder}/out")
+    # A drop is a folder here: its name stands where a file's stem would.
+    stem = F.regexp_extract("path", "/stem=([^/]+)/", 1)
+    drops = [files.listing(spark, f"{folder}/{side}").withColumn("stem", stem) for side in ("in", "out")]
+    return files.pending(*drops).select("stem", F.lit(True).alias("is_pending")).distinct()
+
+
+@WORK.add(
+    "schema_problems",
+    """SELECT part, 'l_quantity' AS column_name, 'string' AS kind, 'double' AS expected, 'type differs' AS problem
+    FROM (SELECT DISTINCT l_linenumber AS part FROM lineitem) t WHERE part = 3
+    UNION ALL SELECT part, 'l_tax', NULL, 'double', 'missing' FROM (SELECT DISTINCT l_linenumber AS part FROM lineitem) t WHERE part = 5
+    UNION ALL SELECT part, 'note', 'string', 'string', 'column of few files'
+    FROM (SELECT DISTINCT l_linenumber AS part FROM lineitem) t WHERE part = 5""",
+)
+def schema_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a folder whose columns or types differ from the others, by their footers."""
+    folder = scratch(spark, "footers")
+    lines = source(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
+    for part in range(1, 8):
+        rows = lines.filter(F.col("l_linenumber") == part)
+        if part == 3:
+            rows = rows.withColumn("l_quantity", F.col("l_quantity").cast("string"))
+        if part == 5:
+            rows = rows.drop("l_tax").withColumn("note", F.lit("x"))
+        rows.write.parquet(f"{folder}/part={part}")
+    found = files.schema_problems(files.parquet_columns(spark, folder))
+    part = F.regexp_extract("path", "/part=([0-9]+)/", 1).cast("int").alias("part")
+    return found.select(part, "column_name", "kind", "expected", "problem").distinct()
+
+
+@WORK.add(
+    "json_ingest",
+    """SELECT event_type, count(*) FILTER (WHERE event_id % 7 <> 0) AS loaded, count(*) FILTER (WHERE event_id % 7 = 0) AS malformed,
+        CAST(sum(CASE WHEN event_id % 7 <> 0 THEN CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) AS DECIMAL(18, 4)) END) AS DOUBLE) AS v
+    FROM events GROUP BY event_type""",
+)
+def json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event properties as JSON lines, some cut off: what can be read is loaded, what cannot is kept apart as it came."""
+    folder = scratch(spark, "json")
+    events = source(spark, sf_dir, "events")
+    line = F.to_json(F.struct("event_id", "event_type", "props"))
+    cut = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("broken "), F.col("event_type"), F.lit(" {"))).otherwise(line)
+    events.select(cut.alias("value")).write.text(f"{folder}/in")
+    schema = struct_from_ddl("event_id BIGINT, event_type VARCHAR(50), props VARCHAR(5000)")
+    rows = files.read_json_lines(spark, f"{folder}/in", schema)
+    target = Table(spark, f"{folder}/table")
+    path, loaded = target.stage(rows.withColumn(REJECTED, F.col(files.CORRUPT).isNotNull()))
+    target.commit("replace", path, loaded, schema)
+    kept = spark.read.schema(rows.schema).parquet(path.replace(f"{REJECTED}=false", f"{REJECTED}=true"))
+    bad = kept.select(F.regexp_extract(files.CORRUPT, r"^broken (\w+)", 1).alias("event_type"), F.lit(None).cast("double").alias("v"), F.lit(False).alias("ok"))
+    good = target.read().select("event_type", F.get_json_object("props", "$.k").cast("double").alias("v"), F.lit(True).alias("ok"))
+    return good.unionByName(bad).groupBy("event_type").agg(
+        F.count_if("ok").alias("loaded"), F.count_if(~F.col("ok")).alias("malformed"), F.sum(F.col("v").cast("decimal(18,4)")).cast("double").alias("v")
+    )

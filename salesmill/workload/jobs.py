@@ -13,16 +13,19 @@ from ..functions.dates import int_date
 from ..functions.ddl import struct_from_ddl
 from ..functions.names import squash
 from ..operators import quality, records
-from ..operators.load import Table, register
+from ..operators.load import Table, register, save_bucketed
 from ..plans.dimensions import transform_dimension
-from ..plans.ingest import run_drops, run_table
+from ..operators.align import union_all
+from ..plans.ingest import daily_run, load_checked, run_drops, run_table
+from ..plans.runs import Ledger, compared, keep_metrics, run_tenants
 from ..samples import shape, shape_cte, source
 from ..session import scratch
+from ..streaming.drops import ingest_drops
 from ..sources import files, routing, seeds
 from ..tables import SPECS
 from . import Workload
 from .quality import _BROKEN, _FEED_CTE, feed, feed_rules
-from .sales import CONFIG, CUTOFF
+from .sales import CONFIG, CUTOFF, RUN_DATE
 
 WORK = Workload()
 
@@ -178,31 +181,77 @@ def stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @WORK.add(
     "stored_insert_ignore",
     """SELECT c_custkey AS code, c_nationkey AS nation FROM customer WHERE c_nationkey < 10
-    UNION ALL SELECT c_custkey, -1 FROM customer WHERE c_nationkey >= 10 AND c_nationkey < 20""",
+    UNION ALL SELECT c_custkey, -1 FROM customer WHERE c_nationkey >= 10""",
 )
 def stored_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New keys only, each once although the batch repeats them."""
     customer = source(spark, sf_dir, "customer").select(F.col("c_custkey").alias("code"), F.col("c_nationkey").alias("nation"))
     target = Table(spark, scratch(spark, "ignore"))
     target.replace(customer.filter("nation < 10"))
-    batch = customer.filter("nation < 20")
-    target.insert_missing(batch.withColumn("nation", F.lit(-1)).unionByName(batch.withColumn("nation", F.lit(-2))), ["code"])
+    target.insert_missing(customer.withColumn("nation", F.lit(-1)).unionByName(customer.withColumn("nation", F.lit(-2))), ["code"])
     return target.read()
 
 
 @WORK.add(
     "compacted_table",
-    """SELECT n_regionkey, count(*) AS row_count FROM nation WHERE n_regionkey <> 3 GROUP BY n_regionkey""",
+    """SELECT l_returnflag, count(*) AS row_count, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS total
+    FROM lineitem WHERE l_linestatus <> 'F' OR l_quantity >= 10 GROUP BY l_returnflag""",
 )
 def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Appended in parts, a slice deleted, then rewritten in one piece."""
-    nation = source(spark, sf_dir, "nation")
+    """Appended in parts, some rows deleted, then rewritten in one piece."""
+    lines = source(spark, sf_dir, "lineitem")
     target = Table(spark, scratch(spark, "compact"))
-    for region in range(5):
-        target.append(nation.filter(F.col("n_regionkey") == region))
-    target.delete("n_regionkey = 3")
-    target.compact()
-    return target.read().groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("row_count"))
+    for part in ("l_linenumber <= 2", "l_linenumber between 3 and 5", "l_linenumber > 5"):
+        target.append(lines.filter(part))
+    target.delete("l_linestatus = 'F' AND l_quantity < 10")
+    target.compact(["l_returnflag"])
+    total = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("total")
+    return target.read().groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("row_count"), total)
+
+
+@WORK.add(
+    "evolved_table",
+    """SELECT kind, count(*) AS row_count, CAST(sum(CAST(code AS DECIMAL(38, 0))) AS DOUBLE) AS codes FROM (
+        SELECT CAST(o_orderkey AS BIGINT) AS code, 'old' AS kind FROM orders
+        UNION ALL SELECT o_orderkey + 10000000000, 'new' FROM orders) t GROUP BY kind""",
+)
+def evolved_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column widened between two loads; the files of the first stay as they are."""
+    orders = source(spark, sf_dir, "orders")
+    target = Table(spark, scratch(spark, "evolved"))
+    target.append(orders.select(F.col("o_orderkey").cast("int").alias("code"), F.lit("old").alias("kind")))
+    target.evolve(struct_from_ddl("code BIGINT, kind VARCHAR(9)"))
+    target.append(orders.select((F.col("o_orderkey") + 10_000_000_000).alias("code"), F.lit("new").alias("kind")))
+    codes = F.sum(F.col("code").cast("decimal(38,0)")).cast("double").alias("codes")
+    return target.read().groupBy("kind").agg(F.count(F.lit(1)).alias("row_count"), codes)
+
+
+def bucketed(spark: SparkSession, sf_dir: str, buckets: int = 16) -> tuple[DataFrame, DataFrame]:
+    """Orders and their lines in tables hashed by order."""
+    tables = []
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        path = scratch(spark, f"bucketed_{name}")
+        tables.append(save_bucketed(source(spark, sf_dir, name), path.rsplit("/", 1)[-1].replace("-", "_"), [key], buckets, path=path))
+    return tables[0], tables[1]
+
+
+def order_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Lines of each order summed up beside its total; on bucketed tables nothing is shuffled."""
+    value = F.col("l_extendedprice").cast("decimal(18,2)")
+    joined = orders.hint("merge").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    sums = joined.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("line_count"), F.sum(value).alias("lines_total"), F.max("o_totalprice").alias("order_total"))
+    return sums.withColumn("lines_total", F.col("lines_total").cast("double"))
+
+
+@WORK.add(
+    "bucketed_join",
+    """SELECT o_orderkey, count(*) AS line_count, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS lines_total,
+        max(o_totalprice) AS order_total
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""",
+)
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Join and aggregation by order over bucketed tables, without an exchange."""
+    return order_totals(*bucketed(spark, sf_dir))
 
 
 @WORK.add(
@@ -251,28 +300,156 @@ def dimension_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("customer_code", "population", "tsi_territory_name")
 
 
+def text_drop(spark: SparkSession, sf_dir: str, name: str = SECONDARY) -> DataFrame:
+    """A table's rows as they come in a drop: text, column names without underscores."""
+    fact, spec = shape(spark, sf_dir, name), SPECS[name]
+    return fact.select([F.col(c).cast("string").alias(squash(c)) for c in fact.columns if c in spec.schema.names])
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    value = F.sum(F.col("reporting_value").cast("decimal(18,4)")).cast("double").alias("reporting_value")
+    return rows.groupBy("sales_group_code").agg(F.count(F.lit(1)).alias("row_count"), value)
+
+
+_BY_GROUP = "count(*) AS row_count, CAST(sum(CAST({} AS DECIMAL(18, 4))) AS DOUBLE) AS reporting_value"
+
+
 @WORK.add(
     "drop_run",
     f"""{shape_cte(SECONDARY)}
-    SELECT sales_group_code, count(*) AS row_count,
-        CAST(sum(CAST(CASE WHEN sales_group_code = 7 THEN 0 ELSE reporting_value END AS DECIMAL(18, 4))) AS DOUBLE) AS reporting_value
-    FROM {SECONDARY} WHERE invoice_date >= {CUTOFF} AND sales_group_code IN (7, 12) GROUP BY sales_group_code""",
+    SELECT sales_group_code, {_BY_GROUP.format("CASE WHEN sales_group_code = 7 THEN 0 ELSE reporting_value END")}
+    FROM {SECONDARY} WHERE invoice_date >= {CUTOFF} GROUP BY sales_group_code""",
 )
 def drop_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drops loaded by their names; one sent again, corrected, replaces its sales groups only."""
+    """Drops of all sales groups loaded by their names; one sent again, corrected, replaces its group only."""
     folder = scratch(spark, "drops")
-    fact, spec = shape(spark, sf_dir, SECONDARY), SPECS[SECONDARY]
-    known = [c for c in fact.columns if c in spec.schema.names]
-    drop = fact.select([F.col(c).cast("string").alias(squash(c)) for c in known])
-    drop.filter("salesgroupcode IN ('7', '12')").write.parquet(f"{folder}/first/FactInvoiceSecondary_7_12.parquet")
+    drop = text_drop(spark, sf_dir)
+    groups = sorted(int(r[0]) for r in shape(spark, sf_dir, SECONDARY).select("sales_group_code").distinct().collect())  # 25 at most
+    parts = [groups[i::3] for i in range(3)]
+    for part in filter(None, parts):
+        listed = drop.filter(F.col("salesgroupcode").isin([str(g) for g in part]))
+        listed.write.parquet(f"{folder}/first/FactInvoiceSecondary_{'_'.join(map(str, part))}.parquet")
     again = drop.filter("salesgroupcode = '7'").withColumn("reportingvalue", F.lit("0"))
     again.write.options(header=True, escape='"').csv(f"{folder}/second/FactInvoiceSecondary_7.csv")
     config = dataclasses.replace(CONFIG, base_path=folder)
     for day in ("first", "second", "second"):
         run_drops(spark, config, SPECS, f"{folder}/{day}")
+    return _by_group(Table(spark, config.path("tables", SECONDARY)).read())
+
+
+@WORK.add(
+    "streamed_drops",
+    f"""{shape_cte(SECONDARY)}
+    SELECT sales_group_code, {_BY_GROUP.format("reporting_value")}
+    FROM {SECONDARY} WHERE invoice_date >= {CUTOFF} GROUP BY sales_group_code""",
+)
+def streamed_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops streamed through the whole job; the last batch comes again, as after a lost driver, and changes nothing."""
+    folder = scratch(spark, "stream")
+    drop = text_drop(spark, sf_dir)
+    drop.repartition(3).write.parquet(f"{folder}/in")
+    target = Table(spark, f"{folder}/table")
+    for _ in range(2):
+        ingest_drops(spark, f"{folder}/in", drop.columns, SPECS[SECONDARY], CONFIG, target, f"{folder}/state", pattern="*.parquet", files_per_batch=2)
+        forget_last_batch(spark, f"{folder}/state")
+    return _by_group(target.read())
+
+
+def forget_last_batch(spark: SparkSession, state: str) -> None:
+    """What a stream looks like that failed after loading its last batch and before noting so."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    done = path(f"{state}/commits")
+    system = done.getFileSystem(spark._jsc.hadoopConfiguration())
+    last = max(int(s.getPath().getName()) for s in system.listStatus(done) if s.getPath().getName().isdigit())
+    system.delete(path(f"{state}/commits/{last}"), False)
+
+
+@WORK.add(
+    "daily_run_totals",
+    f"""{shape_cte(SECONDARY, "fact_invoice_details")}
+    SELECT 'secondary' AS kind, count(*) AS row_count, CAST(sum(CAST(reporting_value AS DECIMAL(18, 4))) AS DOUBLE) AS reporting_value
+    FROM {SECONDARY} WHERE invoice_date >= {CUTOFF}
+    UNION ALL SELECT 'details', count(*), CAST(sum(CAST(net_value AS DECIMAL(18, 4))) AS DOUBLE)
+    FROM fact_invoice_details WHERE posting_date > 19950101""",
+)
+def daily_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's run that breaks at its second fact, goes on where it stopped, and is then run once more: facts count once."""
+    folder = scratch(spark, "daily")
+    config = dataclasses.replace(CONFIG, base_path=folder, detail_cutoff=19950101)
+    drops = {n: text_drop(spark, sf_dir, n) for n in (SECONDARY, "fact_invoice_details")}
+    last = max(drops, key=lambda n: SPECS[n].order)
+    broken = drops | {last: drops[last].withColumn(drops[last].columns[0], F.raise_error(F.lit("the drop is damaged")).cast("string"))}
+    specs = {n: SPECS[n] for n in drops}
+    ledger = Ledger(spark, config.path("state", "steps"))
+    for attempt in (broken, drops, drops):
+        try:
+            daily_run(spark, config, specs, attempt, RUN_DATE, ledger=ledger)
+        except Exception:
+            if attempt is not broken:
+                raise
+    tables = {n: Table(spark, config.path("tables", n)).read() for n in drops}
+    total = lambda c: F.sum(F.col(c).cast("decimal(18,4)")).cast("double").alias("reporting_value")
+    count = F.count(F.lit(1)).alias("row_count")
+    secondary = tables[SECONDARY].filter("record_type <> 'DD'").agg(count, total("reporting_value")).withColumn("kind", F.lit("secondary"))
+    details = tables["fact_invoice_details"].agg(count, total("net_value")).withColumn("kind", F.lit("details"))
+    return secondary.unionByName(details)
+
+
+@WORK.add(
+    "tenant_run",
+    f"""{shape_cte(SECONDARY)}
+    SELECT tenant, sales_group_code, {_BY_GROUP.format("reporting_value")}
+    FROM {SECONDARY}, (VALUES ('north', 0), ('south', 1)) AS t (tenant, rest)
+    WHERE invoice_date >= {CUTOFF} AND sales_group_code % 2 = rest GROUP BY tenant, sales_group_code""",
+)
+def tenant_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tenants side by side, each with its drop; one fails, the others' tables stand."""
+    folder = scratch(spark, "tenants")
+    tenants = [dataclasses.replace(CONFIG, tenant=t, base_path=folder, priority=i) for i, t in enumerate(("broken", "north", "south"))]
+    drop = text_drop(spark, sf_dir)
+
+    def job(config):
+        part = {"north": "CAST(salesgroupcode AS INT) % 2 = 0", "south": "CAST(salesgroupcode AS INT) % 2 = 1"}.get(config.tenant, "true")
+        mine = drop.filter(part)
+        if config.tenant == "broken":
+            mine = mine.withColumn("invoicedate", F.lit("no day"))
+        return run_table(mine, SPECS[SECONDARY], config, Table(spark, config.path("tables", SECONDARY)), mode="replace")
+
+    results = run_tenants(spark, tenants, job)
+    done = [c for c in tenants if not isinstance(results[c.tenant], Exception)]
+    loaded = [Table(spark, c.path("tables", SECONDARY)).read().withColumn("tenant", F.lit(c.tenant)) for c in done]
     value = F.sum(F.col("reporting_value").cast("decimal(18,4)")).cast("double").alias("reporting_value")
-    rows = Table(spark, config.path("tables", SECONDARY)).read().groupBy("sales_group_code")
-    return rows.agg(F.count(F.lit(1)).alias("row_count"), value)
+    return union_all(loaded).groupBy("tenant", "sales_group_code").agg(F.count(F.lit(1)).alias("row_count"), value)
+
+
+@WORK.add(
+    "run_history",
+    """WITH runs AS (
+        SELECT CAST(year(o_orderdate) AS STRING) AS run, count(*) AS row_count, count(*) FILTER (WHERE o_orderstatus = 'P') AS rejected
+        FROM orders GROUP BY 1), compared AS (
+        SELECT *, lag(row_count) OVER w AS previous_rows,
+            avg(row_count) OVER (ORDER BY run ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS usual
+        FROM runs WINDOW w AS (ORDER BY run))
+    SELECT run, row_count, rejected, previous_rows, usual, CAST(row_count AS DOUBLE) / previous_rows AS ratio,
+        CASE WHEN CAST(row_count AS DOUBLE) / previous_rows > HIGH THEN 'increase' WHEN CAST(row_count AS DOUBLE) / previous_rows < LOW THEN 'decrease' ELSE 'none' END AS alert,
+        CASE WHEN CAST(rejected AS DOUBLE) / row_count > CRITICAL THEN 'critical' WHEN CAST(rejected AS DOUBLE) / row_count > WARN THEN 'warning' ELSE 'ok' END AS level
+    FROM compared"""
+    .replace("HIGH", str(quality.VOLUME_LIMITS[1])).replace("LOW", str(quality.VOLUME_LIMITS[0]))
+    .replace("CRITICAL", str(quality.ERROR_LIMITS[1])).replace("WARN", str(quality.ERROR_LIMITS[0])),
+)
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded year by year, the metrics of each load kept, and every run compared with those before it."""
+    folder = scratch(spark, "history")
+    orders = source(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    target, history = Table(spark, f"{folder}/orders"), Table(spark, f"{folder}/metrics")
+    rules = [quality.Rule("settled", F.col("o_orderstatus") != "P", "skip_row")]
+    for year in sorted(r[0] for r in orders.select("year").distinct().collect()):  # a handful
+        rows = orders.filter(F.col("year") == year)
+        for _ in range(2):  # a run noted twice counts once
+            if not target.holds(str(year)):
+                report = load_checked(rows, target, orders.schema, rules, max_error_ratio=1.0, table="orders", batch=str(year))
+            keep_metrics(spark, history, str(year), [report])
+    return compared(history.read()).select("run", "row_count", "rejected", "previous_rows", "usual", "ratio", "alert", "level")
 
 
 @WORK.add(

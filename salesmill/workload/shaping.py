@@ -511,3 +511,24 @@ def union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
             pair("supplier", "s_nationkey", F.lit("SUPPLIER")),
         ]
     )
+
+
+_TYPED_TARGETS = {"invoice_no": "BIGINT", "customer_group": "BIGINT", "cm_customer_group": "VARCHAR(20)", "reporting_value": "DOUBLE", "town": "VARCHAR(9)"}
+
+
+@WORK.add(
+    "typed_match",
+    """SELECT o_orderkey AS invoice_no, o_orderkey + 1 AS "Invoice No", o_custkey AS customer_group, o_orderpriority AS cm_customer_group,
+        o_totalprice AS reporting_value, o_orderstatus AS town FROM orders""",
+)
+def typed_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One target per column: exact before squashed, a misspelled one, one by its prefix and type, one by its beginning."""
+    orders = source(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") + 1).alias("Invoice No"),
+        F.col("o_orderkey").alias("invoice_no"),
+        F.col("o_orderpriority").alias("customer group"),
+        F.col("o_custkey").alias("Customer-Group"),
+        F.col("o_totalprice").alias("reportng_value"),
+        F.col("o_orderstatus").alias("tow"),
+    )
+    return align.rename_matched(orders, _TYPED_TARGETS, prefixes=["cm"])

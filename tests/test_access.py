@@ -232,3 +232,17 @@ def test_analysed_queries_are_checked_again(spark):
             access._check_analysed(spark.sql(text), {"given"})
     spark.catalog.dropTempView("given")
     spark.catalog.dropTempView("other")
+
+
+def test_a_stored_view_is_read_in_the_parts_of_the_user(spark, people, tmp_path):
+    from salesmill.operators.load import Table
+    from salesmill.plans.sales import refresh_snapshot
+
+    rows = spark.range(4000).selectExpr("IF(id % 50 = 0, NULL, concat('T', id % 200)) AS wss_territory_code", "1.0D AS sales")
+    target = Table(spark, str(tmp_path / "mv"))
+    refresh_snapshot(rows, target)
+    mine = access.secure("secondary_sales_mat_view", target.read(), access.access_map(people), "a@x.com", "auditor", POLICY)
+    assert mine.columns == ["wss_territory_code", "sales"]
+    assert mine.count() == 40 and {r[0] for r in mine.distinct().collect() for r in [r]} == {"T1", "T2"}
+    plan = mine._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and access.PART in plan

@@ -1,5 +1,7 @@
 import dataclasses
 import datetime as dt
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,9 @@ from salesmill.operators import quality
 from salesmill.operators.load import Table
 from salesmill.plans import derived, dimensions, ingest
 from salesmill.samples import shapes
+from salesmill.plans import runs
 from salesmill.streaming.drops import ingest_new
+from salesmill.workload.jobs import forget_last_batch
 from salesmill.tables import SPECS
 
 SECONDARY = SPECS["fact_invoice_secondary"]
@@ -234,7 +238,7 @@ def test_daily_run(spark, tmp_path):
     assert stored("rls_map").count() > 0 and stored("rls_master").count() > 0
 
 
-def test_tenants_run_by_priority_and_keep_going():
+def test_tenants_run_by_priority_and_keep_going(spark):
     tenants = [
         PipelineConfig("late", priority=5),
         PipelineConfig("off", priority=0, enabled=False),
@@ -249,10 +253,71 @@ def test_tenants_run_by_priority_and_keep_going():
             raise ValueError("no data")
         return "done"
 
-    results = ingest.run_tenants(tenants, job)
+    results = runs.run_tenants(spark, tenants, job, at_once=1)
     assert seen == ["first", "late"] and results["late"] == "done" and isinstance(results["first"], ValueError)
     with pytest.raises(ValueError):
-        ingest.run_tenants(tenants, job, fail_fast=True)
+        runs.run_tenants(spark, tenants, job, fail_fast=True, at_once=1)
+    assert seen == ["first", "late", "first"]
+
+
+def test_a_failed_tenant_is_cancelled_alone(spark):
+    """What a failed tenant left running ends; the other tenant's job, which starts with it, comes to its end."""
+    from pyspark import inheritable_thread_target
+
+    both, left = threading.Barrier(2), []
+
+    def slow():
+        try:
+            spark.range(8, numPartitions=8).selectExpr("java_method('java.lang.Thread', 'sleep', 60000L)").collect()
+        except Exception as err:  # noqa: BLE001
+            left.append(err)
+
+    def job(config):
+        assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == config.tenant
+        both.wait()
+        if config.tenant == "bad":
+            thread = threading.Thread(target=inheritable_thread_target(spark)(slow))
+            thread.start()
+            time.sleep(2)
+            raise ValueError("broken")
+        return spark.range(1000).count()
+
+    started = time.monotonic()
+    results = runs.run_tenants(spark, [PipelineConfig("bad", priority=1), PipelineConfig("good", priority=2)], job)
+    assert results["good"] == 1000 and isinstance(results["bad"], ValueError)
+    while not left and time.monotonic() - started < 40:
+        time.sleep(0.2)
+    assert left and "cancel" in str(left[0]).lower()
+
+
+def test_ledger_goes_on_where_it_stopped(spark, tmp_path):
+    ledger, did = runs.Ledger(spark, str(tmp_path / "steps")), []
+
+    def step(name, fails=False):
+        def job():
+            if fails:
+                raise ValueError("broken")
+            did.append(name)
+            return name
+
+        return name, job
+
+    with pytest.raises(ValueError):
+        ledger.run("monday", [step("a"), step("b", fails=True), step("c")])
+    assert ledger.run("monday", [step("a"), step("b"), step("c")]) == {"b": "b", "c": "c"}
+    assert ledger.run("monday", [step("a"), step("b"), step("c")]) == {} and did == ["a", "b", "c"]
+    assert runs.Ledger(spark, str(tmp_path / "steps")).run("tuesday", [step("a")]) == {"a": "a"}
+    states = [(r["step"], r["state"], r["message"]) for r in ledger.entries().filter("run = 'monday'").orderBy("at").collect()]
+    assert states == [("a", "done", ""), ("b", "failed", "ValueError: broken"), ("b", "done", ""), ("c", "done", "")]
+
+
+def test_runs_are_compared_and_kept_once(spark, tmp_path):
+    history = Table(spark, str(tmp_path / "history"))
+    report = lambda rows, bad: ingest.LoadReport("t", rows, rows - bad, bad, 1, None, 0.5, {}, [])
+    for run, rows, bad in (("1", 100, 0), ("2", 40, 1), ("3", 100, 0), ("3", 999, 0), ("4", 0, 0)):
+        runs.keep_metrics(spark, history, run, [report(rows, bad)])
+    got = [(r["run"], r["ratio"], r["usual"], r["alert"], r["level"]) for r in runs.compared(history.read()).orderBy("run").collect()]
+    assert got == [("1", None, None, "none", "ok"), ("2", 0.4, 100.0, "decrease", "critical"), ("3", 2.5, 70.0, "increase", "ok"), ("4", 0.0, 80.0, "decrease", "ok")]
 
 
 def test_settings_merge():
@@ -292,26 +357,29 @@ def test_new_drops_only(spark, tmp_path):
     schema = T.StructType([T.StructField("day", T.StringType()), T.StructField("v", T.StringType())])
     folder = tmp_path / "in"
     folder.mkdir()
+    target = Table(spark, str(tmp_path / "out"))
 
     def call():
         return ingest_new(
             spark,
             str(folder),
             schema,
-            str(tmp_path / "out"),
+            target,
             str(tmp_path / "state"),
             "csv",
             "*.csv",
-            prepare=lambda df: df.withColumn("v", F.col("v").cast("int")),
+            job=lambda df, batch: target.append(df.withColumn("v", F.col("v").cast("int")), batch),
             files_per_batch=1,
             header="true",
         )
 
     (folder / "a.csv").write_text("day,v\n1,10\n")
     (folder / "b.csv").write_text("day,v\n2,20\n")
-    assert call() == 2
+    assert len(call()) == 2
     (folder / "c.csv").write_text("day,v\n3,30\n")
     (folder / "ignored.tmp").write_text("day,v\n9,90\n")
-    assert call() == 1 and call() == 0
-    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("v").collect()
+    assert len(call()) == 1 and len(call()) == 0
+    forget_last_batch(spark, str(tmp_path / "state"))
+    assert len(call()) == 0  # it comes again and is known
+    rows = target.read().orderBy("v").collect()
     assert [(r["day"], r["v"]) for r in rows] == [("1", 10), ("2", 20), ("3", 30)]

@@ -254,3 +254,11 @@ def test_repeated_keys_can_end_the_job(spark):
     assert [r["is_duplicate"] for r in settle_duplicates(twice, ["k"], "warn").collect()] == [True, True]
     with pytest.raises(ValueError):
         settle_duplicates(twice, ["k"], "remove")
+
+
+def test_bucketed_join_has_no_exchange(spark):
+    from salesmill.workload import jobs
+
+    out = jobs.order_totals(*jobs.bucketed(spark, "/root/testdata/sf0.001", 4))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and out.count() > 0

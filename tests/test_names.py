@@ -1,3 +1,7 @@
+import itertools
+import random
+
+import pytest
 from pyspark.sql import types as T
 
 from salesmill.functions import names
@@ -89,3 +93,31 @@ def test_explain_matches(spark):
     rows = {r["column_name"]: r for r in names.explain_matches(spark, df, {"group_1": "INT", "group1": "VARCHAR(3)"}).collect()}
     assert rows["Group 1"]["target"] == "group1" and rows["Group 1"]["same_key"] == ["group_1", "group1"]
     assert rows["other"]["target"] is None
+
+
+def test_assignment_gives_no_target_twice():
+    targets = {"invoice_no": "BIGINT", "town": "VARCHAR(9)", "town_name": "VARCHAR(9)", "value": "DOUBLE"}
+    text = T.StringType()
+    got = names.assign([("Invoice No", T.LongType()), ("invoice_no", T.LongType())], targets)
+    assert got == {"invoice_no": "invoice_no"}
+    # "tow" begins both; "twn" is close to one only, so the other column moves on.
+    assert names.assign([("Town", text), ("town name", text), ("zzz", text)], targets) == {"Town": "town", "town name": "town_name"}
+    assert names.assign([("tow", text), ("towm", text)], targets, prefixes=[]) == {"tow": "town"} | (
+        {"towm": "town_name"} if names.match_score("towm", text, "town_name", "VARCHAR(9)") else {}
+    )
+    assert names.assign([("a", text), ("b", text)], targets, {"a": "value", "b": "value"}) == {"a": "value"}
+    assert names.assign([], targets) == {} and names.assign([("x", text)], {}) == {}
+
+
+def test_assignment_has_the_highest_total():
+    rng = random.Random(5)
+    for _ in range(300):
+        columns, targets = [f"c{i}" for i in range(rng.randint(1, 5))], [f"t{i}" for i in range(rng.randint(1, 5))]
+        score = {(c, t): rng.choice([0, 0, 0.5, 1, 1.5, 2, 3]) for c in columns for t in targets}
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(names, "match_score", lambda n, d, t, k, p=(): score[n, t])
+            got = names.assign([(c, None) for c in columns], dict.fromkeys(targets, "INT"))
+        assert len(set(got.values())) == len(got) and all(score[p] for p in got.items())
+        padded = [*targets, *[None] * len(columns)]
+        best = max(sum(score.get((c, t), 0) for c, t in zip(columns, p)) for p in itertools.permutations(padded, len(columns)))
+        assert sum(score[p] for p in got.items()) == pytest.approx(best)

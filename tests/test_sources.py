@@ -198,3 +198,26 @@ def test_group_rows_equal_the_driver_form(spark):
     df = spark.createDataFrame([(s,) for s in stems], "s string").select("s", routing.sales_groups_column("s").alias("g"))
     for r in df.collect():
         assert r["g"] == routing.sales_groups(r["s"])
+
+
+def test_malformed_json_is_kept_apart(spark, tmp_path):
+    from salesmill.functions.ddl import struct_from_ddl
+
+    lines = ['{"a": 1, "b": "x"}', '{"a": "one"}', "no json", "", '{"b": "y", "c": 3}', '{"a": 2']
+    (tmp_path / "x.json").write_text("\n".join(lines))
+    got = [tuple(r) for r in files.read_json_lines(spark, str(tmp_path / "x.json"), struct_from_ddl("a INT, b VARCHAR(9)")).collect()]
+    assert [r[2] for r in got] == [None, '{"a": "one"}', "no json", None, '{"a": 2']
+    assert got[0][:2] == (1, "x") and got[3][:2] == (None, "y")
+
+
+def test_schema_problems_of_a_folder(spark, tmp_path):
+    from salesmill.functions.ddl import struct_from_ddl
+
+    for name, cols in (("a", "id as k, 1.5D as v"), ("b", "id as k, 2.5D as v"), ("c d", "cast(id as int) as k, 'x' as more")):
+        spark.range(3).coalesce(1).selectExpr(*cols.split(", ")).write.parquet(str(tmp_path / name))
+    columns = files.parquet_columns(spark, str(tmp_path))
+    assert columns.count() == 6
+    found = {(r["path"].split("/")[-2].replace("%20", " "), r["column_name"], r["kind"], r["expected"], r["problem"]) for r in files.schema_problems(columns).collect()}
+    assert found == {("c d", "k", "int", "bigint", "type differs"), ("c d", "v", None, "double", "missing"), ("c d", "more", "string", "string", "column of few files")}
+    declared = files.schema_problems(columns, struct_from_ddl("k BIGINT, v DOUBLE, w INT")).collect()
+    assert len(declared) == 3 + 3 and {r["problem"] for r in declared} == {"type differs", "missing", "not declared"}
