@@ -6,8 +6,9 @@ log-linear histogram per language and source: an integer keeps its leading six
 bits, so a bucket is at most 1/32 wide relative to its values. Such histograms
 are quantile sketches that merge by adding counts, in any order, to the same
 result: languages and the whole corpus are sums of the same buckets, and small
-groups take the thresholds of the next larger one. Measures far outside the
-quartiles of the group reject a document; ordinary tails do not.
+groups take the thresholds of the next larger one. A measure rejects a document
+that lies farther beyond an upper quantile of its group than that lies beyond a
+middle one, times a factor; both quantiles come from the sketch.
 """
 
 from __future__ import annotations
@@ -26,25 +27,33 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Measure:
-    """An integer measure; ``spread`` is the least distance between quartiles that counts."""
+    """An integer measure and how its limits follow from the sketch of a group.
+
+    The highest kept value is the ``edge`` percentile plus ``reach`` tenths of
+    its distance from the ``middle`` one, the lowest (if ``low``) the middle one
+    less as much. A distance counts as ``step`` at least, which is what the
+    measure changes by in a text of a hundred words when one word changes, and
+    as one bucket of the sketch. Groups of fewer than ``least`` documents take
+    the limits of the next larger group.
+    """
 
     name: str
     value: str
-    spread: int
+    edge: int
+    middle: int
+    reach: int
+    step: int
+    least: int
     low: bool = False
 
 
-#: Shares are per thousand, word lengths in tenths of a character.
+#: Shares are per thousand, word lengths in tenths of a character. Most texts repeat nothing, so those limits follow the tail.
 MEASURES = (
-    Measure("word_length", "10 * word_chars div greatest(n_words, 1)", 10, low=True),
-    Measure("symbols", "1000 * n_symbols div greatest(n_words, 1)", 60),
-    Measure("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 120),
-    Measure("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 60),
+    Measure("word_length", "10 * word_chars div greatest(n_words, 1)", 75, 25, 60, 1, 100, low=True),
+    Measure("symbols", "1000 * n_symbols div greatest(n_words, 1)", 75, 50, 40, 10, 100),
+    Measure("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 99, 90, 5, 10, 400),
+    Measure("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 99, 90, 5, 10, 400),
 )
-#: Quartile distances beyond the quartiles that are still kept.
-REACH = 4
-#: Groups with fewer documents take the thresholds of the next larger group.
-LEAST = 100
 #: Copies of each threshold row, so that a hot source is joined in as many parts.
 SALTS = 32
 WINDOW = 5
@@ -129,8 +138,13 @@ def sketched(rows: DataFrame) -> DataFrame:
     )
 
 
+def of_measure(field: str) -> Column:
+    """A field of the measure that a row is about."""
+    return F.element_at(F.array(*[F.lit(getattr(m, field)) for m in MEASURES]), F.col("measure") + 1)
+
+
 def quantiles(sketch: DataFrame, by: Sequence[str]) -> DataFrame:
-    """First and third quartile and the number of rows of each merged sketch."""
+    """The edge and middle percentile and the number of rows of each merged sketch."""
     merged = sketch.groupBy(*by, "measure", "low").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")
     placed = merged.select(
@@ -140,38 +154,34 @@ def quantiles(sketch: DataFrame, by: Sequence[str]) -> DataFrame:
         F.sum("n").over(group.orderBy("low")).alias("upto"),
         F.sum("n").over(group).alias("of"),
     )
-    return placed.groupBy(*by, "measure").agg(
-        F.max("of").alias("of"),
-        F.min(F.when(F.expr("4 * upto >= of"), F.col("low"))).alias("q1"),
-        F.min(F.when(F.expr("4 * upto >= 3 * of"), F.col("low"))).alias("q3"),
-    )
+    at = lambda field: F.min(F.when(100 * F.col("upto") >= of_measure(field) * F.col("of"), F.col("low"))).alias(field)
+    return placed.groupBy(*by, "measure").agg(F.max("of").alias("of"), at("edge"), at("middle"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """Per language and source the lowest and highest kept value of each measure."""
+    found = ("of", "edge", "middle")
     exact = quantiles(sketch, ["lang", "source"])
-    lang = quantiles(sketch, ["lang"]).select(F.col("lang").alias("l"), F.col("measure").alias("m"), F.struct("of", "q1", "q3").alias("wide"))
-    every = quantiles(sketch, []).select(F.col("measure").alias("k"), F.struct("of", "q1", "q3").alias("all"))
-    spread = F.element_at(F.array(*[F.lit(m.spread) for m in MEASURES]), F.col("measure") + 1)
-    low = F.element_at(F.array(*[F.lit(m.low) for m in MEASURES]), F.col("measure") + 1)
+    lang = quantiles(sketch, ["lang"]).select(F.col("lang").alias("l"), F.col("measure").alias("m"), F.struct(*found).alias("wide"))
+    every = quantiles(sketch, []).select(F.col("measure").alias("k"), F.struct(*found).alias("all"))
+    least = of_measure("least")
+    spread = F.greatest(F.col("use.edge") - F.col("use.middle"), of_measure("step").cast("long"), 1 + F.shiftright("use.edge", 5))
     chosen = (
         exact.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("m")))
         .join(every, F.col("measure") == F.col("k"))
         .withColumn(
             "use",
-            F.when(F.col("of") >= LEAST, F.struct("of", "q1", "q3"))
-            .when(F.col("wide.of") >= LEAST, F.col("wide"))
+            F.when(F.col("of") >= least, F.struct(*found))
+            .when(F.col("wide.of") >= least, F.col("wide"))
             .otherwise(F.col("all")),
         )
-        .withColumn("reach", REACH * F.greatest(F.col("use.q3") - F.col("use.q1"), spread))
+        .withColumn("far", F.floor(of_measure("reach") * spread / 10))
     )
     pick = lambda i, c: F.max(F.when(F.col("measure") == i, c))
+    low = F.when(of_measure("low"), F.col("use.middle") - F.col("far")).otherwise(F.lit(-1))
     return chosen.groupBy("lang", "source").agg(
-        *[pick(i, F.col("use.q3") + F.col("reach")).alias(f"high{i}") for i in range(len(MEASURES))],
-        *[
-            pick(i, F.when(low, F.col("use.q1") - F.col("reach")).otherwise(F.lit(-1))).alias(f"low{i}")
-            for i in range(len(MEASURES))
-        ],
+        *[pick(i, F.col("use.edge") + F.col("far")).alias(f"high{i}") for i in range(len(MEASURES))],
+        *[pick(i, low).alias(f"low{i}") for i in range(len(MEASURES))],
     )
 
 

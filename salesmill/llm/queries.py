@@ -112,7 +112,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.cut(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, size=2048)
+    pieces = packing.cut(docs, public_tokenizers.path("byte_bpe_50k.json"), size=2048)
     return packing.packed(pieces, size=2048)
 
 
@@ -163,29 +163,33 @@ QUALITY_SQL = """
              1000 * n_dup_lines // greatest(n_lines, 1), 1000 * n_repeat_words // greatest(n_words, 1)] as vs
         from counts
     ), m as (
-        select doc_id, lang, source, base_failed, unnest([0, 1, 2, 3]) as k, unnest(vs) as v,
-            unnest([{spread}]) as spread
+        select doc_id, lang, source, base_failed, unnest([0, 1, 2, 3]) as k, unnest(vs) as v, unnest([{edge}]) as edge,
+            unnest([{middle}]) as middle, unnest([{reach}]) as reach, unnest([{step}]) as step, unnest([{least}]) as least
         from base
     ), b as (
         select *, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) as low from m
     ), fine as (
-        select lang, source, k, count(*) as n, list_sort(list(low))[(count(*) + 3) // 4] as q1,
-            list_sort(list(low))[(3 * count(*) + 3) // 4] as q3 from b where not base_failed group by all
+        select lang, source, k, edge, middle, reach, step, least, count(*) as n,
+            list_sort(list(low))[(max(edge) * count(*) + 99) // 100] as qe, list_sort(list(low))[(max(middle) * count(*) + 99) // 100] as qm
+        from b where not base_failed group by all
     ), wide as (
-        select lang, k, count(*) as n, list_sort(list(low))[(count(*) + 3) // 4] as q1,
-            list_sort(list(low))[(3 * count(*) + 3) // 4] as q3 from b where not base_failed group by all
+        select lang, k, edge, middle, count(*) as n,
+            list_sort(list(low))[(max(edge) * count(*) + 99) // 100] as qe, list_sort(list(low))[(max(middle) * count(*) + 99) // 100] as qm
+        from b where not base_failed group by all
     ), whole as (
-        select k, list_sort(list(low))[(count(*) + 3) // 4] as q1, list_sort(list(low))[(3 * count(*) + 3) // 4] as q3
+        select k, edge, middle,
+            list_sort(list(low))[(max(edge) * count(*) + 99) // 100] as qe, list_sort(list(low))[(max(middle) * count(*) + 99) // 100] as qm
         from b where not base_failed group by all
     ), chosen as (
-        select f.lang, f.source, f.k,
-            case when f.n >= {least} then f.q1 when w.n >= {least} then w.q1 else a.q1 end as q1,
-            case when f.n >= {least} then f.q3 when w.n >= {least} then w.q3 else a.q3 end as q3
+        select f.lang, f.source, f.k, f.reach, f.step,
+            case when f.n >= f.least then f.qe when w.n >= f.least then w.qe else a.qe end as qe,
+            case when f.n >= f.least then f.qm when w.n >= f.least then w.qm else a.qm end as qm
         from fine f join wide w on f.lang is not distinct from w.lang and f.k = w.k join whole a on f.k = a.k
+    ), limits as (
+        select *, reach * greatest(qe - qm, step, 1 + (qe >> 5)) // 10 as far from chosen
     ), kept as (
-        select doc_id, bool_and(coalesce(low <= q3 + {reach} * greatest(q3 - q1, spread)
-            and (b.k > 0 or v >= q1 - {reach} * greatest(q3 - q1, spread)), true)) as fits
-        from b left join chosen c
+        select doc_id, bool_and(coalesce(low <= qe + far and (b.k > 0 or v >= qm - far), true)) as fits
+        from b left join limits c
             on b.lang is not distinct from c.lang and b.source is not distinct from c.source and b.k = c.k
         group by doc_id
     )
@@ -198,7 +202,7 @@ QUALITY_SQL = """
 
 @query(
     QUALITY_SQL.format(
-        spread=", ".join(str(m.spread) for m in quality.MEASURES), least=quality.LEAST, reach=quality.REACH
+        **{f: ", ".join(str(getattr(m, f)) for m in quality.MEASURES) for f in ("edge", "middle", "reach", "step", "least")}
     )
 )
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
