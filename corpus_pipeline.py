@@ -79,8 +79,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of at most 2048 tokens."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.packed(packing.cut(docs, path, public_tokenizers.PATTERN, size=SEQUENCE), size=SEQUENCE)
+    pieces = packing.cut(docs, public_tokenizers.path("byte_bpe_50k.json"), size=SEQUENCE)
+    return packing.packed(pieces, size=SEQUENCE)
 
 
 STAGES = [
