@@ -34,6 +34,8 @@ from .batches import bounded, whole_groups
 WHOLE = 4096
 #: Turns that are summed up together, and ids that are joined together.
 BLOCK = 1024
+#: Shares of the conversations of one node.
+CELLS = 64
 #: Turns that may be taken over, and conversations that share those who lend them.
 LENT, EVERY = 3, 20
 WORD = r"[^\x20\x09-\x0D]+"
@@ -98,11 +100,13 @@ def prefixes(rows: DataFrame, lengths: DataFrame) -> DataFrame:
     """(conv, at, turns, rep, words, n_convs): every prefix of every conversation and the one that stands for it."""
     first, second = [F.xxhash64(F.lit(seed), "at", "role", "said") for seed in (1, 2)]
     summed = running(rows.select("conv", "at", "turns", "words", first.alias("x"), second.alias("y")), {"px": "x", "py": "y"})
-    summed = summed.drop("x", "y").checkpoint()
-    nodes = summed.groupBy("at", "px", "py").agg(F.min("conv").alias("rep"), F.count(F.lit(1)).alias("n_convs"))
+    # Conversations of a node are told apart by cell, so that what it gets back is dealt out however many they are.
+    node, part = ["at", "px", "py"], F.pmod(F.xxhash64("conv"), F.lit(CELLS)).cast("int")
+    summed = summed.drop("x", "y").withColumn("cell", part).checkpoint()
+    cells = summed.groupBy(*node, "cell").agg(F.min("conv").alias("least"), F.count(F.lit(1)).alias("n"))
+    nodes = cells.groupBy(*node).agg(F.min("least").alias("rep"), F.sum("n").alias("n_convs"))
     columns = ["conv", "at", "turns", "rep", "words", "n_convs"]
-    # One row a node meets all rows of its conversations; adaptive execution splits nodes that many share.
-    inner = summed.join(nodes, ["at", "px", "py"]).select(*columns)
+    inner = summed.join(cells.select(*node, "cell").join(nodes, node), [*node, "cell"]).select(*columns)
     low, many = lengths.agg(F.min("conv"), F.count(F.lit(1))).first()
     fixed = [F.lit(v).cast("long").alias(c) for c, v in (("at", 0), ("rep", low), ("words", 0), ("n_convs", many))]
     return inner.unionByName(lengths.select("conv", "turns", *fixed))
