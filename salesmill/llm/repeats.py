@@ -48,6 +48,7 @@ HASH_BYTES = 5
 CHUNK, PACKET = 1 << 20, 1 << 14
 #: Bytes of text in a chunk at most (or of one document), and of text that is hashed or indexed at once.
 LARGEST, STEP = 1 << 23, 1 << 19
+#: Stands for a missing key in comparisons; whether a key was missing is carried beside it.
 LAST = (1 << 63) - 1
 PACKET_TYPE = "chunk int, bucket int, data binary"
 
@@ -124,8 +125,8 @@ def short(anchor: np.ndarray) -> np.ndarray:
 
 def bucket_edges(values: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket's share of the sorted short hashes begins; one more for the end."""
-    limits = [-(-(b << (8 * HASH_BYTES)) // buckets) for b in range(buckets)]
-    return np.concatenate((np.searchsorted(values, np.array(limits, U)), [len(values)]))
+    limits = ((np.arange(buckets, dtype=U) << U(8 * HASH_BYTES)) + U(buckets - 1)) // U(buckets)
+    return np.concatenate((np.searchsorted(values, limits), [len(values)]))
 
 
 def packed_hashes(values: np.ndarray, counts: np.ndarray) -> bytes:
@@ -346,7 +347,7 @@ def cleaned(
     """One row per document: key, n_bytes, n_removed, n_spans, kept (bytes), and the columns ``keep``.
 
     Texts are UTF-8 bytes, null being empty; keys are whole numbers, a null key
-    counts as the largest; rows with the same key are the same document and
+    counts as the largest and is the same as 2**63 - 1; rows with the same key are the same document and
     take nothing from each other; texts below ``length`` bytes stay; an empty
     table gives an empty result. Matches are judged on the input. With
     ``whole_characters`` a character goes only if all its bytes do. Columns
@@ -355,7 +356,7 @@ def cleaned(
     spark = docs.sparkSession
     shared_dir(spark)
     bounded(spark)
-    if {k.lower() for k in keep} & {"n_bytes", "n_removed", "n_spans", "kept", "chunk", "key", "raw"}:
+    if {k.lower() for k in keep} & {"n_bytes", "n_removed", "n_spans", "kept", "chunk", "key", "none", "raw"}:
         raise ValueError("a kept column has the name of one of the result's")
     number = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST))
     raw = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
@@ -364,7 +365,8 @@ def cleaned(
     # Rows without a key would all meet in one chunk; a null is skipped by the hash.
     spread = F.when(F.col(f"`{key}`").isNull(), raw)
     chunk = F.pmod(F.xxhash64(number, spread), F.lit(chunks)).cast("int")
-    rows = docs.select(chunk.alias("chunk"), number.alias("key"), raw.alias("raw"), *[F.col(f"`{c}`") for c in keep])
+    none = F.col(f"`{key}`").isNull()
+    rows = docs.select(chunk.alias("chunk"), number.alias("key"), none.alias("none"), raw.alias("raw"), *[F.col(f"`{c}`") for c in keep])
     # Documents equal to one with a smaller key, by two hashes and the length.
     narrow = rows.select("chunk", "key", F.xxhash64("raw").alias("x"), F.md5("raw").alias("m"), F.octet_length("raw").alias("n")).where(F.col("n") >= length)
     first = narrow.groupBy("x", "m", "n").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -375,7 +377,7 @@ def cleaned(
 
     def chunk_runs(docs: pd.DataFrame, packets: pd.DataFrame):
         """Documents in a fixed order, their copies of others marked, the runs of the rest, and packets by bucket."""
-        docs = docs.sort_values(["key", "raw"], ignore_index=True)
+        docs = docs.sort_values(["key", "none", "raw"], ignore_index=True)
         gone = {bytes(d) for b, d in zip(packets["bucket"], packets["data"]) if b < 0}
         keys = {int(d.split()[0]) for d in gone}
         copy = np.zeros(len(docs), bool)
@@ -458,20 +460,21 @@ def cleaned(
             out.append((len(raw), int(mask.sum()), spans, data[~mask].tobytes()))
         result = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
         result.insert(0, "key", docs["key"])
+        result.insert(1, "none", docs["none"])
         return result.assign(**{c: docs[c] for c in keep})
 
     own = lambda kind, of: of.withColumn("kind", F.lit(kind))
     # The texts are dealt to chunks once; the three steps below share that exchange.
     texts = rows.groupBy("chunk")
-    none = own(-1, copies)
-    asked = texts.cogroup(none.groupBy("chunk")).applyInPandas(propose, PACKET_TYPE)
+    marks = own(-1, copies)
+    asked = texts.cogroup(marks.groupBy("chunk")).applyInPandas(propose, PACKET_TYPE)
     states = own(0, asked.groupBy("bucket").applyInPandas(lambda rows: shared_anchors(rows, hot), PACKET_TYPE))
-    known = none.unionByName(states)
+    known = marks.unionByName(states)
     inquiries = texts.cogroup(known.groupBy("chunk")).applyInPandas(inquire, PACKET_TYPE)
     replies = own(1, inquiries.groupBy("bucket").applyInPandas(lambda rows: answers(rows, length), PACKET_TYPE))
     kinds = {c: docs.schema[c].dataType.simpleString() for c in keep}
-    schema = "key long, n_bytes long, n_removed long, n_spans long, kept binary" + "".join(f", `{c}` {k}" for c, k in kinds.items())
+    schema = "key long, none boolean, n_bytes long, n_removed long, n_spans long, kept binary" + "".join(f", `{c}` {k}" for c, k in kinds.items())
     out = texts.cogroup(known.unionByName(replies).groupBy("chunk")).applyInPandas(cut, schema)
     kind = docs.schema[key].dataType.simpleString()
-    back = F.when(F.col("key") != LAST, F.col("key")).cast(kind)
+    back = F.when(~F.col("none"), F.col("key")).cast(kind)
     return out.select(back.alias(key), "n_bytes", "n_removed", "n_spans", "kept", *[F.col(f"`{c}`") for c in keep])

@@ -113,3 +113,19 @@ def test_index_against_lookup(seed):
         for p in range(len(s)):
             assert got[at + p] == (first[s[p : p + length]] if p + length <= len(s) else k)
         at += len(s)
+
+
+def test_the_largest_key_is_not_a_missing_one(spark):
+    long = "".join(chr(97 + i * i % 26) for i in range(80))
+    data = [(repeats.LAST, "once " * 3 + long), (None, "none"), (3, long), (None, long + "!")]
+    got = repeats.cleaned(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, bytes(r.kept)) for r in got), key=str) == sorted(
+        [(repeats.LAST, b"once " * 3), (None, b"none"), (3, long.encode()), (None, b"!")], key=str
+    )
+
+
+def test_edges_of_buckets_follow_the_hash():
+    for buckets in (1, 3, 1000):
+        limits = [-(-(b << (8 * repeats.HASH_BYTES)) // buckets) for b in range(buckets)]
+        values = np.unique(np.array([x + d for x in limits for d in (-1, 0, 1) if x + d >= 0], np.uint64))
+        assert repeats.bucket_edges(values, buckets).tolist() == [*np.searchsorted(values, np.array(limits, np.uint64)).tolist(), len(values)]
