@@ -74,8 +74,8 @@ def runs(ids: np.ndarray) -> list[tuple[int, int, int]]:
     edges = np.flatnonzero(common >= SHARED)
     edges = edges[np.argsort(-common[edges], kind="stable")]
     root = list(range(len(order)))
-    # Positions count from the end, so that classes of a run grow at the end of their lists.
-    classes = [[-p] for p in order.tolist()]
+    # Of a run the first positions share most, so its classes grow at the end of their lists.
+    classes = [[p] for p in order.tolist()]
     firsts: dict[tuple[int, int], int] = {}
 
     def top(x: int) -> int:
@@ -99,8 +99,8 @@ def runs(ids: np.ndarray) -> list[tuple[int, int, int]]:
             ):
                 period = abs(p - q)
                 if near and period <= shared:
-                    at = (shared - min(p, q), period)
-                    firsts[at] = min(firsts.get(at, at[0]), -max(p, q))
+                    at = (shared + max(p, q), period)
+                    firsts[at] = min(firsts.get(at, at[0]), p, q)
         if len(small) < FEW:
             for p in small:
                 large.insert(bisect_left(large, p), p)
