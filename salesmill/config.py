@@ -59,7 +59,7 @@ class PipelineConfig:
     fiscal_start_month: int = 4
     max_error_ratio: float = 0.0
     max_conversion_failures: float = 0.1
-    # Columns of a drop that its table lacks: "refuse" the drop, or "report" and leave them out.
+    # Columns of a drop that its table lacks: "refuse" the drop, "report" and leave them out, or "add" them to the table.
     extra_columns: str = "refuse"
     run_date: dt.date | None = None
     dd_types: tuple[str, ...] = ("CN", "INV")

@@ -147,3 +147,17 @@ def definition_problems(schema: T.StructType, definitions: Mapping[str, Mapping[
         for n, d in definitions.items()
         if sources(d) - have
     ]
+
+
+def definition_report(
+    df: DataFrame, definitions: Mapping[str, Mapping[str, Any]], tables: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """One row per definition: name, the columns it lacks (comma-joined), and the rows that get a value from it.
+
+    Definitions that depend on each other are refused, those that lack a column
+    are left out with all that read them. The rest are counted in one pass.
+    """
+    out, skipped = add_computed(df, definitions, tables)
+    count = lambda n: F.count(F.col(f"`{n}`")) if n not in skipped else F.lit(0).cast("long")
+    rows = [F.struct(F.lit(n).alias("name"), F.lit(",".join(skipped.get(n, []))).alias("missing"), count(n).alias("filled")) for n in definitions]
+    return out.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import re
 import time
 from collections.abc import Callable, Mapping, Sequence
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import PipelineConfig, TableSpec
-from ..functions import ddl
+from ..functions import ddl, names
 from ..functions.numbers import lenient_long
 from ..operators import access, align, computed, convert, filters, quality
 from ..operators.load import REJECTED, Table, group_slice, observed
@@ -178,6 +179,36 @@ def load_checked(
     )
 
 
+#: Declared size of an added text column; longer values widen it like any other.
+ADDED_TEXT = 255
+
+
+def with_added(df: DataFrame, spec: TableSpec, stored: T.StructType | None) -> TableSpec:
+    """The table's declaration with the columns that earlier drops added and those that this one brings.
+
+    Added columns come last and may be null. They are named as the feed names
+    them, in lower case with underscores for what a name may not hold.
+    """
+    fields = list(spec.schema.fields) + [f for f in stored or () if f.name not in spec.schema.names]
+    known = dataclasses.replace(spec, schema=T.StructType(fields))
+    named, _ = align.rename_mapped(df, known.mapping)
+    overrides, taken = dict(spec.overrides), set(named.columns)
+    for f in named.schema.fields:
+        if f.name in {x.name for x in fields}:
+            continue
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
+            raise quality.QualityError(f"{spec.name}: {f.name} is no plain column")
+        name = names.safe_name(re.sub(r"[^a-z0-9_]+", "_", names.unquoted(f.name).lower()))
+        if name in taken - {f.name} or name in spec.schema.names:
+            raise quality.QualityError(f"{spec.name}: {f.name} cannot be added, {name} is there already")
+        if name not in {x.name for x in fields}:
+            text = isinstance(f.dataType, T.StringType)
+            fields.append(ddl.field(name, f"VARCHAR({ADDED_TEXT})" if text else ddl.declared(f)))
+        overrides[f.name] = name
+        taken.add(name)
+    return dataclasses.replace(spec, schema=T.StructType(fields), overrides=overrides)
+
+
 def run_table(
     df: DataFrame,
     spec: TableSpec,
@@ -189,6 +220,8 @@ def run_table(
     batch: str | None = None,
 ) -> LoadReport:
     """A raw drop through transformation, conformance and the checked load, which the log keeps under ``batch``."""
+    if config.extra_columns == "add":
+        spec = with_added(df, spec, target.schema() if target.exists() else None)
     done = transform(df, spec, config)
     if done.mapping_problems:
         raise quality.QualityError(f"{spec.name}: {done.mapping_problems}")

@@ -70,6 +70,18 @@ def entity_for_drop(file_name: str, aliases: Mapping[str, str] = FOLDER_ALIASES)
     return kept[0][:1].upper() + kept[0][1:]
 
 
+def entity_column(file_name: str | Column, aliases: Mapping[str, str] = FOLDER_ALIASES) -> Column:
+    """The same per row."""
+    stem = F.regexp_replace(col(file_name), r"(?i)\.parquet$", "")
+    parts = F.split(stem, "_")
+    number = F.array_position(F.transform(parts, lambda p: p.rlike(r"^[0-9]{4,5}$")), True)
+    kept = F.slice(parts, 1, F.greatest(F.when(number > 0, number - 1).otherwise(F.size(parts)), F.lit(1)).cast("int"))
+    known = F.coalesce(*[F.when(F.lower(F.array_join(kept, "_")) == a, F.lit(e)) for a, e in aliases.items()], F.lit(None))
+    first = F.upper(F.substring(kept[0], 1, 1))
+    pascal = F.array_join(F.transform(kept, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(p.substr(F.lit(2), F.length(p))))), "")
+    return F.coalesce(known, F.when(F.size(kept) > 1, pascal).otherwise(F.concat(first, kept[0].substr(F.lit(2), F.length(kept[0])))))
+
+
 def sales_groups(stem: str) -> list[str]:
     """Sales groups named in a fact file, with the groups delivered along with them."""
     named = [p for p in stem.split("_")[1:] if p != "DD"]

@@ -107,6 +107,23 @@ def routed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.groupBy("table_name", "groups").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@WORK.add(
+    "drop_entities",
+    """SELECT CASE event_type WHEN 'click' THEN 'DimDealerMaster' WHEN 'view' THEN 'FactInvoiceSecondary'
+        WHEN 'error' THEN 'DimMaterial' ELSE 'DimCustomerMaster' END AS entity,
+        count(*) AS drops, min(strftime(ts, '%Y_%m_%d')) AS first_day
+    FROM events GROUP BY 1""",
+)
+def drop_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities read off the names of drops that carry a sequence number and a time, row by row."""
+    day = F.date_format("ts", "yyyy_MM_dd")
+    kind = F.when(F.col("event_type") == "click", "DimDealer_MS").when(F.col("event_type") == "view", "fact_invoice_SECONDARY")
+    kind = kind.when(F.col("event_type") == "error", "dimMaterial").otherwise("dim_customer_master")
+    name = F.concat(kind, F.lit("_"), (F.col("event_id") % 90000 + 1000).cast("string"), F.lit("_"), day, F.lit("_14:01:37.parquet"))
+    drops = source(spark, sf_dir, "events").select(routing.entity_column(name).alias("entity"), day.alias("day"))
+    return drops.groupBy("entity").agg(F.count(F.lit(1)).alias("drops"), F.min("day").alias("first_day"))
+
+
 @WORK.add(
     "incremental_events",
     """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS event_count,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import dates
+from ..functions import dates, names
 from ..functions.numbers import flag, standard_decimal
 from ..operators import align, computed, convert, filters, records
 from ..samples import shape, shape_cte, source
@@ -532,3 +532,57 @@ def typed_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("tow"),
     )
     return align.rename_matched(orders, _TYPED_TARGETS, prefixes=["cm"])
+
+
+_HEADER_TARGETS = {"invoice_no": "BIGINT", "customer_group": "BIGINT", "customergroup": "VARCHAR(20)", "order_raw": "VARCHAR(15)", "reporting_value": "DOUBLE"}
+
+
+@WORK.add(
+    "header_findings",
+    """SELECT 0 AS place, 'Invoice No' AS column_name, 'invoiceno' AS match_key, 'invoiceno' AS lookup_key, 'invoice_no' AS target,
+        'invoice_no' AS same_key, 'not snake_case' AS problems, count(o_orderkey) AS filled FROM orders
+    UNION ALL SELECT 1, 'Customer-Group', 'customergroup', 'customergroup', 'customer_group', 'customer_group,customergroup',
+        'not snake_case', count(*) FILTER (WHERE o_custkey % 3 <> 0) FROM orders
+    UNION ALL SELECT 2, 'ORDER', 'order', 'order_raw', NULL, '', 'not snake_case, reserved word',
+        count(*) FILTER (WHERE o_orderstatus <> 'P') FROM orders
+    UNION ALL SELECT 3, 'rank', 'rank', 'rank_raw', NULL, '', 'reserved word', count(*) FILTER (WHERE o_orderpriority LIKE '1%') FROM orders
+    UNION ALL SELECT 4, 'reportng_value', 'reportngvalue', 'reportngvalue', 'reporting_value', '', '', count(o_totalprice) FROM orders
+    UNION ALL SELECT 5, repeat('remark_', 10), repeat('remark', 10), repeat('remark', 10), NULL, '', 'too long', count(*) FILTER (WHERE o_orderdate >= DATE '1995-06-01') FROM orders""",
+)
+def header_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How a feed's header is understood, which names break the rules, and how many values each column carries."""
+    feed = source(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("Invoice No"),
+        F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("Customer-Group"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("ORDER"),
+        F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderpriority")).alias("rank"),
+        F.col("o_totalprice").alias("reportng_value"),
+        F.when(F.col("o_orderdate") >= dt.date(1995, 6, 1), "late").alias("remark_" * 10),
+    )
+    return names.explain_header(feed, _HEADER_TARGETS).withColumn("same_key", F.array_join("same_key", ","))
+
+
+_CHECKED = {
+    "margin_share": {"type": "calculation", "formula": "margin / nullif(price, 0)"},
+    "margin": {"type": "calculation", "formula": "price - cost"},
+    "freight_share": {"type": "calculation", "formula": "freight / nullif(price, 0)"},
+    "label": {"type": "concatenation", "columns": ["part", "supplier"], "separator": "_"},
+}
+
+
+@WORK.add(
+    "definition_checks",
+    """SELECT 'margin_share' AS name, '' AS missing, count(*) FILTER (WHERE l_extendedprice <> 0 AND l_discount > 0) AS filled FROM lineitem
+    UNION ALL SELECT 'margin', '', count(*) FILTER (WHERE l_discount > 0) FROM lineitem
+    UNION ALL SELECT 'freight_share', 'freight', 0
+    UNION ALL SELECT 'label', '', count(*) FROM lineitem""",
+)
+def definition_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions in any order: what they lack, and how many rows get a value from those that can be computed."""
+    lines = source(spark, sf_dir, "lineitem").select(
+        F.col("l_extendedprice").alias("price"),
+        F.expr("if(l_discount > 0, l_extendedprice * (1 - l_discount), null)").alias("cost"),
+        F.col("l_partkey").alias("part"),
+        F.col("l_suppkey").alias("supplier"),
+    )
+    return computed.definition_report(lines, _CHECKED)

@@ -123,3 +123,17 @@ def test_formula_columns_are_those_that_spark_sees(spark):
     df = spark.createDataFrame([(3, 4)], "k int, net int")
     out, skipped = computed.add_computed(df, {"h": {"type": "calculation", "formula": "CAST(k AS double) / 2 + NET"}})
     assert skipped == {} and out.first()["h"] == 5.5
+
+
+def test_definition_report(spark):
+    df = spark.createDataFrame([(1, 2), (None, 3)], "a int, b int")
+    made = {
+        "d": {"type": "calculation", "formula": "c + 1"},
+        "c": {"type": "calculation", "formula": "a + b"},
+        "f": {"type": "calculation", "formula": "e + 1"},
+        "e": {"type": "calculation", "formula": "z + 1"},
+    }
+    rows = {r["name"]: (r["missing"], r["filled"]) for r in computed.definition_report(df, made).collect()}
+    assert rows == {"d": ("", 1), "c": ("", 1), "e": ("z", 0), "f": ("e", 0)}
+    with pytest.raises(ValueError):
+        computed.definition_report(df, {"c": {"type": "calculation", "formula": "d"}, "d": {"type": "calculation", "formula": "c"}})

@@ -67,6 +67,28 @@ def test_drops_that_lack_or_add_columns_are_refused(spark, tmp_path):
     assert target.read().count() == 1
 
 
+def test_columns_of_a_drop_are_added_to_the_table(spark, tmp_path):
+    target = Table(spark, str(tmp_path / "t"))
+    config = dataclasses.replace(CONFIG, extra_columns="add")
+    good = feed(spark, GOOD[:1])
+    more = good.withColumn("New Measure", F.lit("1")).withColumn("order", F.lit("x" * 300)).withColumn("weight", F.lit(2.5))
+    load = lambda df, **how: ingest.run_table(df, SECONDARY, config, target, **how)
+    load(good)
+    load(more)
+    load(good)
+    rows = target.read()
+    assert rows.columns == SECONDARY.schema.names + ["new_measure", "order_raw", "weight"]
+    assert sorted((r["new_measure"], len(r["order_raw"]), r["weight"]) for r in rows.filter("weight is not null").collect()) == [("1", 300, 2.5)]
+    assert rows.count() == 3 and dict(rows.dtypes)["weight"] == "double"
+    # Numbers that come as text fit the type the column has by now; text longer than the limit widens it.
+    load(more.withColumn("weight", F.lit("7")), mode="slice", condition="invoice_no = 'none'")
+    assert sorted(r["weight"] for r in target.read().filter("weight is not null").collect()) == [2.5, 7.0]
+    with pytest.raises(quality.QualityError, match="cannot be added"):
+        load(good.withColumn("a b", F.lit("1")).withColumn("a_b ", F.lit("1")).withColumn("a-b", F.lit("1")))
+    with pytest.raises(quality.QualityError, match="no plain column"):
+        load(good.withColumn("list", F.array(F.lit(1))))
+
+
 def test_not_null_declarations_are_rules(spark, tmp_path):
     rows = spark.createDataFrame([(None, "7", "V")], "division string, salesgroup string, vertical string")
     with pytest.raises(Exception, match="division"):

@@ -121,3 +121,12 @@ def test_assignment_has_the_highest_total():
         padded = [*targets, *[None] * len(columns)]
         best = max(sum(score.get((c, t), 0) for c, t in zip(columns, p)) for p in itertools.permutations(padded, len(columns)))
         assert sum(score[p] for p in got.items()) == pytest.approx(best)
+
+
+def test_explain_header_counts_values(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1), (None, None)], "`Table` string, qty int")
+    rows = {r["column_name"]: r for r in names.explain_header(df, {"qty": "INT"}).collect()}
+    assert (rows["Table"]["lookup_key"], rows["Table"]["target"], rows["Table"]["filled"]) == ("table_raw", None, 2)
+    assert rows["Table"]["problems"] == "not snake_case, reserved word"
+    assert (rows["qty"]["target"], rows["qty"]["filled"], rows["qty"]["problems"]) == ("qty", 1, "")
+    assert {r["filled"] for r in names.explain_header(df.limit(0), {}).collect()} == {0}

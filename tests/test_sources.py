@@ -142,6 +142,15 @@ def test_entity_for_drop(name, entity):
     assert routing.entity_for_drop(name) == entity
 
 
+def test_entity_column_follows_the_driver_form(spark):
+    names = [
+        "DimDealer_MS_9999_2025_12_02_14:01:37.parquet", "dimdealer_9999.PARQUET", "factInvoice_secondary_107_x", "dimMaterial_1234",
+        "1234_abc", "abc", "a__b_12345_c", "dim_customer_123456", "", "_x", "x.parquet",
+    ]
+    df = spark.createDataFrame([(n,) for n in names] + [(None,)], "n string").select("n", routing.entity_column("n").alias("e"))
+    assert {r["n"]: r["e"] for r in df.collect()} == {n: routing.entity_for_drop(n) for n in names} | {None: None}
+
+
 def test_sales_groups(spark):
     assert routing.sales_groups("FactInvoiceSecondary_107_112") == ["107", "112"]
     combined = routing.sales_groups("FactInvoiceDetails_107_112")
