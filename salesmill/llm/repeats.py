@@ -129,17 +129,41 @@ def bucket_edges(values: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate((np.searchsorted(values, limits), [len(values)]))
 
 
-def packed_hashes(values: np.ndarray, counts: np.ndarray) -> bytes:
-    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].T
-    return zstandard.compress(len(values).to_bytes(4, "little") + planes.tobytes() + np.minimum(counts, 65535).astype("<u2").tobytes(), 1)
+#: Packets below this size are not worth compressing. There are at most as many of them as anchors.
+LITTLE = 512
+ENTRY = HASH_BYTES + 2
 
 
-def unpacked_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = zstandard.decompress(data)
-    n = int.from_bytes(raw[:4], "little")
-    planes = np.zeros((n, 8), np.uint8)
-    planes[:, :HASH_BYTES] = np.frombuffer(raw, np.uint8, n * HASH_BYTES, 4).reshape(HASH_BYTES, n).T
-    return planes.view("<u8").ravel().astype(U), np.frombuffer(raw, "<u2", n, 4 + n * HASH_BYTES)
+def squeezed(raw: bytes, level: int = 1) -> bytes:
+    return raw + b"\0" if len(raw) < LITTLE else zstandard.compress(raw, level) + b"\1"
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return zstandard.decompress(data[:-1]) if data[-1] else data[:-1]
+
+
+def packed_hashes(values: np.ndarray, counts: np.ndarray, edges: np.ndarray) -> list[tuple[int, bytes]]:
+    """Packets of hashes and counts: one for each bucket that has any, hashes lying between its edges."""
+    rows = np.empty((len(values), ENTRY), np.uint8)
+    rows[:, :HASH_BYTES] = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
+    rows[:, HASH_BYTES:] = np.minimum(counts, 65535).astype("<u2").view(np.uint8).reshape(-1, 2)
+    raw = rows.tobytes()
+    some = np.flatnonzero(edges[1:] > edges[:-1])
+    cuts = zip(some.tolist(), edges[some].tolist(), edges[some + 1].tolist())
+    # Byte by byte the hashes compress; little packets keep their rows.
+    return [
+        (b, raw[i * ENTRY : j * ENTRY] + b"\0" if (j - i) * ENTRY < LITTLE else zstandard.compress(rows[i:j].T.tobytes(), 1) + b"\1") for b, i, j in cuts
+    ]
+
+
+def unpacked_hashes(packets: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and counts of all packets, one after the other, and how many each holds."""
+    parts = [np.frombuffer(zstandard.decompress(d[:-1]), np.uint8).reshape(ENTRY, -1).T.tobytes() if d[-1] else d[:-1] for d in packets]
+    rows = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, ENTRY)
+    hashes = np.zeros((len(rows), 8), np.uint8)
+    hashes[:, :HASH_BYTES] = rows[:, :HASH_BYTES]
+    counts = np.ascontiguousarray(rows[:, HASH_BYTES:]).view("<u2").ravel()
+    return hashes.view("<u8").ravel().astype(U), counts, np.fromiter(map(len, parts), np.int64, len(parts)) // ENTRY
 
 
 def unique_anchors(runs: Runs) -> tuple[np.ndarray, np.ndarray]:
@@ -155,13 +179,12 @@ def unique_anchors(runs: Runs) -> tuple[np.ndarray, np.ndarray]:
 
 def shared_anchors(rows: pd.DataFrame, hot: int) -> pd.DataFrame:
     """For one bucket: per packet and hash whether one document has it (0), several (1) or very many (2)."""
-    parts = [unpacked_hashes(d) for d in rows["data"]]
-    values, counts = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    values, counts, sizes = unpacked_hashes(list(rows["data"]))
     found, place = np.unique(values, return_inverse=True)
     docs = np.bincount(place, weights=counts, minlength=len(found))
-    state = ((docs > 1).astype(np.uint8) + (docs >= hot))[place]
-    ends = np.cumsum([len(p[0]) for p in parts])
-    data = [zstandard.compress(x.tobytes(), 1) for x in np.split(state, ends[:-1])]
+    state = ((docs > 1).astype(np.uint8) + (docs >= hot))[place].astype(np.uint8).tobytes()
+    ends = np.cumsum(sizes).tolist()
+    data = [squeezed(state[i:j]) for i, j in zip([0, *ends], ends)]
     return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "data": data})
 
 
@@ -184,19 +207,19 @@ class Entries:
         r, first = self.runs, self.first
         edges = bucket_edges(short(r.anchor[first]), buckets)
         out = []
-        for bucket, (a, b) in enumerate(zip(edges, edges[1:])):
-            if a < b:
-                runs = first[a:b]
-                low, n = r.low[runs], r.high[runs] - r.low[runs] + r.length
-                take = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                head = np.concatenate((n.astype("<u2"), (r.at[runs] - low).astype("<i2").view("<u2")))
-                raw = (b - a).item().to_bytes(4, "little") + head.tobytes() + self.smallest[a:b].astype("<i8").tobytes() + r.text[take].tobytes()
-                out.append((bucket, zstandard.compress(raw, 3)))
+        for bucket in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+            a, b = edges[bucket], edges[bucket + 1]
+            runs = first[a:b]
+            low, n = r.low[runs], r.high[runs] - r.low[runs] + r.length
+            take = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            head = np.concatenate((n.astype("<u2"), (r.at[runs] - low).astype("<i2").view("<u2")))
+            raw = (b - a).item().to_bytes(4, "little") + head.tobytes() + self.smallest[a:b].astype("<i8").tobytes() + r.text[take].tobytes()
+            out.append((bucket, squeezed(raw, 3)))
         return out
 
 
 def unpacked_entries(data: bytes):
-    raw = zstandard.decompress(data)
+    raw = unsqueezed(data)
     n = int.from_bytes(raw[:4], "little")
     head = np.frombuffer(raw, "<u2", 2 * n, 4)
     return head[:n].astype(np.int64), head[n:].view("<i2").astype(np.int64), np.frombuffer(raw, "<i8", n, 4 + 4 * n), raw[4 + 12 * n :]
@@ -337,7 +360,7 @@ def answers(rows: pd.DataFrame, length: int) -> pd.DataFrame:
         i = j
     bits = out < keys.repeat(windows)
     edges = np.cumsum([p[0].sum() - len(p[0]) * (length - 1) for p in parts])
-    data = [zstandard.compress(np.packbits(x).tobytes(), 1) for x in np.split(bits, edges[:-1])]
+    data = [squeezed(np.packbits(x).tobytes()) for x in np.split(bits, edges[:-1])]
     return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "data": data})
 
 
@@ -388,15 +411,14 @@ def cleaned(
 
     def by_bucket(packets: pd.DataFrame, kind: int) -> list[bytes]:
         mine = packets[(packets["bucket"] >= 0) & (packets["kind"] == kind)].sort_values("bucket")
-        return [zstandard.decompress(d) for d in mine["data"]]
+        return [unsqueezed(d) for d in mine["data"]]
 
     def propose(_, docs: pd.DataFrame, packets: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame({"chunk": [], "bucket": [], "data": []})
         values, counts = unique_anchors(chunk_runs(docs, packets)[2])
-        edges = bucket_edges(values, chunks)
-        out = [(docs["chunk"].iloc[0], b, packed_hashes(values[i:j], counts[i:j])) for b, (i, j) in enumerate(zip(edges, edges[1:])) if i < j]
-        return pd.DataFrame(out, columns=["chunk", "bucket", "data"])
+        found = packed_hashes(values, counts, bucket_edges(values, chunks))
+        return pd.DataFrame([(docs["chunk"].iloc[0], b, d) for b, d in found], columns=["chunk", "bucket", "data"])
 
     def entries_of(docs: pd.DataFrame, packets: pd.DataFrame):
         docs, copy, runs = chunk_runs(docs, packets)
@@ -420,10 +442,9 @@ def cleaned(
         size = windows[entries.first]
         # Bits come packed bucket by bucket; entries are in the order of buckets.
         edges = bucket_edges(short(runs.anchor[entries.first]), chunks)
-        bits, parts = iter(by_bucket(packets, 1)), []
-        for a, b in zip(edges, edges[1:]):
-            if a < b:
-                parts.append(np.unpackbits(np.frombuffer(next(bits), np.uint8), count=int(size[a:b].sum())))
+        bits, ahead_of, parts = by_bucket(packets, 1), np.concatenate(([0], np.cumsum(size))), []
+        for mine, b in zip(bits, np.flatnonzero(edges[1:] > edges[:-1]).tolist()):
+            parts.append(np.unpackbits(np.frombuffer(mine, np.uint8), count=int(ahead_of[edges[b + 1]] - ahead_of[edges[b]])))
         bit = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
         keys = docs["key"].to_numpy(np.int64)
         # A document behind the smallest of an entry loses the whole run, the smallest what the bits say.

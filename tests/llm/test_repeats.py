@@ -129,3 +129,28 @@ def test_edges_of_buckets_follow_the_hash():
         limits = [-(-(b << (8 * repeats.HASH_BYTES)) // buckets) for b in range(buckets)]
         values = np.unique(np.array([x + d for x in limits for d in (-1, 0, 1) if x + d >= 0], np.uint64))
         assert repeats.bucket_edges(values, buckets).tolist() == [*np.searchsorted(values, np.array(limits, np.uint64)).tolist(), len(values)]
+
+
+@pytest.mark.parametrize("buckets", [1, 40, 5000, 10**6])
+def test_packets_of_hashes(buckets):
+    rng = np.random.default_rng(buckets)
+    values = np.unique(rng.integers(0, 1 << 8 * repeats.HASH_BYTES, 20_000, dtype=np.uint64))
+    counts = rng.integers(1, 70_000, len(values))
+    packets = repeats.packed_hashes(values, counts, repeats.bucket_edges(values, buckets))
+    # One packet a bucket at most, one an anchor at most, and a few bytes for each of both.
+    assert len(packets) <= min(buckets, len(values)) and sum(len(d) for _, d in packets) <= 8 * len(values) + 64
+    assert [b for b, _ in packets] == sorted({int(v) * buckets >> 8 * repeats.HASH_BYTES for v in values})
+    found, seen, sizes = repeats.unpacked_hashes([d for _, d in packets])
+    assert (found == values).all() and (seen == np.minimum(counts, 65535)).all() and sizes.sum() == len(values)
+    for raw in (b"", b"x", b"x" * 511, b"x" * 512, bytes(range(256)) * 9):
+        assert repeats.unsqueezed(repeats.squeezed(raw)) == raw
+
+
+def test_chunks_of_a_few_documents_each(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK", 500)
+    monkeypatch.setattr(repeats, "LARGEST", 500)
+    texts = passages(random.Random(8))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], bytes(r["kept"])) for r in repeats.cleaned(df, hot=20).collect()}
+    want = {k: (g, t) for k, _, g, _, t in brute([(i, (t or "").encode()) for i, t in enumerate(texts)])}
+    assert got == want
