@@ -11,32 +11,23 @@ BLOCK = 64
 def with_starts(df: DataFrame, sizes: str, out: str) -> DataFrame:
     """``out``: for each element of the long array ``sizes`` the sum of those before it.
 
-    Sums are taken over blocks first, so that long arrays cost far less than
-    the square of their length.
+    Sums are taken over blocks first, and over blocks of blocks, so that an
+    element of a long array costs a few blocks' steps and not all before it.
     """
-    blocks = f"_{out}_blocks"
+    blocks, wide = f"_{out}_blocks", f"_{out}_wide"
     total = "aggregate({}, 0L, (a, x) -> a + x)"
-    return (
-        df.withColumn(
-            blocks,
-            F.expr(
-                f"transform(sequence(0, size({sizes}) div {BLOCK}), b -> "
-                + total.format(f"slice({sizes}, b * {BLOCK} + 1, {BLOCK})")
-                + ")"
-            ),
-        )
-        .withColumn(
-            out,
-            F.expr(
-                f"transform({sizes}, (x, i) -> "
-                + total.format(f"slice({blocks}, 1, i div {BLOCK})")
-                + " + "
-                + total.format(f"slice({sizes}, (i div {BLOCK}) * {BLOCK} + 1, i % {BLOCK})")
-                + ")"
-            ),
-        )
-        .drop(blocks)
+    sums = lambda of: F.expr(f"transform(sequence(0, size({of}) div {BLOCK}), b -> " + total.format(f"slice({of}, b * {BLOCK} + 1, {BLOCK})") + ")")
+    # Sums named once only would be moved into the function and taken anew for each element, hence the bounds.
+    parts = (
+        f"slice({wide}, 1, least(i div {BLOCK * BLOCK}, size({wide})))",
+        f"slice({blocks}, (i div {BLOCK * BLOCK}) * {BLOCK} + 1, least((i div {BLOCK}) % {BLOCK}, size({blocks})))",
+        f"slice({sizes}, (i div {BLOCK}) * {BLOCK} + 1, i % {BLOCK})",
     )
+    # A short array needs no blocks.
+    few = f"transform({sizes}, (x, i) -> " + total.format(f"slice({sizes}, 1, i)") + ")"
+    many = f"transform({sizes}, (x, i) -> " + " + ".join(map(total.format, parts)) + ")"
+    summed = df.withColumn(blocks, sums(sizes))
+    return summed.withColumn(wide, sums(blocks)).withColumn(out, F.expr(f"if(size({sizes}) <= {BLOCK}, {few}, {many})")).drop(blocks, wide)
 
 
 def literal(pattern: str) -> str:

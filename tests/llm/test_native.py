@@ -1,6 +1,7 @@
 """Quality rules, chat formatting, personal data and sharding against plain Python."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmill.llm import chat, pii, quality, sharding
+from salesmill.llm.arrays import with_starts
 from salesmill.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.01"
@@ -325,3 +327,18 @@ def test_shards_of_odd_rows(spark):
     assert sharding.interleave(df.limit(0), 2, key="id", stratum="src").count() == 0
     with pytest.raises(ValueError):
         sharding.interleave(df.withColumn("slot", F.lit(1)), 2, key="id", stratum="src")
+
+
+def test_running_sums_of_arrays_of_any_length(spark):
+    sizes = [0, 1, 2, 63, 64, 65, 128, 4095, 4096, 4097, 9000, 200_000]
+    made = spark.createDataFrame([(n,) for n in sizes], "n int").withColumn("s", F.expr("if(n = 0, array(), transform(sequence(1, n), x -> cast(x * 7 % 11 as bigint)))"))
+    for r in with_starts(made, "s", "before").select("n", "s", "before").collect():
+        assert r["before"] == [0, *itertools.accumulate(r["s"])][: r["n"]], r["n"]
+    assert with_starts(spark.createDataFrame([(None,)], "s array<bigint>"), "s", "before").first()["before"] is None
+
+
+def test_a_text_of_two_hundred_thousand_addresses(spark):
+    count, one = 200_000, "u@x.io "
+    df = spark.createDataFrame([(1, one * count)], "doc_id long, text string")
+    found = pii.found(df).selectExpr("size(spans) as n", "spans[size(spans) - 1].start as last").first()
+    assert (found["n"], found["last"]) == (count, (count - 1) * len(one))
