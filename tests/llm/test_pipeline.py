@@ -29,6 +29,11 @@ def measures(c, text):
     return [10 * c["word_chars"] // n, 1000 * c["n_symbols"] // n, 1000 * c["n_dup_lines"] // max(lines, 1), 1000 * c["n_repeat_words"] // n]
 
 
+# Of each measure: edge and middle percentile, tenths of their distance that are kept beyond the edge, least distance,
+# least documents of a group, and whether there is a limit below too.
+LIMITS = [(75, 25, 60, 1, 100, True), (75, 50, 40, 10, 100, False), (99, 90, 5, 10, 400, False), (99, 90, 5, 10, 400, False)]
+
+
 def quality_brute(docs):
     """Ids of kept documents."""
     rows = [(d, c := counts(d.text), measures(c, d.text)) for d in docs]
@@ -41,13 +46,13 @@ def quality_brute(docs):
     for d, c, m in rows:
         if c["base_failed"]:
             continue
-        group = next((groups[g] for g in ((d.lang, d.source), d.lang) if len(groups[g]) >= 100), groups[None])
         fine = True
-        for i, (v, spread) in enumerate(zip(m, (10, 60, 120, 60))):
+        for i, (v, (edge, middle, reach, step, least, below)) in enumerate(zip(m, LIMITS)):
+            group = next((groups[g] for g in ((d.lang, d.source), d.lang) if len(groups[g]) >= least), groups[None])
             s = sorted(low(x[i]) for x in group)
-            q1, q3 = s[-(-len(s) // 4) - 1], s[-(-3 * len(s) // 4) - 1]
-            reach = 4 * max(q3 - q1, spread)
-            fine &= low(v) <= q3 + reach and (i > 0 or v >= q1 - reach)
+            upper, mid = (s[-(-p * len(s) // 100) - 1] for p in (edge, middle))
+            far = reach * max(upper - mid, step, 1 + upper // 32) // 10
+            fine &= low(v) <= upper + far and (not below or v >= mid - far)
         if fine:
             out.add(d.doc_id)
     return out
