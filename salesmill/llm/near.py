@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmill.session import shared_dir, small_side
@@ -165,24 +165,28 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, *, key: str, t
     return joined.mapInPandas(alike, f"a {kind}, b {kind}").checkpoint()
 
 
-def blocked(rows: DataFrame, group: str, block: int) -> DataFrame:
+def blocked(rows: DataFrame, group: str, block: int, row_bytes: Column | None = None, block_bytes: int = 0) -> DataFrame:
     """Rows with lo, hi and side, such that every two rows of a group stand together in one (group, lo, hi).
 
-    Groups beyond ``block`` rows are cut into blocks, and their rows repeated for each pair of blocks.
+    Groups beyond ``block`` rows, or ``block_bytes`` of their ``row_bytes``, are cut into blocks, and their
+    rows repeated for each pair of blocks.
     """
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_size")).select(F.col(group).alias("_g"), "_size")
+    heavy = F.lit(1) if row_bytes is None else F.ceil(F.sum(row_bytes) / block_bytes)
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), heavy).cast("long")
+    sizes = rows.groupBy(group).agg(blocks.alias("_blocks")).select(F.col(group).alias("_g"), "_blocks")
     return (
         rows.join(sizes, F.col(group) == F.col("_g"))
-        .withColumn("_blocks", F.expr(f"(_size + {block - 1}) div {block}"))
         .withColumn("_mine", F.expr("pmod(xxhash64(node), _blocks)"))
         .withColumn("_other", F.explode(F.expr("sequence(0L, _blocks - 1)")))
         .withColumns({"lo": F.least("_mine", "_other"), "hi": F.greatest("_mine", "_other"), "side": F.expr("if(_mine <= _other, 0, 1)")})
-        .drop("_g", "_size", "_blocks", "_mine", "_other")
+        .drop("_g", "_blocks", "_mine", "_other")
     )
 
 
 #: Rows of a block, and buckets up to which size are searched many at a time.
 BLOCK, SMALL = 1024, 48
+#: Bytes of cells in a block of a cluster, eight for each; a document with more is a block's worth by itself.
+BLOCK_BYTES = 1 << 26
 
 
 def _pairs(rows: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -292,7 +296,7 @@ def linked_clusters(rows: DataFrame, similarity: float) -> DataFrame:
                 if found:
                     yield pd.DataFrame(found, columns=["a", "b"])
 
-    spread = blocked(rows, "cluster", BLOCK).repartition(F.xxhash64("cluster", "lo", "hi"))
+    spread = blocked(rows, "cluster", BLOCK, F.col("weight") * 8, BLOCK_BYTES).repartition(F.xxhash64("cluster", "lo", "hi"))
     return spread.sortWithinPartitions("cluster", "lo", "hi", "node").mapInPandas(run, f"a {kind}, b {kind}")
 
 
@@ -326,7 +330,8 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", similar
     text of one to four words is one run. Documents without a word (null,
     empty, blank) and those with a null key are groups of their own. Rows with
     the same key are one document; an empty table gives an empty result; other
-    columns are not read. Long texts are hashed as a whole.
+    columns are not read. Long texts are hashed as a whole, and clusters of them
+    are verified in blocks of bounded bytes.
     """
     spark = docs.sparkSession
     shared_dir(spark)

@@ -84,6 +84,34 @@ def test_groups_of_copies(spark):
     assert near.classes(df.limit(0)).count() == 0
 
 
+def test_blocks_are_bounded_by_bytes(spark):
+    rows = spark.createDataFrame([("x", i, 1000 if i < 40 else 10) for i in range(400)] + [("y", 1000, 10**6)], "g string, node long, weight long")
+    out = near.blocked(rows, "g", 1024, F.col("weight") * 8, 64_000).toPandas()
+    x = out[out["g"] == "x"]
+    held = x.groupby(["lo", "hi"])["weight"].sum() * 8
+    assert x["hi"].max() + 1 == -(-8 * (40 * 1000 + 360 * 10) // 64_000) and held.max() < 4 * 64_000
+    # Every two nodes stand together, on two sides or in one block.
+    cells = x.groupby("node").apply(lambda r: set(zip(r["lo"], r["hi"])), include_groups=False)
+    assert all(cells[a] & cells[b] for a in range(0, 400, 7) for b in range(a, 400, 11))
+    # A document beyond the bound still meets itself and all others of its group.
+    assert len(out[out["g"] == "y"]["lo"].unique()) > 1
+
+
+def test_a_cluster_of_long_texts_in_many_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300_000)]
+    texts = [" ".join(words)]
+    for _ in range(5):  # a chain: ends are below 0.8, so the first of a bucket does not link them all
+        for _ in range(4_000):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    data = list(enumerate(texts, 1))
+    assert min(map(len, texts)) > 2_000_000
+    monkeypatch.setattr(near, "BLOCK_BYTES", 1 << 22)
+    got = near.classes(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == brute(data)
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = random.Random(5)
     a = [rng.randrange(60) for _ in range(300)]
