@@ -2,7 +2,9 @@
 
 A vector is described by which pivots are nearest to it. Pivots come from a
 bounded sample of the vectors themselves, and none is close to another, else a
-dense group would hold many and its members disagree on the nearest. The index is inverted: every vector stands in
+dense group would hold many and its members disagree on the nearest. Their number
+grows with that of the vectors, so that a vector meets about as many unrelated ones
+in a large table as in a small one. The index is inverted: every vector stands in
 the list of each set of ``shared`` pivots among its ``nearest``, so two vectors
 meet in some list exactly if they have that many near pivots in common, and
 unrelated vectors hardly ever do. What meets is verified by cosine in double
@@ -16,6 +18,7 @@ components where they are found; they are never written out as pairs of a group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,16 +32,24 @@ from salesmill.session import shared_dir
 from .batches import bounded, whole_groups
 from .graph import components
 
-#: Vectors that serve as pivots, for each number of components. More of them make lists shorter.
-PIVOTS = 512
-#: Vectors drawn to choose them from, and the largest cosine between two pivots.
-DRAWN, APART = 4096, 0.5
+#: Vectors that serve as pivots at least, for each number of components, and up to how many vectors that is enough.
+PIVOTS, ENOUGH = 512, 5000
+#: Beyond, pivots grow with this power of the number of vectors: of p pivots, unrelated vectors share three
+#: near ones with a probability of about p ** -2.3 (512 to 4000 random ones in 64 dimensions).
+GROWTH = 0.44
+#: Vectors drawn to choose pivots from, at least and for each pivot, and the largest cosine between two pivots.
+DRAWN, FOR_EACH, APART = 4096, 3, 0.5
 NEAREST, SHARED = 8, 3
 BLOCK = 2048
 #: Lists up to this size are compared many at a time.
 SMALL = 48
 
 
+def pivots_for(vectors: int, least: int = PIVOTS) -> int:
+    """How many pivots a table of so many vectors gets."""
+    return max(least, math.ceil(least * (vectors / ENOUGH) ** GROWTH))
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     """Rows of length one, in double precision."""
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
@@ -60,8 +71,12 @@ def spread(drawn: np.ndarray, pivots: int) -> np.ndarray:
 
 def near(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
     """For each row the numbers of its nearest pivots, ascending; of equally near ones the first."""
-    order = np.argsort(-(unit(vectors) @ pivots.T), axis=1, kind="stable")
-    return np.sort(order[:, :nearest], axis=1)
+    far = -(unit(vectors) @ pivots.T)
+    nearest = min(nearest, far.shape[1])
+    # All pivots as near as the last of the nearest, then the first of these.
+    last = np.partition(far, nearest - 1, axis=1)[:, nearest - 1 : nearest]
+    rank = np.where(far < last, 0, np.where(far == last, 1, 2)).astype(np.int8)
+    return np.sort(np.argsort(rank, axis=1, kind="stable")[:, :nearest], axis=1)
 
 
 def first_shared(a: np.ndarray, b: np.ndarray, shared: int) -> np.ndarray:
@@ -88,13 +103,16 @@ def small_lists(cell: np.ndarray, sets: np.ndarray, x: np.ndarray, pivots: np.nd
 
 def large_list(side: np.ndarray, cross: bool, pivot_set: np.ndarray, x: np.ndarray, pivots: np.ndarray, threshold: float):
     """Matrix of the links that count in a large list; across sides only if ``cross``."""
-    # A pair's first list is this one unless it shares a pivot before the last one of the set.
-    others = np.setdiff1d(pivots[pivots < pivot_set[-1]], pivot_set)
-    marks = (pivots[:, :, None] == others[None, None, :]).any(axis=1).astype(np.float32)
     links = np.zeros((len(x), len(x)), bool)
     for a in range(0, len(x), 256):
-        part = slice(a, a + 256)
-        links[part] = (x[part] @ x.T >= threshold) & (marks[part] @ marks.T == 0)
+        links[a : a + 256] = x[a : a + 256] @ x.T >= threshold
+    # A pair's first list is this one unless it shares a pivot before the last one of the set.
+    row, place = np.nonzero((pivots < pivot_set[-1]) & ~np.isin(pivots, pivot_set))
+    pivot = pivots[row, place]
+    by_pivot = np.argsort(pivot, kind="stable")
+    for rows in np.split(row[by_pivot], np.flatnonzero(np.diff(pivot[by_pivot])) + 1):
+        if len(rows) > 1:
+            links[np.ix_(rows, rows)] = False
     if cross:
         links &= side[:, None] != side[None, :]
     np.fill_diagonal(links, False)
@@ -128,7 +146,7 @@ def linked(
 
     Vectors of different lengths do not link. Vectors that are null, empty,
     zero or hold null or non-finite components, and those with a null key, link
-    with nothing. Rows with the same key are the same node for components;
+    with nothing. ``pivots`` is the number for small tables (see ``pivots_for``). Rows with the same key are the same node for components;
     repeated rows are copies that link. An empty table gives an empty result;
     other columns are not read.
     """
@@ -146,9 +164,14 @@ def linked(
     # One node for equal vectors, under the smallest key.
     nodes = members.groupBy("h", "v").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("copies")).checkpoint()
     sample: dict[int, np.ndarray] = {}
-    for r in nodes.select(F.size("v").alias("n")).distinct().collect():  # lengths that occur, as a rule one
-        drawn = nodes.where(F.size("v") == r["n"]).orderBy("h", "node").limit(DRAWN).select("v").collect()
-        sample[r["n"]] = spread(unit(np.array([x["v"] for x in drawn], np.float64)), pivots)
+    base = 1  # above the number of any pivot
+    for r in nodes.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("rows")).collect():  # lengths that occur, as a rule one
+        want = pivots_for(r["rows"], pivots)
+        drawn = nodes.where(F.size("v") == r["n"]).orderBy("h", "node").limit(max(DRAWN, FOR_EACH * want)).select("v").collect()
+        sample[r["n"]] = spread(unit(np.array([x["v"] for x in drawn], np.float64)), want)
+        base = max(base, len(sample[r["n"]]) + 1)
+    if base**shared >= 1 << 63:
+        raise ValueError("too many pivots for sets of this size: share fewer")
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -167,7 +190,7 @@ def linked(
                 picks = np.array(list(combinations(range(width), min(shared, width))))
                 codes = np.zeros((len(close), len(picks)), np.int64)
                 for c in range(picks.shape[1]):
-                    codes = codes * (pivots + 1) + close[:, picks[:, c]] + 1
+                    codes = codes * base + close[:, picks[:, c]] + 1
                 yield pd.DataFrame({"node": np.repeat(part["node"].to_numpy(), len(picks)), "n": np.repeat(part["n"].to_numpy(), len(picks)), "code": codes.ravel()})
 
     entries = known.select("node", "n", "near").mapInPandas(listed, f"node {kind}, n int, code long")
@@ -206,8 +229,8 @@ def linked(
         close = np.array(part["near"].tolist(), np.int64)
         codes, sets = part["code"].to_numpy().copy(), []
         while codes.any():
-            sets.append(codes % (pivots + 1) - 1)
-            codes //= pivots + 1
+            sets.append(codes % base - 1)
+            codes //= base
         return np.stack(sets[::-1], axis=1), unit(np.array(part["v"].tolist(), np.float64)), close
 
     def small_part(part: pd.DataFrame, cell: np.ndarray) -> Iterator[pd.DataFrame]:

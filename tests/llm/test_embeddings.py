@@ -69,6 +69,57 @@ def test_recall_on_groups(spark, block):
     assert sum(got[k][1] == want[k][1] for k in want) >= 0.98 * len(want)
 
 
+def met(vectors, pivots):
+    """Pairs that share three of their eight nearest pivots, of rows against a tenth of them."""
+    close = embeddings.near(vectors, pivots, embeddings.NEAREST)
+    mark = np.zeros((len(close), len(pivots)), np.float32)
+    np.put_along_axis(mark, close, 1, axis=1)
+    return int((mark[::10] @ mark.T >= embeddings.SHARED).sum()) - len(mark[::10])
+
+
+def test_pairs_of_a_vector_do_not_grow_with_the_table():
+    rng = np.random.default_rng(4)
+    all_rows = embeddings.unit(rng.normal(size=(20_000, 64)))
+    each, fixed = [], []
+    for n in (5_000, 20_000):
+        rows = all_rows[:n]
+        want = embeddings.pivots_for(n)
+        each.append(met(rows, embeddings.spread(rows[: max(4096, 3 * want)], want)) / (n / 10))
+        fixed.append(met(rows, embeddings.spread(rows[:4096], 512)) / (n / 10))
+    assert embeddings.pivots_for(5_000) == embeddings.pivots_for(10) == 512 < embeddings.pivots_for(20_000)
+    assert fixed[1] > 3 * fixed[0] and each[1] < 1.5 * each[0]
+
+
+def test_recall_with_many_pivots():
+    """Pairs exactly at the threshold, the hardest, with the pivots of 100,000 vectors."""
+    rng = np.random.default_rng(5)
+    pivots = embeddings.unit(rng.normal(size=(embeddings.pivots_for(100_000), 64)))
+    x = embeddings.unit(rng.normal(size=(3_000, 64)))
+    z = rng.normal(size=x.shape)
+    z = embeddings.unit(z - (z * x).sum(axis=1, keepdims=True) * x)
+    y = 0.95 * x + np.sqrt(1 - 0.95**2) * z
+    a, b = (embeddings.near(v, pivots, embeddings.NEAREST) for v in (x, y))
+    assert ((a[:, :, None] == b[:, None, :]).any(axis=2).sum(axis=1) >= embeddings.SHARED).mean() > 0.97
+
+
+def test_nearest_pivots_with_ties():
+    pivots = np.array([[0.0, 1.0], [1.0, 0.0], [0.0, 1.0], [-1.0, 0.0], [1.0, 0.0]])
+    assert embeddings.near(np.array([[1.0, 0.0], [0.0, 3.0]]), pivots, 3).tolist() == [[0, 1, 4], [0, 1, 2]]
+    assert embeddings.near(np.array([[1.0, 0.0]]), pivots, 8).tolist() == [[0, 1, 2, 3, 4]]
+
+
+def test_more_pivots_than_the_least(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "ENOUGH", 50)
+    rng = np.random.default_rng(6)
+    data = list(enumerate(clustered(rng, 400, [2, 30, 200]) + clustered(rng, 40, [5], dim=16)))
+    want = brute(data)
+    got = result(spark.createDataFrame(data, "vec_id long, embedding array<float>"), block=64, pivots=48)
+    assert all(got[k][0] <= want[k][0] for k in want)
+    assert sum(g for g, _ in got.values()) >= 0.98 * sum(w for w, _ in want.values())
+    with pytest.raises(ValueError, match="share fewer"):
+        embeddings.linked(spark.createDataFrame(data, "vec_id long, embedding array<float>"), shared=12, nearest=12)
+
+
 def test_odd_rows(spark):
     v = [1.0, 2.0, 3.0]
     data = [(1, None), (2, []), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 2.0]), (5, [float("nan"), 1.0, 1.0]), (6, [float("inf"), 1.0, 1.0])]
