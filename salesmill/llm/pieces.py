@@ -53,16 +53,19 @@ class Pieces:
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
         self.surface = {i: p.piece.replace(SPACE, " ") for i, p in enumerate(model.pieces) if p.type == NORMAL}
         self.value = {i: b for b, i in self.byte.items()}
+        self.packed = [struct.pack("<i", i) for i in range(len(model.pieces))]
         self.whole = any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        self.mark = "" if self.whole else self.prefix
         # Tokens that merging never yields cannot be anyone's last token.
         self.matches = ahocorasick.Automaton()
         self.halves: dict[str, tuple[str, str]] = {}
         for p in self.ids:
             if len(p) > 1 and self.merged(p, steps := []) == [p]:
-                self.matches.add_word(p, p)
+                # With what is known of its left neighbours.
+                self.matches.add_word(p, (p, len(p), {}))
                 self.halves[p] = steps[-1]
         self.matches.make_automaton()
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.asked = 0
         # Two generations: what is still in use moves on when the older is dropped.
         self.seen: dict[str, tuple[bytes, str]] = {}
         self.older: dict[str, tuple[bytes, str]] = {}
@@ -90,41 +93,47 @@ class Pieces:
         back the later of the two sides' last merges; a merge across it counts
         if it is better than what was taken back, or as good and further left.
         """
-        fits = self.fits.get((left, right))
-        if fits is not None:
-            return fits
-        if len(self.fits) >= REMEMBERED:
-            self.fits.clear()
         score, halves = self.score, self.halves
         a, b, limit, ties = left, right, None, True
         while True:
             across = score.get(a + b)
             if across is not None and (limit is None or across > limit or (ties and across == limit)):
-                fits = False
-                break
+                return False
             over, under = halves.get(a), halves.get(b)
             if over is None and under is None:
-                fits = True
-                break
+                return True
             if under is None or (over is not None and score[a] < score[b]):
                 a, limit, ties = over[1], score[a], False
             else:
                 b, limit, ties = under[0], score[b], True
-        self.fits[left, right] = fits
+
+    def asked_first(self, left: str, right: str, known: dict[str, bool]) -> bool:
+        """``compatible``, noted among what is ``known`` of the right token."""
+        if self.asked >= REMEMBERED:
+            for _, _, others in self.matches.values():
+                others.clear()
+            self.asked = 0
+        self.asked += 1
+        fits = known[left] = self.compatible(left, right)
         return fits
 
     def tokens(self, unit: str) -> list[str]:
         """Tokens of a unit as strings; a character outside the vocabulary is one by itself."""
         last: list[str] = list(unit)
-        ends: dict[int, list[str]] = {}
-        for end, token in self.matches.iter(unit):
-            ends.setdefault(end, []).append(token)
-        for end in sorted(ends):
-            for token in ends[end]:
-                start = end + 1 - len(token)
-                if start == 0 or self.compatible(last[start - 1], token):
-                    last[end] = token
-                    break
+        found = -1
+        # Matches come by their ends; one of those that end together fits at most.
+        for end, (token, size, known) in self.matches.iter(unit):
+            if end == found:
+                continue
+            if end >= size:
+                left = last[end - size]
+                fits = known.get(left)
+                if fits is None:
+                    fits = self.asked_first(left, token, known)
+                if not fits:
+                    continue
+            last[end] = token
+            found = end
         out, end = [], len(unit) - 1
         while end >= 0:
             out.append(last[end])
@@ -139,8 +148,10 @@ class Pieces:
 
     def decoded(self, ids: list[int]) -> str:
         """Text of ids; runs of byte tokens are UTF-8, what is not is replaced byte by byte."""
-        if not any(i in self.value for i in ids):
-            return "".join([self.surface[i] if i in self.surface else " ⁇ " * (i == self.unknown) for i in ids])
+        try:
+            return "".join([self.surface[i] for i in ids])
+        except KeyError:
+            pass
         out, run = [], bytearray()
         for i in [*ids, None]:
             if i in self.value:
@@ -154,11 +165,15 @@ class Pieces:
         return "".join(out)
 
     def unit(self, unit: str) -> tuple[bytes, str]:
-        """Ids of a unit as four-byte numbers, and their text."""
-        got = self.seen.get(unit) or self.older.get(unit)
+        """Ids of a unit (without its first mark) as four-byte numbers, and their text; for units not among the newer ones."""
+        got = self.older.get(unit)
         if got is None:
-            ids = [i for token in self.tokens(unit) for i in self.numbers(token)]
-            got = struct.pack(f"<{len(ids)}i", *ids), self.decoded(ids)
+            tokens = self.tokens(self.mark + unit)
+            try:
+                ids = [self.ids[token] for token in tokens]
+            except KeyError:
+                ids = [i for token in tokens for i in self.numbers(token)]
+            got = b"".join([self.packed[i] for i in ids]), self.decoded(ids)
         if len(unit) <= LONGEST:
             if len(self.seen) >= REMEMBERED:
                 self.seen, self.older = {}, self.seen
@@ -166,10 +181,13 @@ class Pieces:
         return got
 
     def units(self, text: str) -> list[str]:
+        """Units of a text, each without the mark that all of them begin with."""
+        if self.mark and SPACE not in text and "  " not in text and text[0] != " " != text[-1]:
+            return text.split(" ")
         text = self.prefix + text.replace(" ", SPACE)
         if self.whole:
             return [text]
-        return UNITS.findall(text)
+        return [unit[len(self.mark) :] for unit in UNITS.findall(text)]
 
     def round_trip(self, text: str) -> tuple[bytes, str]:
         """Ids of a text as four-byte numbers, and the text decoded from them."""

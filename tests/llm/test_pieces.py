@@ -69,6 +69,19 @@ def test_generations_keep_results(spark, pieces, monkeypatch):
     assert fresh.round_trip(text) == pieces.round_trip(text)
 
 
+def test_a_pair_is_decided_once(monkeypatch):
+    """Words of an invented language: of all pairs that meet, each is decided once, whatever the number of words."""
+    fresh, rng, asked = Pieces(PATH), random.Random(8), []
+    decide = fresh.compatible
+    monkeypatch.setattr(fresh, "compatible", lambda a, b: asked.append((a, b)) or decide(a, b))
+    words = ["".join(rng.choices(["the", "tion", "ing", "er", "an", "st", "e", "o"], k=6)) for _ in range(3000)]
+    model = library(PATH)
+    for w in words:
+        ids, back = fresh.round_trip(w)
+        assert (list(memoryview(ids).cast("i")), back) == (model.encode(w), w)
+    assert asked and len(asked) == len(set(asked))
+
+
 def test_other_models_are_refused(tmp_path):
     bad = tmp_path / "x.model"
     from sentencepiece import sentencepiece_model_pb2
