@@ -3,7 +3,8 @@
 The dimension side is prepared first: each dimension is reduced to the columns
 the view shows, already formatted, and dimensions that hang on other dimensions
 are joined to them before the fact table is touched. The fact table then needs
-one join per own key. The planner decides from file sizes whether a dimension is
+one join per own key, sides that show little before those that show much, since
+each shuffle carries what was attached before it. The planner decides from file sizes whether a dimension is
 broadcast; the joined dealer side, whose size it cannot know, is measured. Hot
 keys in shuffled joins are split by AQE.
 """
@@ -141,7 +142,7 @@ def _fact(t: Tables, cutoff: int) -> DataFrame:
 
 
 def _product_sides(t: Tables, material_types: Sequence[str]) -> list[tuple[DataFrame, Column]]:
-    """Sales groups, materials, mapping and classification, each with the key of a fact row."""
+    """Classification, materials, mapping and sales groups, each with the key of a fact row; the narrowest that shuffles is first."""
     groups = _sales_groups(
         t,
         *_upper("division", sales_group_name="vertical"),
@@ -159,7 +160,7 @@ def _product_sides(t: Tables, material_types: Sequence[str]) -> list[tuple[DataF
     )
     item = F.col("_item")
     both = concat_key("_item", "sales_group_code")
-    return [(groups, F.col("sales_group_code")), (materials, item), (mapping, item), (_classification(t), both)]
+    return [(_classification(t), both), (materials, item), (mapping, item), (groups, F.col("sales_group_code"))]
 
 
 def secondary_sales(
@@ -167,13 +168,20 @@ def secondary_sales(
 ) -> DataFrame:
     """Dealer sales with product, customer and hierarchy attributes; one row per match.
 
-    Dealers come first: they are the side that filters of a user's territories
-    reach, and what these leave out need not meet the other tables.
+    The territories of dealers come first: they are what filters of a user's
+    territories reach, and what these leave out need not meet the other tables.
+    All else that dealers show is wide and comes last, by dealer and territory,
+    so that each fact row meets the same dealer rows as in one join.
     """
-    out = _attach(_fact(t, cutoff), _dealers(t), F.col("dealer_sg_key").cast("string"))
+    dealers = _dealers(t)
+    territories = broadcast_if_small(dealers.select("_key", "wss_territory_code").distinct())
+    dealer = F.col("dealer_sg_key").cast("string")
+    out = _attach(_fact(t, cutoff), territories, dealer)
     for side, key in _product_sides(t, material_types):
         out = _attach(out, side, key)
-    return out.select(*SECONDARY_COLUMNS)
+    rest = dealers.withColumnRenamed("wss_territory_code", "_territory")
+    same = (dealer == F.col("_key")) & F.col("wss_territory_code").eqNullSafe(F.col("_territory"))
+    return out.join(rest, same, "left").select(*SECONDARY_COLUMNS)
 
 
 def dealer_totals(
@@ -235,11 +243,11 @@ def primary_sales(t: Tables) -> DataFrame:
         *_plain("material_code", _key="material_code"),
         *_plain("parent_division_code", "parent_division_name", "material_code_sg_key"),
     )
-    out = _attach(fact, customers, "wss_code")
-    out = _attach(out, _sales_groups(t, *_upper(sales_group_name="vertical")), "sales_group_code")
+    out = _attach(fact, _classification(t), concat_key("_item", "sales_group_code"))
     out = _attach(out, materials, "_item")
     out = _attach(out, mapping, "_item")
-    out = _attach(out, _classification(t), concat_key("_item", "sales_group_code"))
+    out = _attach(out, customers, "wss_code")
+    out = _attach(out, _sales_groups(t, *_upper(sales_group_name="vertical")), "sales_group_code")
     return out.select(*PRIMARY_COLUMNS)
 
 

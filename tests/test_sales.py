@@ -1,4 +1,5 @@
 import re
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,43 @@ def test_big_dealer_side_is_not_broadcast(spark, monkeypatch):
     assert big.exceptAll(small).count() == 0
 
 
+def joined_by(df):
+    """Keys of the joins that fact rows pass, in their order."""
+    lines = [line for line in plan(df).splitlines() if re.match(r"^[ :+-]*Join LeftOuter", line)]
+    depth = [re.match(r"^[ :+-]*", line).end() for line in lines]
+    outer = [line for i, line in enumerate(lines) if i == 0 or depth[i] > max(depth[:i])]
+    return outer[::-1]
+
+
+def test_wide_sides_are_joined_after_narrow_ones(spark):
+    def place(joins, *patterns):
+        return [next(i for i, line in enumerate(joins) if re.search(p, line)) for p in patterns]
+
+    primary = joined_by(sales.primary_sales(shapes(spark, SF, PRIMARY_STAR)))
+    order = place(primary, "concat", r"\(_item#\d+L? = ", "wss_code")
+    assert order == sorted(order) and len(set(order)) == 3
+    secondary = joined_by(secondary_view(spark, SF))
+    order = place(secondary, "concat", r"\(_item#\d+L? = ", "_territory")
+    assert order == sorted(order) and len(set(order)) == 3
+
+
+def test_dealer_rows_with_several_territories(spark):
+    t = shapes(spark, SF, STAR)
+    customers = t["dim_customer_master"]
+    again = customers.filter("CAST(customer_code AS INT) % 2 = 0")
+    t["dim_customer_master"] = reduce(
+        lambda a, b: a.unionByName(b),
+        [customers, again, again.withColumn("wss_territory_code", F.lit(None).cast("string")), again.withColumn("wss_territory_code", F.lit("other"))],
+    )
+    t["dim_dealer_master"] = t["dim_dealer_master"].unionByName(t["dim_dealer_master"].limit(3))
+    got = sales.secondary_sales(t, CUTOFF)
+    side = sales._dealers(t).drop("dealer_sg_key").withColumnRenamed("_key", "_k")
+    fact = sales._fact(t, CUTOFF).select("invoice_no", "sales", "dealer_sg_key")
+    shown = ["invoice_no", "sales", "wss_code", "wss_territory_code", "dealer_code", "tsr_name"]
+    want = fact.join(side, F.col("dealer_sg_key") == F.col("_k"), "left").select(shown)
+    assert sorted(map(str, got.select(shown).collect())) == sorted(map(str, want.collect()))
+
+
 def test_broadcast_is_bound_by_bytes(spark, monkeypatch):
     wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
     big = spark.range(5).selectExpr("CAST(id AS STRING) AS s")
