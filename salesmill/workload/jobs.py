@@ -30,6 +30,8 @@ from .sales import CONFIG, CUTOFF, RUN_DATE
 WORK = Workload()
 
 SECONDARY = "fact_invoice_secondary"
+#: Lines in a file of a streamed drop, so that files become more and not larger.
+DROP_ROWS = 500_000
 
 
 # --- files ---
@@ -369,10 +371,12 @@ def streamed_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drops streamed through the whole job; the last batch comes again, as after a lost driver, and changes nothing."""
     folder = scratch(spark, "stream")
     drop = text_drop(spark, sf_dir)
-    drop.repartition(3).write.parquet(f"{folder}/in")
+    lines = files.row_count(spark, f"{sf_dir}/lineitem.parquet")
+    parts = max(3, -(-lines // DROP_ROWS))
+    drop.repartition(parts).write.parquet(f"{folder}/in")
     target = Table(spark, f"{folder}/table")
     for _ in range(2):
-        ingest_drops(spark, f"{folder}/in", drop.columns, SPECS[SECONDARY], CONFIG, target, f"{folder}/state", pattern="*.parquet", files_per_batch=2)
+        ingest_drops(spark, f"{folder}/in", drop.columns, SPECS[SECONDARY], CONFIG, target, f"{folder}/state", pattern="*.parquet", files_per_batch=parts - parts // 3)
         forget_last_batch(spark, f"{folder}/state")
     return _by_group(target.read())
 

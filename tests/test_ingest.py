@@ -1,3 +1,4 @@
+import os
 import dataclasses
 import datetime as dt
 import threading
@@ -405,3 +406,26 @@ def test_new_drops_only(spark, tmp_path):
     assert len(call()) == 0  # it comes again and is known
     rows = target.read().orderBy("v").collect()
     assert [(r["day"], r["v"]) for r in rows] == [("1", 10), ("2", 20), ("3", 30)]
+
+
+def test_streamed_files_become_more_with_the_rows(spark, monkeypatch):
+    """No file of a drop, and so no task that makes one, grows with the table; the stream still takes them in two batches."""
+    from salesmill.workload import jobs
+
+    kept = {}
+    ingest = jobs.ingest_drops
+
+    def watched(session, folder, *args, **options):
+        kept["files"] = len([f for f in os.listdir(folder) if f.endswith(".parquet")])
+        done = ingest(session, folder, *args, **options)
+        kept.setdefault("batches", len(done))
+        return done
+
+    monkeypatch.setattr(jobs, "ingest_drops", watched)
+    few = {r.sales_group_code: r.row_count for r in jobs.streamed_drops(spark, "/root/testdata/sf0.001").collect()}
+    assert kept == {"files": 3, "batches": 2}
+    kept.clear()
+    monkeypatch.setattr(jobs, "DROP_ROWS", 1000)
+    many = {r.sales_group_code: r.row_count for r in jobs.streamed_drops(spark, "/root/testdata/sf0.001").collect()}
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert kept == {"files": -(-lines // 1000), "batches": 2} and many == few
