@@ -3,8 +3,9 @@
 A table is a folder with Parquet data and a commit log. Data is written to a
 fresh path, counted, and only then named in the log; a failed or interrupted
 load leaves the table as it was. Slices of a partitioned table are exchanged by
-Spark's dynamic partition overwrite from such a path, which the next use of the
-table finishes if it was interrupted.
+moving the folders of their partitions from such a path into the table, as a
+dynamic partition overwrite ends, but with nothing written again; the next use
+of the table finishes what was interrupted.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import datetime as dt
 import json
 import time
 import uuid
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -30,6 +31,12 @@ _LOG = "version bigint, kind string, path string, emptied array<string>, rows bi
 
 
 REJECTED = "_rejected"
+#: Codec of the files: reads about as fast as Spark's default and writes fewer bytes.
+CODEC = "zstd"
+
+
+def _as_is(rows: DataFrame) -> DataFrame:
+    return rows
 
 
 class LoadError(RuntimeError):
@@ -156,30 +163,40 @@ class Table:
     # -- writing --
 
     def stage(
-        self, df: DataFrame, partition_by: Sequence[str] = (), watch: tuple[Observation, Sequence[Column]] | None = None
+        self,
+        df: DataFrame,
+        partition_by: Sequence[str] = (),
+        watch: tuple[Observation, Sequence[Column]] | None = None,
+        fit: Callable[[DataFrame], DataFrame] = _as_is,
     ) -> tuple[str, int]:
         """Write to a fresh path and check the row count against what was sent.
 
+        ``fit`` gives the rows their final columns, row by row. It runs behind
+        the shuffle, so that constant and derived columns are not sent; of
+        ``partition_by``, columns that ``df`` has must keep their values.
         ``watch`` is observed on the way. Counts are taken in the writing tasks,
         behind the shuffle, where a task that is run again counts once.
         Rows marked ``_rejected`` go to their own folder of the same write. The
         path and the count returned are those of the other rows.
         """
-        if REJECTED not in df.columns:
-            df = df.withColumn(REJECTED, F.lit(False))
         load = f"{self.root}/data/load=v{uuid.uuid4().hex}"
         sent = Observation()
         good = F.count_if(~F.col(REJECTED)).alias("good")
-        out = df
-        if partition_by:
-            # Even-sized files per partition value; oversized values are split.
-            out = out.hint("rebalance", *partition_by)
+        # Even-sized files per partition value; oversized values are split.
+        known = [c for c in partition_by if c in df.columns]
+        if known:
+            out = fit(df.hint("rebalance", *known))
+        else:
+            out = fit(df).hint("rebalance", *partition_by) if partition_by else fit(df)
+        if REJECTED not in out.columns:
+            out = out.withColumn(REJECTED, F.lit(False))
+        schema = out.schema
         if watch is not None:
             out = out.observe(watch[0], *watch[1])
         out = out.observe(sent, F.count(F.lit(1)).alias("rows"), good)
-        out.write.partitionBy(REJECTED, *partition_by).parquet(load)
+        out.write.partitionBy(REJECTED, *partition_by).option("compression", CODEC).parquet(load)
         counts = observed(sent)
-        self.check(load, df.schema, counts.get("rows", 0))
+        self.check(load, schema, counts.get("rows", 0))
         return f"{load}/{REJECTED}=false", counts.get("good", 0)
 
     def check(self, path: str, schema: T.StructType, rows: int) -> None:
@@ -211,29 +228,40 @@ class Table:
         self.spark.range(1, numPartitions=1).select(*entry).write.mode("append").json(f"{self.root}/log")
         return version
 
-    def replace(self, df: DataFrame, partition_by: Sequence[str] | None = None) -> int:
-        """New content for the whole table. May read the table it replaces."""
-        return self._replace(df, self.commits(), partition_by)
+    def replace(self, df: DataFrame, partition_by: Sequence[str] | None = None, fit: Callable[[DataFrame], DataFrame] = _as_is) -> int:
+        """New content for the whole table, in the columns that ``fit`` gives it (see ``stage``). May read the table it replaces."""
+        return self._replace(df, self.commits(), partition_by, fit=fit)
 
-    def _replace(self, df: DataFrame, found: list[Commit], partition_by: Sequence[str] | None = None, batch: str | None = None) -> int:
+    def _replace(
+        self,
+        df: DataFrame,
+        found: list[Commit],
+        partition_by: Sequence[str] | None = None,
+        batch: str | None = None,
+        fit: Callable[[DataFrame], DataFrame] = _as_is,
+    ) -> int:
         parts = tuple(partition_by) if partition_by is not None else _partitions(found)
-        path, rows = self.stage(df, parts)
-        return self.commit("replace", path, rows, df.schema, parts, found=found, batch=batch)
+        path, rows = self.stage(df, parts, fit=fit)
+        return self.commit("replace", path, rows, fit(df).schema, parts, found=found, batch=batch)
 
     def append(self, df: DataFrame, batch: str | None = None) -> int:
         found = self.commits()
         if not found:
             return self._replace(df, found, batch=batch)
         schema, parts = _schema(found), _partitions(found)
-        path, rows = self.stage(conform(df, schema), parts)
+        path, rows = self.stage(df, parts, fit=lambda rows: conform(rows, schema))
         return self.commit("append", path, rows, schema, parts, found=found, batch=batch)
 
-    def replace_slice(self, df: DataFrame, condition: str) -> int:
-        """Exchange the rows meeting a condition; in a partitioned table only the partitions involved are written."""
+    def replace_slice(self, df: DataFrame, condition: str, fit: Callable[[DataFrame], DataFrame] = _as_is) -> int:
+        """Exchange the rows meeting a condition; in a partitioned table only the partitions involved are written.
+
+        ``fit`` gives the new rows their columns (see ``stage``).
+        """
         found = self.commits()
         if not found:
-            return self._replace(df, found)
-        path, rows = self.stage(conform(df, _schema(found)), _partitions(found))
+            return self._replace(df, found, fit=fit)
+        schema = _schema(found)
+        path, rows = self.stage(df, _partitions(found), fit=lambda rows: conform(fit(rows), schema))
         return self.exchange(path, rows, condition)
 
     def exchange(self, path: str, rows: int, condition: str, schema: T.StructType | None = None, batch: str | None = None) -> int:
@@ -272,20 +300,31 @@ class Table:
         return self.commits()[-1].version
 
     def _publish(self, found: list[Commit]) -> Commit:
-        """Overwrite the partitions of the base by those of a staged path. Done again, it changes nothing."""
+        """Put the partitions of a staged path in place of those of the base. Done again, it moves what is left to move."""
         base, last = found[0].path, found[-1]
         hadoop, uri = self.spark._jvm.org.apache.hadoop.fs.Path, self.spark._jvm.java.net.URI
         files = hadoop(base).getFileSystem(self.spark._jsc.hadoopConfiguration())
         files.mkdirs(hadoop(base))
-        if last.rows:
-            rows = self._files([last.path], _schema(found))
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*last.partitions).parquet(base)
+        if last.rows and files.exists(hadoop(last.path)):
+            self._move(files, hadoop(last.path), hadoop(base), len(last.partitions))
         for folder in last.emptied:
             files.delete(hadoop(uri(folder)), True)
         done = dataclasses.replace(last, version=last.version + 1, kind="published", path=base, emptied=(), rows=-1, batch=None)
         self.commit(done.kind, done.path, done.rows, _schema(found), done.partitions, found=found)
         return done
 
+    def _move(self, files, staged, base, depth: int) -> None:
+        """Folders of partition values, ``depth`` levels down, from one path to another."""
+        for folder in [s.getPath() for s in files.listStatus(staged) if s.isDirectory() and "=" in s.getPath().getName()]:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(base, folder.getName())
+            if depth > 1:
+                files.mkdirs(place)
+                self._move(files, folder, place, depth - 1)
+                continue
+            files.delete(place, True)
+            if not files.rename(folder, place):
+                raise LoadError(f"{folder.toString()} could not be moved to {place.toString()}")
+
     def upsert(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> int:
         """Replace rows by key. In a partitioned table only the partitions involved are rewritten.
 

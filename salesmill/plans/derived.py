@@ -17,20 +17,23 @@ from ..operators.records import concat_key
 from ..tables import SPECS
 
 
-def dd_records(details: DataFrame, config: PipelineConfig, run_date: dt.date) -> DataFrame:
-    """Qualifying invoice details in the layout of dealer sales.
+def qualifying(details: DataFrame, config: PipelineConfig) -> DataFrame:
+    """Invoice details that count as dealer sales.
 
     A tenant that sets ``dd_differs`` keeps rows whose two columns differ
     instead of selecting by document type.
     """
     rows = details.filter(F.col("active_flag") == "1")
     if config.dd_differs is not None:
-        rows = rows.filter(filters.differ(*config.dd_differs))
-    else:
-        rows = rows.filter(
-            filters.any_of(config.dd_types, config.dd_reason_types, config.dd_reasons)
-            & (F.col("posting_date") >= config.secondary_cutoff)
-        )
+        return rows.filter(filters.differ(*config.dd_differs))
+    return rows.filter(
+        filters.any_of(config.dd_types, config.dd_reason_types, config.dd_reasons)
+        & (F.col("posting_date") >= config.secondary_cutoff)
+    )
+
+
+def restated(rows: DataFrame, run_date: dt.date) -> DataFrame:
+    """Invoice details in the layout of dealer sales."""
     billed = F.coalesce(F.col("billing_quantity_in_stock_keeping_unit"), F.lit(0))
     is_invoice, is_credit = F.col("mis_type") == "INV", F.col("mis_type") == "CN"
     return rows.select(
@@ -67,11 +70,17 @@ def dd_records(details: DataFrame, config: PipelineConfig, run_date: dt.date) ->
     )
 
 
+def dd_records(details: DataFrame, config: PipelineConfig, run_date: dt.date) -> DataFrame:
+    """Qualifying invoice details in the layout of dealer sales."""
+    return restated(qualifying(details, config), run_date)
+
+
 def dd_rows(details: DataFrame, config: PipelineConfig, run_date: dt.date) -> DataFrame:
     """The same, widened to every column of the target table."""
     return conform(dd_records(details, config, run_date), SPECS["fact_invoice_secondary"].schema)
 
 
 def refresh_dd(details: DataFrame, target: Table, config: PipelineConfig, run_date: dt.date) -> int:
-    """Exchange the derived records of the dealer-sales table."""
-    return target.replace_slice(dd_rows(details, config, run_date), dd_slice())
+    """Exchange the derived records of the dealer-sales table; on the way to their partitions they are still invoice details."""
+    schema = SPECS["fact_invoice_secondary"].schema
+    return target.replace_slice(qualifying(details, config), dd_slice(), lambda rows: conform(restated(rows, run_date), schema))

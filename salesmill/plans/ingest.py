@@ -135,6 +135,7 @@ def load_checked(
     table: str = "",
     widenings: Sequence[quality.Widening] = (),
     batch: str | None = None,
+    fit: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> LoadReport:
     """Check and write in one pass, then gate, then publish.
 
@@ -142,7 +143,8 @@ def load_checked(
     rule counts are observed on the way. Only when the gate is passed does the
     accepted folder become part of the table. Rejected rows stay where they were
     written, with the names of the rules they broke. Rows added to a table have
-    its partitions; others are refused.
+    its partitions; others are refused. ``fit`` gives the rows their declared
+    columns (see ``Table.stage``).
     """
     if mode not in ("replace", "slice", "append"):
         raise ValueError(f"unknown load mode {mode!r}")
@@ -155,8 +157,8 @@ def load_checked(
         partition_by = own
     partition_by = tuple(partition_by or ())
     seen = Observation()
-    flagged = quality.flag(df, rules).withColumn(REJECTED, quality.rejected(rules))
-    path, good = target.stage(flagged, partition_by, (seen, quality.count_columns(rules)))
+    flagged = lambda rows: quality.flag(fit(rows), rules).withColumn(REJECTED, quality.rejected(rules))
+    path, good = target.stage(df, partition_by, (seen, quality.count_columns(rules)), flagged)
     counts = observed(seen)
     quality.gate(counts, rules, max_error_ratio)
     bad = counts.get("rejected", 0)
@@ -238,9 +240,8 @@ def run_table(
     unfit = ddl.type_mismatches(fitted.schema, spec.schema)
     if unfit:
         raise quality.QualityError(f"{spec.name}: types do not fit {unfit}")
-    ready = align.conform(fitted, schema)
     return load_checked(
-        ready,
+        fitted,
         target,
         schema,
         [*quality.declared_required(schema), *rules],
@@ -251,6 +252,7 @@ def run_table(
         spec.name,
         done.widenings,
         batch,
+        lambda rows: align.conform(rows, schema),
     )
 
 

@@ -93,7 +93,7 @@ def stored_dd_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     spec = SPECS[SECONDARY]
     target = Table(spark, scratch(spark, SECONDARY))
-    target.replace(conform(shape(spark, sf_dir, SECONDARY), spec.schema), spec.partition_by)
+    target.replace(shape(spark, sf_dir, SECONDARY), spec.partition_by, lambda rows: conform(rows, spec.schema))
     details = shape(spark, sf_dir, "fact_invoice_details")
     refresh_dd(details, target, CONFIG, RUN_DATE)
     refresh_dd(details, target, CONFIG, RUN_DATE)

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from salesmill.operators import load
@@ -108,6 +109,48 @@ def test_an_interrupted_exchange_is_finished(spark, table, monkeypatch):
     assert [c.kind for c in again.commits()] == ["published"]
 
 
+def test_an_exchange_interrupted_between_two_partitions_is_finished(spark, table, monkeypatch):
+    table.replace(frame(spark, [(1, "DD", 1.0), (2, "SEC", 2.0), (3, "x/=y", 3.0)]), partition_by=["kind"])
+
+    def half(self, files, staged, base, depth):
+        name = sorted(s.getPath().getName() for s in files.listStatus(staged))[0]
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files.delete(path(base, name), True)
+        files.rename(path(staged, name), path(base, name))
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(Table, "_move", half)
+        with pytest.raises(OSError, match="lost"):
+            table.replace_slice(frame(spark, [(9, "DD", 9.0), (8, None, 8.0), (7, "x/=y", 7.0)]), "kind in ('DD', 'x/=y')")
+    again = Table(spark, table.root)
+    assert content(again) == [(2, "SEC", 2.0), (7, "x/=y", 7.0), (8, None, 8.0), (9, "DD", 9.0)]
+    assert [c.kind for c in again.commits()] == ["published"]
+
+
+def test_an_exchange_writes_its_rows_once(spark, table, monkeypatch):
+    table.replace(frame(spark, [(1, "DD", 1.0), (2, "SEC", 2.0)]), partition_by=["kind"])
+    written, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **kw: written.append(path) or parquet(self, path, **kw))
+    table.replace_slice(frame(spark, [(9, "DD", 9.0)]), "kind = 'DD'")
+    assert len(written) == 1 and content(table) == [(2, "SEC", 2.0), (9, "DD", 9.0)]
+
+
+def test_columns_are_fitted_behind_the_shuffle(spark, table):
+    seen = []
+
+    def fit(rows):
+        seen.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return rows.withColumns({"v": F.col("k") * 2.0, "note": F.lit(None).cast("string")})
+
+    table.replace(frame(spark, [(1, "a", 0.0), (2, "b", 0.0)]).drop("v"), ["kind", "note"], fit)
+    assert any("RebalancePartitions" in plan for plan in seen)
+    rows = sorted((r["k"], r["kind"], r["v"], r["note"]) for r in table.read().collect())
+    assert rows == [(1, "a", 2.0, None), (2, "b", 4.0, None)]
+    table.replace_slice(frame(spark, [(3, "a", 0.0)]).drop("v"), "kind = 'a'", fit)
+    assert sorted((r["k"], r["v"]) for r in table.read().collect()) == [(2, 4.0), (3, 6.0)]
+
+
 def test_empty_table(spark, table):
     table.replace(frame(spark, []))
     assert content(table) == [] and table.read().columns == ["k", "kind", "v"]
