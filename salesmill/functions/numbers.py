@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import col, strip_all
 
@@ -30,14 +31,27 @@ def percent_change(now: str | Column, before: str | Column) -> Column:
     return F.round((now - before) * F.lit(100.0) / F.nullif(before, F.lit(0.0)), 2)
 
 
+def lenient_cast(c: str | Column, to: str | T.DataType) -> Column:
+    """Text -> number, NULL where it reads as none.
+
+    Whitespace, which costs more than the reading, is stripped only from text
+    that does not read as it is; a number that reads does so stripped or not.
+    """
+    text = col(c).cast("string")
+    return F.coalesce(text.try_cast(to), strip_all(text).try_cast(to))
+
+
 def lenient_long(c: str | Column, to: str = "bigint") -> Column:
     """Text -> integer; anything else (blank, '12.0', words) becomes NULL."""
-    return strip_all(c).try_cast(to)
+    return lenient_cast(c, to)
 
 
 def lenient_double(c: str | Column) -> Column:
     """Text -> double; Java's 'd' / 'f' suffixes are not numbers here."""
-    return F.when(~col(c).rlike(r"[0-9.][dDfF]\s*$"), strip_all(c).try_cast("double"))
+    text = col(c).cast("string")
+    # The pattern is tried on text with such a letter only.
+    lettered = F.contains(text, F.lit("d")) | F.contains(text, F.lit("D")) | F.contains(text, F.lit("f")) | F.contains(text, F.lit("F"))
+    return F.when(~(lettered & text.rlike(r"[0-9.][dDfF]\s*$")), lenient_cast(text, "double"))
 
 
 def flag(c: str | Column) -> Column:

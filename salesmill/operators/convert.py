@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numbers import flag, lenient_double, lenient_long
+from ..functions.numbers import flag, lenient_cast, lenient_double, lenient_long
 from ..functions.text import strip_all
 
 # Accepted date layouts, tried in this order.
@@ -102,7 +102,7 @@ def readings(c: Column, target: T.DataType, layouts: Iterable[str] = DATE_LAYOUT
     if isinstance(target, (T.FloatType, T.DoubleType)):
         return {kind: lenient_double(c).cast(target)}
     if isinstance(target, T.DecimalType):
-        return {kind: strip_all(c).try_cast(target)}
+        return {kind: lenient_cast(c, target)}
     if isinstance(target, T.BooleanType):
         return {kind: flag(strip_all(c))}
     return {}

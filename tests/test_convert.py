@@ -45,6 +45,24 @@ def test_java_suffixes_are_not_numbers(spark):
     assert column(df.select(numbers.lenient_double("v").alias("v"))) == [1.5, None, None, float("inf")]
 
 
+def test_only_text_that_does_not_read_is_stripped(spark):
+    values = ["7", " 7", "\t7\x0b", "\u20037\xa0", "\x007", "7\x7f", "7.5", "7.5\u3000", "1e3", "0x10", "Infinity", " nan ", "7d ", "7F", "7 d", "d", "", " ", "-", "99999999999999999999", None]
+    df = one_column(spark, values)
+    stripped = text.strip_all("v")
+    plain = F.when(~F.col("v").rlike(r"[0-9.][dDfF]\s*$"), stripped.try_cast("double"))
+    pairs = {
+        "double": (numbers.lenient_double("v"), plain),
+        "long": (numbers.lenient_long("v"), stripped.try_cast("bigint")),
+        "decimal(6,2)": (convert.readings(F.col("v"), T.DecimalType(6, 2))["decimal(6,2)"], stripped.try_cast("decimal(6,2)")),
+    }
+    got = df.select([c.cast("string").alias(f"{k} {i}") for k, both in pairs.items() for i, c in enumerate(both)]).collect()
+    for k in pairs:
+        assert [r[f"{k} 0"] for r in got] == [r[f"{k} 1"] for r in got]
+    shown = df.select(numbers.lenient_long("v").alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.index("try_cast" if "try_cast" in shown else "cast(") < shown.index("trim(")
+    assert df.select(numbers.lenient_long(F.lit(1.5)).alias("v")).first()[0] is None
+
+
 @pytest.mark.parametrize(
     "values",
     [
