@@ -23,7 +23,7 @@ from .derived import refresh_dd
 from .dimensions import transform_dimension
 from .facets import PRIMARY, SECONDARY, business_constants
 from .runs import Ledger
-from .sales import primary_sales, refresh_snapshot, secondary_sales
+from .sales import primary_sales, refresh_snapshot, secondary_in_parts
 
 
 @dataclasses.dataclass(frozen=True)
@@ -308,8 +308,8 @@ def daily_run(
     def snapshot() -> None:
         tables = current()
         if "fact_invoice_secondary" in tables:
-            view = secondary_sales(tables, config.secondary_cutoff, config.material_types)
-            refresh_snapshot(view, table("secondary_sales_mat_view"))
+            lines, shown = secondary_in_parts(tables, config.secondary_cutoff, config.material_types)
+            refresh_snapshot(lines, table("secondary_sales_mat_view"), shown=shown)
 
     def constants() -> None:
         tables, views = current(), {}

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import access
 from ..operators.load import Table
 from ..operators.records import concat_key, latest_per_key
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, is_small
 
 Tables = Mapping[str, DataFrame]
 
@@ -104,7 +104,12 @@ def latest_hierarchy(hierarchy: DataFrame) -> DataFrame:
 
 
 def _dealers(t: Tables) -> DataFrame:
-    """Active dealers with their customer and the latest hierarchy record."""
+    side, small = _sized_dealers(t)
+    return F.broadcast(side) if small else side
+
+
+def _sized_dealers(t: Tables) -> tuple[DataFrame, bool]:
+    """Active dealers with their customer and the latest hierarchy record, and whether these can be broadcast."""
     dealers = t["dim_dealer_master"]
     dealers = dealers.filter(_is(dealers, "active_flag", "True")).selectExpr(
         *_text(_dealer="dealer_sg_key", _customer="customer_code"),
@@ -128,7 +133,7 @@ def _dealers(t: Tables) -> DataFrame:
     )
     known = _attach(_attach(dealers, customers, "_customer"), latest, "tsi_code")
     side = known.drop("_customer").withColumnRenamed("_dealer", "_key")
-    return broadcast_if_small(side, driving=dealers)
+    return side, is_small(side, driving=dealers)
 
 
 def _fact(t: Tables, cutoff: int) -> DataFrame:
@@ -173,15 +178,33 @@ def secondary_sales(
     All else that dealers show is wide and comes last, by dealer and territory,
     so that each fact row meets the same dealer rows as in one join.
     """
-    dealers = _dealers(t)
+    lines, shown, _ = _secondary(t, cutoff, material_types)
+    return shown(lines)
+
+
+def secondary_in_parts(
+    t: Tables, cutoff: int = 20230401, material_types: Sequence[str] = ("ZFGD",)
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The same view as narrow lines and what makes the view of them, for ``refresh_snapshot``.
+
+    Dealers that cannot be broadcast would be joined by a shuffle of their own;
+    then the lines are the view already.
+    """
+    lines, shown, small = _secondary(t, cutoff, material_types)
+    return (lines, shown) if small else (shown(lines), lambda view: view)
+
+
+def _secondary(t: Tables, cutoff: int, material_types: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame], bool]:
+    side, small = _sized_dealers(t)
+    dealers = F.broadcast(side) if small else side
     territories = broadcast_if_small(dealers.select("_key", "wss_territory_code").distinct())
     dealer = F.col("dealer_sg_key").cast("string")
     out = _attach(_fact(t, cutoff), territories, dealer)
-    for side, key in _product_sides(t, material_types):
-        out = _attach(out, side, key)
+    for product, key in _product_sides(t, material_types):
+        out = _attach(out, product, key)
     rest = dealers.withColumnRenamed("wss_territory_code", "_territory")
     same = (dealer == F.col("_key")) & F.col("wss_territory_code").eqNullSafe(F.col("_territory"))
-    return out.join(rest, same, "left").select(*SECONDARY_COLUMNS)
+    return out, lambda lines: lines.join(rest, same, "left").select(*SECONDARY_COLUMNS), small
 
 
 def dealer_totals(
@@ -251,12 +274,19 @@ def primary_sales(t: Tables) -> DataFrame:
     return out.select(*PRIMARY_COLUMNS)
 
 
-def refresh_snapshot(view: DataFrame, target: Table, cluster_by: str = "wss_territory_code") -> int:
+def refresh_snapshot(
+    view: DataFrame,
+    target: Table,
+    cluster_by: str = "wss_territory_code",
+    shown: Callable[[DataFrame], DataFrame] = lambda view: view,
+) -> int:
     """Store a view's result in parts by the column users are filtered on, so that a user's query reads few of them.
 
     Parts are numbers hashed from the column, ``access.PARTS`` whatever the
     number of territories; one that holds much of the data has several files.
-    The order inside files lets a territory filter skip row groups.
+    The order inside files lets a territory filter skip row groups. ``shown``
+    adds what is wide (see ``secondary_in_parts``) behind the shuffle to the parts.
     """
-    parted = view.withColumn(access.PART, access.part_of(cluster_by))
-    return target.replace(parted.sortWithinPartitions(access.PART, cluster_by), partition_by=(access.PART,))
+    parted = lambda rows: rows.withColumn(access.PART, access.part_of(cluster_by))
+    ordered = parted(view).sortWithinPartitions(access.PART, cluster_by)
+    return target.replace(ordered, (access.PART,), lambda rows: parted(shown(rows.drop(access.PART))))

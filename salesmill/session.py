@@ -75,17 +75,25 @@ def _bytes(df: DataFrame) -> Column:
     return F.expr(" + ".join([f"{fixed}L", *texts]))
 
 
+def is_small(df: DataFrame, driving: DataFrame | None = None) -> bool:
+    """Whether a derived table's measured size allows its broadcast.
+
+    ``driving`` is an input that bounds the table from below: when that is too
+    big already, nothing else is measured.
+    """
+    if driving is not None and driving.count() > BROADCAST_ROWS:
+        return False
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_bytes(df))).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
 def broadcast_if_small(df: DataFrame, driving: DataFrame | None = None) -> DataFrame:
     """Mark a derived table for broadcast if its measured size allows it.
 
     The planner cannot size the result of a join or aggregation and would
-    shuffle the big side to be safe. ``driving`` is an input that bounds the
-    table from below: when that is too big already, nothing else is measured.
+    shuffle the big side to be safe.
     """
-    if driving is not None and driving.count() > BROADCAST_ROWS:
-        return df
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(_bytes(df))).first()
-    return F.broadcast(df) if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else df
+    return F.broadcast(df) if is_small(df, driving) else df
 
 
 def small_side(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from ..plans.sales import refresh_snapshot
 from ..samples import shape, shape_cte, shapes
 from ..session import shared_dir
 from . import Workload
-from .sales import CONFIG, QUARTERS, SECONDARY_CTE, STAR, growth_sql, secondary_view
+from .sales import CONFIG, QUARTERS, SECONDARY_CTE, STAR, growth_sql, secondary_in_parts, secondary_view
 
 WORK = Workload()
 
@@ -145,7 +145,8 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
     stored = Table(spark, f"{shared_dir(spark)}/secondary_sales_mat_view-{spark.sparkContext.applicationId}-{tag}")
     if not stored.exists():
-        refresh_snapshot(secondary_view(spark, sf_dir), stored)
+        lines, shown = secondary_in_parts(spark, sf_dir)
+        refresh_snapshot(lines, stored, shown=shown)
     return stored.read()
 
 

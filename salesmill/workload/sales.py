@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -147,6 +148,10 @@ def secondary_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.secondary_sales(shapes(spark, sf_dir, STAR), CONFIG.secondary_cutoff, CONFIG.material_types)
 
 
+def secondary_in_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    return sales.secondary_in_parts(shapes(spark, sf_dir, STAR), CONFIG.secondary_cutoff, CONFIG.material_types)
+
+
 def primary_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.primary_sales(shapes(spark, sf_dir, PRIMARY_STAR))
 
@@ -195,7 +200,8 @@ def primary_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def secondary_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store the view clustered by territory, then report from the stored copy."""
     target = Table(spark, scratch(spark, "secondary_sales_mat_view"))
-    sales.refresh_snapshot(secondary_view(spark, sf_dir), target)
+    lines, shown = secondary_in_parts(spark, sf_dir)
+    sales.refresh_snapshot(lines, target, shown=shown)
     stored = target.read().filter(F.col("wss_territory_code").isNotNull())
     return stored.groupBy("wss_territory_code", "wss_town").agg(
         F.count(F.lit(1)).alias("line_count"),

@@ -124,6 +124,20 @@ def test_snapshot_is_clustered_and_replaceable(spark, tmp_path):
     assert target.read().count() == view.count() and len(target.commits()) == 1
 
 
+def test_a_snapshot_of_narrow_lines_holds_the_view(spark, tmp_path, monkeypatch):
+    t, plans = shapes(spark, SF, STAR), []
+    want = sorted(map(str, sales.secondary_sales(t, CUTOFF).collect()))
+    for most in (session.BROADCAST_ROWS, 1):
+        monkeypatch.setattr(session, "BROADCAST_ROWS", most)
+        lines, shown = sales.secondary_in_parts(t, CUTOFF)
+        assert ("dealer_city" in lines.columns) == (most == 1)
+        target = Table(spark, str(tmp_path / f"mv{most}"))
+        sales.refresh_snapshot(lines, target, shown=lambda rows: plans.append((rows.columns, plan(rows))) or shown(rows))
+        assert sorted(map(str, target.read().select(sales.SECONDARY_COLUMNS).collect())) == want
+    sent = [columns for columns, text in plans if "RebalancePartitions" in text]
+    assert sent and "dealer_city" not in sent[0]
+
+
 QUARTERS = growth.Quarters.of_fiscal_third(2024)
 
 
